@@ -34,7 +34,7 @@ def customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series_id BIGINT, date DATE, value DOUBLE): order value per customer and day."""
     o = derived.read_table(spark, sf_dir, "orders")
     return o.groupBy(F.col("o_custkey").alias("series_id"), F.col("o_orderdate").cast("date").alias("date")).agg(
-        F.sum(F.col("o_totalprice").cast(derived.DEC)).cast("double").alias("value")
+        derived.from_cents(F.sum(derived.cents("o_totalprice"))).alias("value")
     )
 
 

@@ -8,8 +8,8 @@ format.  The work therefore grows with the fact tables.
 Plan shape: each fact table is scanned once (only the used columns) and
 reduced by one partially-aggregated shuffle to a month (or day) grain; the
 quarterly and annual rows are rolled up from those exact decimal partials, so
-no second pass over the facts is needed.  Values are decimal sums cast to
-double, which keeps them independent of summation order.
+no second pass over the facts is needed.  Money is summed exactly as integer
+cents, so values do not depend on summation order.
 """
 
 from __future__ import annotations
@@ -31,8 +31,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def cents(c: str | Column) -> Column:
+    """Money column (2 decimals) → exact integer cents."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rint(c * F.lit(100.0)).cast("long")
+
+
 def _dsum(c: str) -> Column:
-    return F.sum(F.col(c).cast(DEC))
+    """Exact sum of a 2-decimal column, in integer cents.
+
+    A ``long`` sum stays on Spark's fixed-width aggregation path, whereas
+    ``sum(decimal(18,2))`` widens to ``decimal(28,2)`` and falls back to
+    per-row BigDecimal objects.  ``double(cents) / 100`` equals the double of
+    the exact decimal sum (both are the correctly rounded quotient).
+    """
+    return F.sum(cents(c))
+
+
+def from_cents(c: str | Column) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("double") / F.lit(100.0)
 
 
 def orders_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +141,7 @@ def _contributions(partial: DataFrame, fact: str, grain: str) -> DataFrame:
                         F.lit(sid).alias("series_id"),
                         F.lit(k).alias("kind"),
                         period.alias("period"),
-                        F.col(num).cast("decimal(38,2)").alias("num"),
+                        F.col(num).cast("long").alias("num"),
                         F.col("n").alias("n"),
                     ),
                 )
@@ -150,8 +168,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sums = contrib.groupBy("series_id", "kind", "period").agg(F.sum("num").alias("num"), F.sum("n").alias("n"))
     value = None
-    for sid, _, _, _, _, per_row, mul, off, _ in BINDINGS:
-        e = _d("num") * F.lit(mul)
+    for sid, _, _, _, num, per_row, mul, off, _ in BINDINGS:
+        e = (from_cents("num") if num.endswith("_sum") else _d("num")) * F.lit(mul)
         e = (e / _d("n") if per_row else e) + F.lit(off)
         value = F.when(F.col("series_id") == sid, e) if value is None else value.when(F.col("series_id") == sid, e)
     return sums.select("series_id", "kind", "period", value.alias("value"))
@@ -242,7 +260,7 @@ def landed_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         obs = (
             F.when(mon == 2, F.lit(":"))
             .when(mon == 8, F.lit(""))
-            .otherwise((_d("price_sum") / F.lit(1e6)).cast("string"))
+            .otherwise((from_cents("price_sum") / F.lit(1e6)).cast("string"))
         )
         parts.append(
             r.join(F.broadcast(dims), "o_orderpriority").select(
