@@ -21,6 +21,7 @@ from ..operators.staging import stage_iso_dates, stage_mixed_dates, stage_period
 from ..operators.windows import series_windows
 from ..schemas import ENRICHED_COLUMNS, STAGED_COLUMNS, TALL_COLUMNS
 from ..sources import derived
+from ..session import stage_table
 from . import panels
 
 # Fixed evaluation date of the staleness check (reproducible results).
@@ -33,6 +34,8 @@ EVENT_LINES_SERIES = C.Series("SNB", "events/click", "Click Value", "monetary",
 # Forced chunking for the skew-path query: every user is "hot".
 SKEW_HOT_ROWS, SKEW_CHUNK_ROWS = 20, 8
 
+STAGED_SOURCES = {"stg_iso": "FRED", "stg_mixed": "SNB", "stg_periods": "OECD"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 STAGED_OUT = [c for c in STAGED_COLUMNS if c != "ingested_at"]
 ENRICHED_OUT = [c for c in ENRICHED_COLUMNS if c != "ingested_at"]
@@ -213,9 +216,17 @@ def q_incremental_new_rows(spark, sf):
 # --- data quality ------------------------------------------------------------------
 
 def _dq_inputs(spark, sf):
-    s = panels.staged(spark, sf)
-    comb = union_sources(s["stg_iso"], s["stg_mixed"], s["stg_periods"])
-    tall = marts.time_series_mart(comb)
+    """Staged tables, their union and the tall mart, each computed once.
+
+    The checks read these several times, so they are written to the
+    checkpoint folder (as the pipeline writes its marts) instead of being
+    re-derived from the fact tables by every check.
+    """
+    staged = panels.staged(spark, sf)
+    comb = stage_table(union_sources(staged["stg_iso"], staged["stg_mixed"], staged["stg_periods"]), "staged")
+    # Each staged table carries its own provider in ``source``.
+    s = {name: comb.filter(F.col("source") == src) for name, src in STAGED_SOURCES.items()}
+    tall = stage_table(marts.time_series_mart(comb), "time_series")
     return s, comb, tall
 
 

@@ -65,3 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="panelspark-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def stage_table(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the checkpoint directory and read it back.
+
+    Cuts the lineage (later stages and retries start from shared storage)
+    and computes ``df`` exactly once — ``Dataset.checkpoint()`` evaluates an
+    uncached input twice.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
