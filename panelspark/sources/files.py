@@ -6,7 +6,10 @@ plans without a sampling pass and a malformed file cannot change types.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_ISO_DATES, RAW_STRING_DATES, TABS_SCHEMA
@@ -23,8 +26,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S3: header CSV, every column a string (no inference)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """S3: header CSV, every column a string (no inference).
+
+    Labelled exports pair each code column with a label column whose name
+    differs only in case (``MEASURE`` / ``Measure``); Spark resolves names
+    case-insensitively, so the later twin is renamed ``<name>_label``.  The
+    header line is the only thing read on the driver.
+    """
+    first = spark.read.text(path).first()
+    names = next(csv.reader([first[0]])) if first else []
+    seen: set[str] = set()
+    fields = []
+    for n in names:
+        name = n if n.lower() not in seen else f"{n}_label"
+        seen.add(name.lower())
+        fields.append(T.StructField(name, T.StringType()))
+    return spark.read.option("header", True).schema(T.StructType(fields)).csv(path)
 
 
 def read_tabs(spark: SparkSession, path: str) -> DataFrame:
