@@ -55,7 +55,7 @@ def main() -> None:
 
     t0 = time.perf_counter()
     raw_dir = f"{scratch}/raw"
-    for k, df in derived.raw_tables(spark, sf_dir).items():
+    for k, df in derived.raw_tables(spark, sf_dir, stage=True).items():
         tables.materialize(df, f"{raw_dir}/{k}")
     res = pipeline.run(spark, pipeline.read_raw_tables(spark, raw_dir), f"{scratch}/marts", as_of=AS_OF, gate=False)
     timings["pipeline"] = round(time.perf_counter() - t0, 3)

@@ -233,7 +233,8 @@ def _dq_inputs(spark, sf):
 def q_dq_not_null(spark, sf):
     s, comb, tall = _dq_inputs(spark, sf)
     parts = [quality.not_null_counts(df, quality.STAGED_NOT_NULL, n) for n, df in s.items()]
-    parts.append(quality.not_null_counts(enrich_panel(comb), quality.ENRICHED_NOT_NULL, "enriched"))
+    # Enriched panel and tall mart share rows and these columns.
+    parts.append(quality.not_null_counts(tall, quality.ENRICHED_NOT_NULL, "enriched"))
     parts.append(quality.not_null_counts(tall, quality.TALL_NOT_NULL, "time_series"))
     out = parts[0]
     for p in parts[1:]:
@@ -264,7 +265,7 @@ def q_dq_unique_grain(spark, sf):
 def q_dq_report(spark, sf):
     s, comb, tall = _dq_inputs(spark, sf)
     overview = marts.overview_mart(tall)
-    return quality.quality_report(s, enrich_panel(comb), tall, overview, quality.expected_frame(spark), AS_OF)
+    return quality.quality_report(s, tall, tall, overview, quality.expected_frame(spark), AS_OF)
 
 
 QUERIES: dict[str, Query] = {

@@ -197,14 +197,20 @@ def _period_string(kind: str = "kind", period: str = "period") -> Column:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, stage: bool = False) -> dict[str, DataFrame]:
     """Provider raw tables: A with DATE dates, B and C with period strings.
 
     B: 'YYYY-MM-DD' and 'YYYY-MM' (USD1 also carries annual 'YYYY' rows,
     which stage to a NULL date).  C: every series in 'YYYY-MM', 'YYYY-Qn'
-    and 'YYYY' form, as the provider returns all frequencies.
+    and 'YYYY' form, as the provider returns all frequencies.  ``stage``
+    writes the shared observations once before the three tables read them.
     """
     obs = observations(spark, sf_dir)
+    if stage:
+        # Computed once and shared by the three tables (one pass over the facts).
+        from ..session import stage_table
+
+        obs = stage_table(obs, "observations")
     return {
         "iso": _raw(spark, obs, "FRED", F.col("period")),
         "mixed": _raw(spark, obs, "SNB", _period_string()),
