@@ -123,30 +123,42 @@ BINDINGS = (
 _UNIT = {"D": None, "M": "month", "Q": "quarter", "A": "year"}
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
 def _contributions(partial: DataFrame, fact: str, grain: str) -> DataFrame:
     """Explode each partial row into (series_id, kind, period, num, n) for every
-    binding and period kind it feeds.  One pass; the array has a fixed size."""
+    binding and period kind it feeds.  One pass; the array has a fixed size.
+
+    The array is written as one SQL expression (parsed once by Catalyst)
+    rather than assembled call by call from Python.
+    """
     items = []
     for sid, f, sel, val, num, _, _, _, kinds in BINDINGS:
         if f != fact:
             continue
-        hit = F.lit(True) if val is None else (F.col(sel) == F.lit(val))
+        hit = "true" if val is None else f"{sel} = {_sql_str(val)}"
         for k in kinds:
             unit = _UNIT[k]
-            period = F.col(grain) if unit is None else F.trunc(grain, unit)
+            period = grain if unit is None else f"trunc({grain}, '{unit}')"
             items.append(
-                F.when(
-                    hit,
-                    F.struct(
-                        F.lit(sid).alias("series_id"),
-                        F.lit(k).alias("kind"),
-                        period.alias("period"),
-                        F.col(num).cast("long").alias("num"),
-                        F.col("n").alias("n"),
-                    ),
-                )
+                f"IF({hit}, named_struct('series_id', {_sql_str(sid)}, 'kind', '{k}', 'period', {period}, "
+                f"'num', CAST({num} AS BIGINT), 'n', n), NULL)"
             )
-    return partial.select(F.explode(F.array(*items)).alias("c")).filter(F.col("c").isNotNull()).select("c.*")
+    return partial.selectExpr(f"explode(array({', '.join(items)})) AS c").filter("c IS NOT NULL").select("c.*")
+
+
+def _value_expr() -> Column:
+    """value = double(num) [/100 for money] * multiplier [/ double(n)] + offset, per series."""
+    cases = []
+    for sid, _, _, _, num, per_row, mul, off, _ in BINDINGS:
+        base = "(CAST(num AS DOUBLE) / 100.0D)" if num.endswith("_sum") else "CAST(num AS DOUBLE)"
+        e = f"{base} * CAST({mul!r} AS DOUBLE)"
+        if per_row:
+            e = f"{e} / CAST(n AS DOUBLE)"
+        cases.append(f"WHEN {_sql_str(sid)} THEN {e} + CAST({off!r} AS DOUBLE)")
+    return F.expr(f"CASE series_id {' '.join(cases)} END")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,12 +179,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(_contributions(ed, "events", "day"))
     )
     sums = contrib.groupBy("series_id", "kind", "period").agg(F.sum("num").alias("num"), F.sum("n").alias("n"))
-    value = None
-    for sid, _, _, _, num, per_row, mul, off, _ in BINDINGS:
-        e = (from_cents("num") if num.endswith("_sum") else _d("num")) * F.lit(mul)
-        e = (e / _d("n") if per_row else e) + F.lit(off)
-        value = F.when(F.col("series_id") == sid, e) if value is None else value.when(F.col("series_id") == sid, e)
-    return sums.select("series_id", "kind", "period", value.alias("value"))
+    return sums.select("series_id", "kind", "period", _value_expr().alias("value"))
 
 
 def _raw(spark: SparkSession, obs: DataFrame, source: str, date: Column) -> DataFrame:
