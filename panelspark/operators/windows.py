@@ -139,7 +139,11 @@ def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, c
         .withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False)))
         .drop("__tmin", "__tmax", "__nchunks")
     )
+    # The hot-only branches read just the hot keys; a short literal list is
+    # pushed into the scan as an IN filter (row-group skipping).
     hot = base.filter(F.col("__hot"))
+    if len(hot_keys) <= 1000:
+        hot = hot.filter(F.col(key).isin([r[key] for r in hot_keys]))
 
     # Last L rows of every hot chunk (a limit the planner pushes below the
     # exchange) and the per-chunk table: index, row count, rows up to its end.

@@ -42,3 +42,17 @@ def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series_id BIGINT, ts TIMESTAMP, value DOUBLE): events per user; (user, ts) is unique."""
     ev = derived.read_table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("series_id"), "ts", "value")
+
+
+def shipment_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot-key panel: one series per line status (two keys, about half of
+    ``lineitem`` each), one row per line, ordered by ship date with
+    (order, line number, price) as tie-break — unique in the driver data."""
+    li = derived.read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_linestatus").alias("series_id"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_extendedprice").alias("value"),
+    )

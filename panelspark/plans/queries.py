@@ -33,6 +33,9 @@ EVENT_LINES_SERIES = C.Series("SNB", "events/click", "Click Value", "monetary",
                               cube="events", code="click")
 # Forced chunking for the skew-path query: every user is "hot".
 SKEW_HOT_ROWS, SKEW_CHUNK_ROWS = 20, 8
+# Hot-series query: a key is hot above this many rows and split into chunks
+# of about this many rows (each line status holds about half of lineitem).
+HOT_SERIES_ROWS, HOT_SERIES_CHUNK = 10_000, 4_000
 
 STAGED_SOURCES = {"stg_iso": "FRED", "stg_mixed": "SNB", "stg_periods": "OECD"}
 
@@ -141,6 +144,17 @@ def q_win_chunked_skew(spark, sf):
     ).drop("__a3", "__a12")
 
 
+def q_win_hot_series(spark, sf):
+    """Two keys holding all of lineitem: the skew path splits each into chunks."""
+    sp = panels.shipment_panel(spark, sf)
+    out = series_windows(
+        sp, "series_id", "date", "value",
+        lags={"prev_1": 1}, rolling={"__a12": 12}, latest="is_latest",
+        tiebreak=("l_orderkey", "l_linenumber", "value"), hot_rows=HOT_SERIES_ROWS, chunk_rows=HOT_SERIES_CHUNK,
+    )
+    return out.withColumn("avg_12", round_half_away("__a12", 4)).drop("__a12")
+
+
 def q_pct_change_period(spark, sf):
     out = _cp_window(spark, sf, lags={"__p": 1})
     return out.withColumn("mom_change_pct", safe_pct_change("value", "__p")).drop("__p")
@@ -281,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "win_rolling_3": q_win_rolling_3,
     "win_rolling_12": q_win_rolling_12,
     "win_chunked_skew": q_win_chunked_skew,
+    "win_hot_series": q_win_hot_series,
     "pct_change_period": q_pct_change_period,
     "pct_change_year": q_pct_change_year,
     "latest_flag": q_latest_flag,
