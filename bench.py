@@ -31,6 +31,7 @@ HEADLINE = [
     "win_lag_year",
     "win_rolling_12",
     "win_chunked_skew",
+    "win_hot_series",
     "latest_flag",
 ]
 
