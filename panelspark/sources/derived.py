@@ -7,7 +7,7 @@ format.  The work therefore grows with the fact tables.
 
 Plan shape: each fact table is scanned once (only the used columns) and
 reduced by one partially-aggregated shuffle to a month (or day) grain; the
-quarterly and annual rows are rolled up from those exact decimal partials, so
+quarterly and annual rows are rolled up from those exact integer partials, so
 no second pass over the facts is needed.  Money is summed exactly as integer
 cents, so values do not depend on summation order.
 """
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from .. import catalog as C
 from ..functions.dates import format_period
 
-DEC = "decimal(18,2)"
 # Fixed ingestion timestamp of the derived tables (keeps reruns identical).
 INGESTED_AT = "2026-01-01 00:00:00"
 
@@ -83,7 +82,7 @@ def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollup(monthly: DataFrame, unit: str, keys: list[str], sums: list[str]) -> DataFrame:
-    """Roll a month-grain partial up to quarter/year (exact: decimal sums)."""
+    """Roll a month-grain partial up to quarter/year (exact: integer sums)."""
     if unit == "month":
         return monthly.withColumnRenamed("month", "period")
     return monthly.groupBy(F.trunc("month", unit).alias("period"), *keys).agg(
