@@ -45,6 +45,8 @@ def main() -> None:
     # Warm-up on the smallest scale: JVM JIT and codegen caches, so the
     # timings below measure the plans, not JVM start-up.
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
     for name in HEADLINE:
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
