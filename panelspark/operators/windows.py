@@ -7,7 +7,10 @@ Two physical strategies produce identical results.
 
 ``chunked`` (default) the same Window, but a *hot* key (more than
             ``hot_rows`` rows) is cut into contiguous time chunks of about
-            ``chunk_rows`` rows, and the window runs per (key, chunk).  Every
+            ``chunk_rows`` rows, and the window runs per (key, chunk).
+            Chunks are balanced by count: time is cut into fine buckets,
+            the buckets are counted and merged in order until a chunk holds
+            ``chunk_rows`` rows.  Every
             look-back here is bounded (at most ``L`` = 12 rows), so each
             chunk only needs the last ``L`` rows before it: a small "halo"
             copied in from earlier chunks.  A one-row marker per non-final
@@ -36,6 +39,9 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 CHUNK_ROWS = 250_000
+FINE_PER_CHUNK = 256
+MAX_FINE_BUCKETS = 1_000_000
+MAX_CHUNKS = 100_000
 
 _B, _KIND, _R, _K, _N, _CUM = "__chunk", "__kind", "__r", "__k", "__n", "__cum_end"
 _OWN, _HALO, _MARK = 1, 0, 2
@@ -94,15 +100,18 @@ def series_windows(
     return _chunked(df, key, order, value, lags, rolling, latest, tuple(tiebreak), hot_rows, chunk_rows)
 
 
-def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows):
-    L = lookback(lags, rolling)
-    cols = df.columns
+def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
+                  chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, list | None, bool]:
+    """Add ``__chunk`` (0 for ordinary keys) and ``__hot`` to ``df``.
+
+    Returns ``(frame, hot_key_list_or_None, any_hot)``.
+    """
     tnum = _numeric_time(df, order)
 
     # Hot keys and their time span: one partial-aggregated pass over the key
     # and time columns.  At most rows / hot_rows keys can qualify, so the
     # list brought to the driver and broadcast back is bounded by
-    # construction.  Without hot keys the plain plan is used unchanged.
+    # construction.
     hot_keys = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias(_N), F.min(tnum).alias("__tmin"), F.max(tnum).alias("__tmax"))
@@ -110,11 +119,24 @@ def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, c
         .collect()
     )
     if not hot_keys:
-        return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain")
+        return df.withColumn(_B, F.lit(0).cast("long")).withColumn("__hot", F.lit(False)), None, False
     key_type = df.schema[key].dataType
+    # Enough chunks to spread the hot keys over the cluster, not more: the
+    # chunk size grows when the hot volume would exceed MAX_CHUNKS chunks.
+    chunk_rows = max(chunk_rows, -(-sum(r[_N] for r in hot_keys) // MAX_CHUNKS))
+    # A short literal hot-key list is also pushed into the scans of the
+    # hot-only branches as an IN filter (row-group skipping).
+    hot_list = [r[key] for r in hot_keys] if len(hot_keys) <= 1000 else None
+    total_chunks = sum(-(-r[_N] // chunk_rows) for r in hot_keys)
+    # Fine time buckets per target chunk; counted, then merged into chunks of
+    # about chunk_rows rows, so uneven time density still gives even chunks.
+    # The (key, bucket) → chunk map is broadcast, so its size is capped; past
+    # the cap each bucket is its own chunk (equal time spans).
+    fine = max(1, min(FINE_PER_CHUNK, MAX_FINE_BUCKETS // max(total_chunks, 1)))
+    balanced = total_chunks * fine <= MAX_FINE_BUCKETS
     stats = df.sparkSession.createDataFrame(
         [
-            (r[key], float(r["__tmin"] or 0), float(r["__tmax"] or 0), -(-r[_N] // chunk_rows))
+            (r[key], float(r["__tmin"] or 0), float(r["__tmax"] or 0), -(-r[_N] // chunk_rows) * fine)
             for r in hot_keys
         ],
         T.StructType(
@@ -122,28 +144,55 @@ def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, c
                 T.StructField(key, key_type),
                 T.StructField("__tmin", T.DoubleType()),
                 T.StructField("__tmax", T.DoubleType()),
-                T.StructField("__nchunks", T.LongType()),
+                T.StructField("__nfine", T.LongType()),
             ]
         ),
     ).withColumn("__hot", F.lit(True))
     span = (F.col("__tmax") - F.col("__tmin") + F.lit(1.0)).cast("double")
-    chunk_of_row = F.when(
-        F.col("__hot"),
-        F.when(tnum.isNull(), F.lit(-1).cast("long")).otherwise(
-            F.floor((tnum.cast("double") - F.col("__tmin")) * F.col("__nchunks") / span).cast("long")
-        ),
-    ).otherwise(F.lit(0).cast("long"))
-    base = (
-        df.join(F.broadcast(stats), key, "left")
-        .withColumn(_B, chunk_of_row)
-        .withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False)))
-        .drop("__tmin", "__tmax", "__nchunks")
+    fine_of_row = F.when(tnum.isNull(), F.lit(-1).cast("long")).otherwise(
+        F.floor((tnum.cast("double") - F.col("__tmin")) * F.col("__nfine") / span).cast("long")
+    )
+    keyed = df.join(F.broadcast(stats), key, "left").withColumn(
+        "__fine", F.when(F.col("__hot"), fine_of_row).otherwise(F.lit(0).cast("long"))
     )
-    # The hot-only branches read just the hot keys; a short literal list is
-    # pushed into the scan as an IN filter (row-group skipping).
+    if balanced:
+        wf = Window.partitionBy(key).orderBy("__fine")
+        hot_in = keyed.filter(F.col("__hot"))
+        if hot_list is not None:
+            hot_in = hot_in.filter(F.col(key).isin(hot_list))
+        fine_map = (
+            hot_in.groupBy(key, "__fine")
+            .agg(F.count(F.lit(1)).alias(_N))
+            .withColumn(
+                "__chunk_of_fine",
+                F.floor(
+                    (F.sum(_N).over(wf.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_N))
+                    / F.lit(float(chunk_rows))
+                ).cast("long"),
+            )
+            .select(key, "__fine", "__chunk_of_fine")
+        )
+        keyed = keyed.join(F.broadcast(fine_map), [key, "__fine"], "left").withColumn(
+            _B, F.coalesce(F.col("__chunk_of_fine"), F.lit(0).cast("long"))
+        )
+    else:
+        keyed = keyed.withColumn(_B, F.col("__fine"))
+    base = keyed.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))).drop(
+        "__tmin", "__tmax", "__nfine", "__fine", "__chunk_of_fine"
+    )
+    return base, hot_list, True
+
+
+def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows):
+    L = lookback(lags, rolling)
+    cols = df.columns
+    base, hot_list, any_hot = assign_chunks(df, key, order, hot_rows, chunk_rows)
+    if not any_hot:
+        # Without hot keys the plain plan is used unchanged.
+        return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain")
     hot = base.filter(F.col("__hot"))
-    if len(hot_keys) <= 1000:
-        hot = hot.filter(F.col(key).isin([r[key] for r in hot_keys]))
+    if hot_list is not None:
+        hot = hot.filter(F.col(key).isin(hot_list))
 
     # Last L rows of every hot chunk (a limit the planner pushes below the
     # exchange) and the per-chunk table: index, row count, rows up to its end.

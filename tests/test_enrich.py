@@ -102,3 +102,40 @@ def test_one_latest_per_series(spark):
     tall = time_series_mart(panels.combined(spark, "/root/testdata/sf0.001"))
     per = tall.groupBy("series_id").agg(F.count_if("is_latest").alias("n")).collect()
     assert per and all(r.n == 1 for r in per)
+
+
+def _bursty(spark):
+    # Key 1: 2,000 rows, 90% of them inside 1% of the time span; key 2: small.
+    rows = [(1, t, float(t)) for t in range(0, 1800)]
+    rows += [(1, 100_000 + t * 500, float(t)) for t in range(200)]
+    rows += [(2, t, float(t)) for t in range(10)]
+    return spark.createDataFrame(rows, "k long, t long, value double")
+
+
+def test_chunks_are_balanced_by_count(spark):
+    from panelspark.operators.windows import assign_chunks
+
+    base, hot_list, any_hot = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100)
+    assert any_hot and hot_list == [1]
+    sizes = [r["count"] for r in base.filter("k = 1").groupBy("__chunk").count().collect()]
+    # Equal time spans would put ~1,800 rows in one chunk.
+    assert len(sizes) >= 15 and max(sizes) <= 2 * 100
+
+
+def test_bursty_chunked_equals_plain(spark):
+    df = _bursty(spark)
+    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a12": 12}, latest="last", tiebreak=("value",))
+    plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
+    chunked = series_windows(df, "k", "t", "value", hot_rows=100, chunk_rows=100, **kw)
+    assert _norm(plain.collect()) == _norm(chunked.collect())
+
+
+def test_unbalanced_fallback_equals_plain(spark, monkeypatch):
+    import panelspark.operators.windows as W
+
+    monkeypatch.setattr(W, "MAX_FINE_BUCKETS", 1)
+    df = _bursty(spark)
+    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a3": 3}, latest="last", tiebreak=("value",))
+    plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
+    chunked = series_windows(df, "k", "t", "value", hot_rows=100, chunk_rows=100, **kw)
+    assert _norm(plain.collect()) == _norm(chunked.collect())
