@@ -111,16 +111,22 @@ def select_member(parsed: DataFrame, code: str, max_dims: int = 2) -> DataFrame:
 
 def extract_delimited(lines: DataFrame, series: C.Series, text: str = "value", file_col: str | None = None,
                       ingested_at: Column | None = None) -> DataFrame:
-    """Landed lines of one provider-B series → raw rows."""
-    member = select_member(parse_delimited_lines(lines, text, file_col), series.code)
+    """Landed lines of one provider-B series → raw rows.
+
+    Values are coerced and failures dropped *before* the member filter
+    looks for the series code, as the provider extractor does.
+    """
+    parsed = parse_delimited_lines(lines, text, file_col)
+    valid = parsed.withColumn("value", try_double("value_text")).filter(is_valid_value("value"))
+    member = select_member(valid, series.code)
     tagged = member.select(
         "date",
-        try_double("value_text").alias("value"),
+        "value",
         F.lit(series.indicator_name).alias("indicator_name"),
         F.lit(series.indicator_category).alias("indicator_category"),
         F.lit(series.unit).alias("unit"),
         F.lit(series.frequency).alias("frequency"),
-    ).filter(is_valid_value("value"))
+    )
     return tagged.select(
         *_raw_select(F.col("date"), F.lit(series.source), F.lit(f"{series.cube}/{series.code}"), F.col("value"),
                      ingested_at)

@@ -91,3 +91,13 @@ def test_materialize_partitioned(spark, tmp_path):  # S10
     assert back.count() == 2
     plan = back.filter("indicator_category = 'growth'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(indicator_category" in plan
+
+
+def test_member_decided_after_value_coercion(spark, tmp_path):
+    """The code seen only on rows with a missing value does not pick the column."""
+    p = tmp_path / "cube.csv"
+    p.write_text('"Date";"D0";"D1";"Value"\n"2024-01";"EUR1";"X";""\n"2024-01";"A";"EUR1";"0.9"\n'
+                 '"2024-02";"B";"Y";"0.8"\n')
+    s = next(x for x in C.SERIES if x.series_id == "devkum/EUR1")
+    out = extract.extract_delimited(files.read_lines(spark, str(p)), s, file_col="file").collect()
+    assert [(r.date, r.value) for r in out] == [("2024-01", 0.9)]
