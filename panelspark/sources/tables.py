@@ -39,18 +39,24 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                sort_within: Sequence[str] = ()) -> None:
+                sort_within: Sequence[str] = (), num_partitions: int | None = None) -> None:
     """Full rebuild of a table.
 
     ``partition_by`` lays out directories for partition pruning (e.g. the
     six categories); ``sort_within`` orders rows inside each file so Parquet
-    min/max statistics prune row groups.  No global sort: a table has no
-    order, and a global ``ORDER BY`` would add a range shuffle.
+    min/max statistics prune row groups.
+
+    Rows are range-partitioned on ``partition_by + sort_within`` first.  The
+    sampled range boundaries split a hot series over many writer tasks (a
+    hash repartition on the directory column alone would give six tasks,
+    and one task per hot series), and each task writes contiguous, sorted
+    runs, so files stay few and large.  No global ``ORDER BY``: a table has
+    no order.
     """
-    if partition_by:
-        df = df.repartition(*partition_by)
-    if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
+    keys = [*partition_by, *sort_within]
+    if keys:
+        df = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
