@@ -31,20 +31,17 @@ def _as_of(as_of: str | dt.date | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def not_null_counts(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
-    """Q1: NULL count per column, all columns in one aggregate."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _unpivot(agg, columns, "not_null", table)
-
-
-def accepted_values_counts(df: DataFrame, allowed: Mapping[str, Sequence[str]], table: str) -> DataFrame:
-    """Q2: rows outside the allowed list per column (NULL passes)."""
-    cols = list(allowed)
-    agg = df.agg(*[F.count_if(~F.col(c).isin(list(allowed[c]))).alias(c) for c in cols])
-    return _unpivot(agg, cols, "accepted_values", table)
-
-
-def _unpivot(agg: DataFrame, cols: Sequence[str], check: str, table: str) -> DataFrame:
+def column_checks(df: DataFrame, table: str, not_null: Sequence[str] = (),
+                  accepted: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Q1 + Q2 for one table in a single aggregate pass.
+
+    ``not_null``: NULL count per column.  ``accepted``: rows outside the
+    allowed list per column (NULL passes, as in three-valued logic).
+    """
+    accepted = dict(accepted or {})
+    specs = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null]
+    specs += [("accepted_values", c, F.count_if(~F.col(c).isin(list(v)))) for c, v in accepted.items()]
+    agg = df.agg(*[e.alias(f"__c{i}") for i, (_, _, e) in enumerate(specs)])
     return agg.select(
         F.explode(
             F.array(
@@ -53,15 +50,25 @@ def _unpivot(agg: DataFrame, cols: Sequence[str], check: str, table: str) -> Dat
                         F.lit(check).alias("check_name"),
                         F.lit(table).alias("table_name"),
                         F.lit(c).alias("column_name"),
-                        F.col(c).cast("long").alias("failing_rows"),
+                        F.col(f"__c{i}").cast("long").alias("failing_rows"),
                     )
-                    for c in cols
+                    for i, (check, c, _) in enumerate(specs)
                 ]
             )
         ).alias("r")
     ).select("r.*")
 
 
+def not_null_counts(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
+    """Q1: NULL count per column, all columns in one aggregate."""
+    return column_checks(df, table, not_null=columns)
+
+
+def accepted_values_counts(df: DataFrame, allowed: Mapping[str, Sequence[str]], table: str) -> DataFrame:
+    """Q2: rows outside the allowed list per column (NULL passes)."""
+    return column_checks(df, table, accepted=allowed)
+
+
 def one_latest_violations(tall: DataFrame) -> DataFrame:
     """Q3: series whose count of latest rows is not exactly one."""
     return (
@@ -123,8 +130,7 @@ def quality_report(
     parts = [not_null_counts(df, STAGED_NOT_NULL, name) for name, df in staged.items()]
     parts += [
         not_null_counts(enriched, ENRICHED_NOT_NULL, "enriched"),
-        not_null_counts(tall, TALL_NOT_NULL, "time_series"),
-        accepted_values_counts(tall, TALL_ACCEPTED, "time_series"),
+        column_checks(tall, "time_series", TALL_NOT_NULL, TALL_ACCEPTED),
         not_null_counts(overview, ("date",), "overview"),
         _count_rows(one_latest_violations(tall), "one_latest", "time_series", "is_latest"),
         _count_rows(expected_series_missing(tall, expected), "expected_present", "time_series", "series_id"),
