@@ -17,12 +17,23 @@ WINDOW_ROLLING = {"__avg3": C.ROLL_SHORT_ROWS, "__avg12": C.ROLL_LONG_ROWS}
 
 def add_window_metrics(panel: DataFrame, key: str = "series_id", order: str = "date", value: str = "value",
                        latest: str | None = None, strategy: str = "chunked", hot_rows: int = HOT_ROWS,
-                       chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """W1-W4 (+W5 when ``latest`` is named) in one Window pass."""
+                       chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
+    """W1-W4 (+W5 when ``latest`` is named) in one Window pass.
+
+    ``grain_flag`` names a column that is TRUE on the second row of every
+    group of rows sharing (key, order): duplicates are adjacent in the
+    window's order, so the grain check needs no shuffle of its own.
+    """
     out = series_windows(
         panel, key, order, value, lags=WINDOW_LAGS, rolling=WINDOW_ROLLING, latest=latest,
         tiebreak=(value,), strategy=strategy, hot_rows=hot_rows, chunk_rows=chunk_rows,
+        order_lags={"__d1": 1, "__d2": 2} if grain_flag else None,
     )
+    if grain_flag:
+        d = F.col(order)
+        out = out.withColumn(grain_flag, F.col("__d1").eqNullSafe(d) & ~F.col("__d2").eqNullSafe(d)).drop(
+            "__d1", "__d2"
+        )
     return out.withColumns(
         {
             "rolling_avg_3m": round_half_away("__avg3", 4),
@@ -52,14 +63,15 @@ def add_signals(df: DataFrame, category: str = "indicator_category", value: str
 
 
 def enrich_panel(combined: DataFrame, latest: str | None = None, strategy: str = "chunked",
-                 hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
     """Unioned staged panel → 17-column enriched panel.
 
     Rows with a NULL date take part in the windows (they sort first) and are
     dropped only afterwards.  When ``latest`` is given the latest-row flag is
     computed in the same Window pass (one sort instead of two).
     """
-    df = add_window_metrics(combined, latest=latest, strategy=strategy, hot_rows=hot_rows, chunk_rows=chunk_rows)
+    df = add_window_metrics(combined, latest=latest, strategy=strategy, hot_rows=hot_rows, chunk_rows=chunk_rows,
+                            grain_flag=grain_flag)
     df = add_signals(add_changes(df))
-    cols = list(ENRICHED_COLUMNS) + ([latest] if latest else [])
+    cols = list(ENRICHED_COLUMNS) + [c for c in (latest, grain_flag) if c]
     return df.filter(F.col("date").isNotNull()).select(*cols)

@@ -15,15 +15,16 @@ from .windows import CHUNK_ROWS, HOT_ROWS, series_windows
 
 
 def time_series_mart(combined: DataFrame, strategy: str = "chunked", hot_rows: int = HOT_ROWS,
-                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                     chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
     """Unioned staged panel → 15-column tall mart with ``is_latest``.
 
     The latest flag shares the enrichment's Window (same partitioning and
-    order), so the whole mart costs one exchange and one sort.
+    order), so the whole mart costs one exchange and one sort.  With
+    ``grain_flag`` a 16th column marks duplicate (series, date) groups.
     """
     enriched = enrich_panel(combined, latest="is_latest", strategy=strategy, hot_rows=hot_rows,
-                            chunk_rows=chunk_rows)
-    return enriched.select(*TALL_COLUMNS)
+                            chunk_rows=chunk_rows, grain_flag=grain_flag)
+    return enriched.select(*TALL_COLUMNS, *([grain_flag] if grain_flag else []))
 
 
 def latest_flag(df: DataFrame, key: str = "series_id", order: str = "date", name: str = "is_latest",

@@ -125,8 +125,14 @@ def quality_report(
     overview: DataFrame,
     expected: DataFrame,
     as_of: str | dt.date | None = None,
+    duplicate_groups: int | None = None,
 ) -> DataFrame:
-    """Q6: every check of the pipeline as one small DataFrame."""
+    """Q6: every check of the pipeline as one small DataFrame.
+
+    ``duplicate_groups``, when the caller already counted them in the
+    enrichment window (see ``time_series_mart(grain_flag=…)``), replaces the
+    grouping query of the grain check.
+    """
     parts = [not_null_counts(df, STAGED_NOT_NULL, name) for name, df in staged.items()]
     parts += [
         not_null_counts(enriched, ENRICHED_NOT_NULL, "enriched"),
@@ -135,8 +141,16 @@ def quality_report(
         _count_rows(one_latest_violations(tall), "one_latest", "time_series", "is_latest"),
         _count_rows(expected_series_missing(tall, expected), "expected_present", "time_series", "series_id"),
         _count_rows(stale_series(tall, as_of), "not_stale", "time_series", "date"),
-        _count_rows(duplicate_grain(tall), "unique_grain", "time_series", "series_id,date"),
     ]
+    if duplicate_groups is None:
+        parts.append(_count_rows(duplicate_grain(tall), "unique_grain", "time_series", "series_id,date"))
+    else:
+        parts.append(
+            tall.sparkSession.createDataFrame(
+                [("unique_grain", "time_series", "series_id,date", int(duplicate_groups))],
+                "check_name string, table_name string, column_name string, failing_rows long",
+            )
+        )
     return reduce(DataFrame.unionByName, parts)
 
 

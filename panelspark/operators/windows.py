@@ -58,8 +58,10 @@ def _numeric_time(df: DataFrame, order: str) -> Column:
 
 
 def _metrics(value: str, lags: Mapping[str, int], rolling: Mapping[str, int], latest: str | None,
-             w: Window) -> dict[str, Column]:
+             w: Window, order: str | None = None, order_lags: Mapping[str, int] | None = None) -> dict[str, Column]:
     out: dict[str, Column] = {}
+    for name, n in (order_lags or {}).items():
+        out[name] = F.lag(order, n).over(w)
     for name, n in lags.items():
         out[name] = F.lag(value, n).over(w)
     for name, n in rolling.items():
@@ -85,19 +87,21 @@ def series_windows(
     strategy: str = "chunked",
     hot_rows: int = HOT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    order_lags: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Add lag / rolling-average / latest-flag columns computed per ``key``.
 
     ``lags`` maps output name → row offset; ``rolling`` maps output name →
-    frame size in rows (current row included, partial frames at the start).
+    frame size in rows (current row included, partial frames at the start);
+    ``order_lags`` are lags of the ordering column itself.
     """
-    lags, rolling = dict(lags or {}), dict(rolling or {})
+    lags, rolling, order_lags = dict(lags or {}), dict(rolling or {}), dict(order_lags or {})
     if strategy == "plain":
         w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tiebreak])
-        return df.withColumns(_metrics(value, lags, rolling, latest, w))
+        return df.withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags))
     if strategy != "chunked":
         raise ValueError(strategy)
-    return _chunked(df, key, order, value, lags, rolling, latest, tuple(tiebreak), hot_rows, chunk_rows)
+    return _chunked(df, key, order, value, lags, rolling, latest, tuple(tiebreak), hot_rows, chunk_rows, order_lags)
 
 
 def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
@@ -183,13 +187,14 @@ def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
     return base, hot_list, True
 
 
-def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows):
-    L = lookback(lags, rolling)
+def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows, order_lags=None):
+    L = max(lookback(lags, rolling), *(order_lags or {1: 1}).values())
     cols = df.columns
     base, hot_list, any_hot = assign_chunks(df, key, order, hot_rows, chunk_rows)
     if not any_hot:
         # Without hot keys the plain plan is used unchanged.
-        return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain")
+        return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain",
+                              order_lags=order_lags)
     hot = base.filter(F.col("__hot"))
     if hot_list is not None:
         hot = hot.filter(F.col(key).isin(hot_list))
@@ -236,6 +241,6 @@ def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, c
         F.col(order).asc_nulls_first(),
         *[F.col(t).asc_nulls_first() for t in tiebreak],
     )
-    out = rows.withColumns(_metrics(value, lags, rolling, latest, w))
+    out = rows.withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags))
     return out.filter(F.col(_KIND) == F.lit(_OWN)).drop(_B, _KIND)
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts, quality
 from ..operators.staging import stage_iso_dates, stage_mixed_dates, stage_period_dates, union_sources
@@ -49,12 +50,18 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, as_of: str
     combined = union_sources(staged["stg_iso"], staged["stg_mixed"], staged["stg_periods"])
 
     ts_path = f"{out_dir}/mart_time_series"
-    tall = marts.time_series_mart(combined)
+    # The grain check rides on the mart's own window (duplicates are
+    # adjacent there) and is counted by an Observation during the write:
+    # no separate shuffle of all (series, date) keys.
+    grain = Observation("time_series_grain")
+    tall = marts.time_series_mart(combined, grain_flag="__dup_group")
+    tall = tall.observe(grain, F.count_if(F.col("__dup_group")).alias("duplicate_groups")).drop("__dup_group")
     # Partitioned by category: the dashboard tabs filter on it, so each tab
     # reads only its directories.  Rows are clustered by series and date
     # inside each file for row-group pruning.
     tables.materialize(tall, ts_path, partition_by=("indicator_category",) if partition_marts else (),
                        sort_within=("series_id", "date"))
+    duplicate_groups = grain.get["duplicate_groups"]
     tall = spark.read.parquet(ts_path)
 
     ov_path = f"{out_dir}/mart_overview"
@@ -64,7 +71,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, as_of: str
     # The tall mart holds exactly the enriched rows and all columns the
     # enriched-panel checks read, so those checks run on the written table
     # instead of re-running the windows.
-    report = quality.quality_report(staged, tall, tall, overview, quality.expected_frame(spark), as_of)
+    report = quality.quality_report(staged, tall, tall, overview, quality.expected_frame(spark), as_of,
+                                    duplicate_groups=duplicate_groups)
     rows = [tuple(r) for r in report.collect()]
     if gate:
         failures = [r for r in rows if r[3] > 0]

@@ -39,24 +39,23 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                sort_within: Sequence[str] = (), num_partitions: int | None = None) -> None:
+                sort_within: Sequence[str] = ()) -> None:
     """Full rebuild of a table.
 
     ``partition_by`` lays out directories for partition pruning (e.g. the
     six categories); ``sort_within`` orders rows inside each file so Parquet
     min/max statistics prune row groups.
 
-    Rows are range-partitioned on ``partition_by + sort_within`` first.  The
-    sampled range boundaries split a hot series over many writer tasks (a
-    hash repartition on the directory column alone would give six tasks,
-    and one task per hot series), and each task writes contiguous, sorted
-    runs, so files stay few and large.  No global ``ORDER BY``: a table has
-    no order.
+    Rows keep the partitioning they arrive with — for the marts that is the
+    window's (series, chunk) hash partitioning, so a hot series is already
+    spread over many writer tasks — and are only sorted locally.  No extra
+    shuffle: repartitioning on the six directory values would leave six
+    writers, and a range repartition would evaluate its input once more
+    for sampling.  No global ``ORDER BY``: a table has no order.
     """
     keys = [*partition_by, *sort_within]
     if keys:
-        df = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+        df = df.sortWithinPartitions(*keys)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

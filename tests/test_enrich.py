@@ -139,3 +139,17 @@ def test_unbalanced_fallback_equals_plain(spark, monkeypatch):
     plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
     chunked = series_windows(df, "k", "t", "value", hot_rows=100, chunk_rows=100, **kw)
     assert _norm(plain.collect()) == _norm(chunked.collect())
+
+
+def test_grain_flag_counts_duplicate_groups(spark):
+    """The window-borne grain flag counts the same groups as the grouping check."""
+    from panelspark.operators.quality import duplicate_grain
+
+    rows = [(d, "KEI/X", "growth", v, "monthly") for d, v in
+            [("2024-01", 1.0), ("2024-01", 2.0), ("2024-01", 3.0), ("2024-02", 1.0), ("2024-03", 1.0),
+             ("2024-03", 5.0), ("2024", 9.0), ("2024", 8.0)]]
+    rows += [(d, "KEI/Y", "growth", 1.0, "monthly") for d in ("2024-01", "2024-02")]
+    staged = stage_mixed_dates(raw_rows(spark, rows))
+    for kw in ({}, {"hot_rows": 2, "chunk_rows": 1}):
+        tall = time_series_mart(staged, grain_flag="dup", **kw)
+        assert tall.filter("dup").count() == duplicate_grain(tall).count() == 2
