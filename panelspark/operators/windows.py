@@ -105,10 +105,15 @@ def series_windows(
 
 
 def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
-                  chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, list | None, bool]:
-    """Add ``__chunk`` (0 for ordinary keys) and ``__hot`` to ``df``.
+                  chunk_rows: int = CHUNK_ROWS, lookback_rows: int = 12):
+    """Add ``__chunk`` (0 for ordinary keys), ``__hot`` and ``__tailcand``.
 
-    Returns ``(frame, hot_key_list_or_None, any_hot)``.
+    ``__tailcand`` marks hot rows that may be among the last
+    ``lookback_rows`` of their chunk (rows of the chunk's final fine
+    buckets), so the halo search sorts only those.  Returns ``(frame,
+    hot_key_list_or_None, any_hot, chunk_counts_or_None)``; chunk counts
+    (key, chunk, rows) come from the bucket counts when chunks are
+    balanced.
     """
     tnum = _numeric_time(df, order)
 
@@ -123,7 +128,7 @@ def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
         .collect()
     )
     if not hot_keys:
-        return df.withColumn(_B, F.lit(0).cast("long")).withColumn("__hot", F.lit(False)), None, False
+        return df.withColumn(_B, F.lit(0).cast("long")).withColumn("__hot", F.lit(False)), None, False, None
     key_type = df.schema[key].dataType
     # Enough chunks to spread the hot keys over the cluster, not more: the
     # chunk size grows when the hot volume would exceed MAX_CHUNKS chunks.
@@ -164,7 +169,7 @@ def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
         hot_in = keyed.filter(F.col("__hot"))
         if hot_list is not None:
             hot_in = hot_in.filter(F.col(key).isin(hot_list))
-        fine_map = (
+        counted = (
             hot_in.groupBy(key, "__fine")
             .agg(F.count(F.lit(1)).alias(_N))
             .withColumn(
@@ -174,23 +179,34 @@ def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
                     / F.lit(float(chunk_rows))
                 ).cast("long"),
             )
-            .select(key, "__fine", "__chunk_of_fine")
         )
-        keyed = keyed.join(F.broadcast(fine_map), [key, "__fine"], "left").withColumn(
-            _B, F.coalesce(F.col("__chunk_of_fine"), F.lit(0).cast("long"))
+        # Rows of the same chunk in later buckets; a bucket can hold one of
+        # the chunk's last lookback_rows rows only while that is below it.
+        wtail = Window.partitionBy(key, "__chunk_of_fine").orderBy(F.col("__fine").desc()).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        fine_map = counted.withColumn(
+            "__tailcand_of_fine", (F.sum(_N).over(wtail) - F.col(_N)) < F.lit(lookback_rows)
+        ).select(key, "__fine", "__chunk_of_fine", "__tailcand_of_fine")
+        chunk_counts = counted.groupBy(key, F.col("__chunk_of_fine").alias(_B)).agg(F.sum(_N).alias(_N))
+        keyed = (
+            keyed.join(F.broadcast(fine_map), [key, "__fine"], "left")
+            .withColumn(_B, F.coalesce(F.col("__chunk_of_fine"), F.lit(0).cast("long")))
+            .withColumn("__tailcand", F.coalesce(F.col("__tailcand_of_fine"), F.lit(False)))
         )
     else:
-        keyed = keyed.withColumn(_B, F.col("__fine"))
+        chunk_counts = None
+        keyed = keyed.withColumn(_B, F.col("__fine")).withColumn("__tailcand", F.col("__hot"))
     base = keyed.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))).drop(
-        "__tmin", "__tmax", "__nfine", "__fine", "__chunk_of_fine"
+        "__tmin", "__tmax", "__nfine", "__fine", "__chunk_of_fine", "__tailcand_of_fine"
     )
-    return base, hot_list, True
+    return base, hot_list, True, chunk_counts
 
 
 def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows, order_lags=None):
     L = max(lookback(lags, rolling), *(order_lags or {1: 1}).values())
     cols = df.columns
-    base, hot_list, any_hot = assign_chunks(df, key, order, hot_rows, chunk_rows)
+    base, hot_list, any_hot, chunk_counts = assign_chunks(df, key, order, hot_rows, chunk_rows, L)
     if not any_hot:
         # Without hot keys the plain plan is used unchanged.
         return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain",
@@ -202,13 +218,16 @@ def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, c
     # Last L rows of every hot chunk (a limit the planner pushes below the
     # exchange) and the per-chunk table: index, row count, rows up to its end.
     desc = [F.col(order).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in tiebreak]]
-    tails = hot.withColumn(_R, F.row_number().over(Window.partitionBy(key, _B).orderBy(*desc))).filter(
-        F.col(_R) <= F.lit(L)
+    tails = (
+        hot.filter(F.col("__tailcand"))
+        .withColumn(_R, F.row_number().over(Window.partitionBy(key, _B).orderBy(*desc)))
+        .filter(F.col(_R) <= F.lit(L))
     )
     wb = Window.partitionBy(key).orderBy(_B)
+    if chunk_counts is None:
+        chunk_counts = hot.groupBy(key, _B).agg(F.count(F.lit(1)).alias(_N))
     chunks = (
-        hot.groupBy(key, _B)
-        .agg(F.count(F.lit(1)).alias(_N))
+        chunk_counts
         .withColumn(_K, F.row_number().over(wb))
         .withColumn(_CUM, F.sum(_N).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("__has_next", F.lead(_B).over(wb).isNotNull())

@@ -115,7 +115,7 @@ def _bursty(spark):
 def test_chunks_are_balanced_by_count(spark):
     from panelspark.operators.windows import assign_chunks
 
-    base, hot_list, any_hot = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100)
+    base, hot_list, any_hot, _ = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100)
     assert any_hot and hot_list == [1]
     sizes = [r["count"] for r in base.filter("k = 1").groupBy("__chunk").count().collect()]
     # Equal time spans would put ~1,800 rows in one chunk.
@@ -153,3 +153,19 @@ def test_grain_flag_counts_duplicate_groups(spark):
     for kw in ({}, {"hot_rows": 2, "chunk_rows": 1}):
         tall = time_series_mart(staged, grain_flag="dup", **kw)
         assert tall.filter("dup").count() == duplicate_grain(tall).count() == 2
+
+
+def test_tail_candidates_cover_last_rows_of_each_chunk(spark):
+    from pyspark.sql import Window
+
+    from panelspark.operators.windows import assign_chunks
+
+    base, _, _, counts = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100, lookback_rows=12)
+    hot = base.filter("__hot")
+    w = Window.partitionBy("k", "__chunk").orderBy(F.col("t").desc(), F.col("value").desc())
+    last = hot.withColumn("r", F.row_number().over(w)).filter("r <= 12")
+    assert last.filter(~F.col("__tailcand")).count() == 0
+    # Only a small part of the hot rows needs the tail sort.
+    assert hot.filter("__tailcand").count() < hot.count() / 2
+    per_chunk = {(r.k, r["__chunk"]): r["count"] for r in hot.groupBy("k", "__chunk").count().collect()}
+    assert per_chunk == {(r.k, r["__chunk"]): r["__n"] for r in counts.collect()}
