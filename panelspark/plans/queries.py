@@ -48,12 +48,22 @@ def _raw(spark, sf):
     return derived.raw_tables(spark, sf)
 
 
+def _staged_panel(spark, sf):
+    """The unioned staged panel, written once under the checkpoint folder.
+
+    The window's hot-key pre-pass and the window itself both read it, so it
+    is derived from the fact tables once instead of twice, and later stages
+    restart from the written table rather than from the facts.
+    """
+    return stage_table(panels.combined(spark, sf), "staged")
+
+
 def _tall(spark, sf):
-    return marts.time_series_mart(panels.combined(spark, sf))
+    return marts.time_series_mart(_staged_panel(spark, sf))
 
 
 def _enriched(spark, sf):
-    return enrich_panel(panels.combined(spark, sf))
+    return enrich_panel(_staged_panel(spark, sf))
 
 
 # --- sources / extraction ---------------------------------------------------
