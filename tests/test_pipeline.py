@@ -34,3 +34,13 @@ def test_run_writes_marts_and_reports(spark, raw_dir, tmp_path):
 def test_gate_stops_the_run(spark, raw_dir, tmp_path):
     with pytest.raises(DataQualityError):
         pipeline.run(spark, pipeline.read_raw_tables(spark, raw_dir), str(tmp_path / "out"), as_of="2026-01-01")
+
+
+def test_cli_run(spark, raw_dir, tmp_path, capsys):
+    from panelspark.__main__ import main
+
+    rc = main(["run", "--raw", raw_dir, "--out", str(tmp_path / "cli"), "--as-of", "2026-01-01", "--no-gate"])
+    out = capsys.readouterr().out
+    assert rc == 0 and '"status": "ok"' in out
+    rc = main(["run", "--raw", raw_dir, "--out", str(tmp_path / "cli2"), "--as-of", "2026-01-01"])
+    assert rc == 1 and '"status": "failed"' in capsys.readouterr().out
