@@ -98,3 +98,21 @@ def test_tall_mart_one_exchange_on_series(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", plan)) == 1
     assert len(re.findall(r"\bWindow \[", plan)) == 1
+
+
+def test_chunked_plan_shape(spark):
+    """Skew path: the window exchanges on (key, chunk); the halo limit runs before its shuffle."""
+    from panelspark.operators.windows import series_windows
+
+    sp = panels.shipment_panel(spark, "/root/testdata/sf0.001")
+    out = series_windows(sp, "series_id", "date", "value", lags={"p": 1}, rolling={"a": 12}, latest="last",
+                         tiebreak=("l_orderkey", "l_linenumber", "value"), hot_rows=100, chunk_rows=200)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert re.search(r"Exchange hashpartitioning\(series_id#\d+, __chunk#\d+L, \d+\)", plan)
+    assert plan.count("WindowGroupLimit") == 2  # partial before the exchange, final after
+    assert "In(l_linestatus" in plan  # hot-key list pushed into the hot-only scans
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
