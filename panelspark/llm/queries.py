@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import langid, minhash, packing, quality_rules, sharding, token_counts, topk, toxicity, wavelet
+from panelspark.llm import langid, minhash, packing, quality_rules, sentencepiece_lattice, sharding, token_counts, topk, toxicity, wavelet
 from panelspark.llm.common import held_out, table
 
 
@@ -31,6 +31,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
+    return sentencepiece_lattice.encoded_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failures")
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sharding,
         op3_toxicity,
         op4_exact_top_k,
+        op5_sentencepiece,
         op6_quality_rules,
         op7_token_binary,
         op8_token_counts,
