@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side: no piece of text is ever shuffled.
 
-Tier 1 is a compact table of the lengths of frequent pieces, made from a bounded sample of documents
-(`SAMPLE_DOCS`) and broadcast; it never holds more than `FREQUENT` pieces of at most 32 characters, so its size
+Tier 1 is a compact table of the lengths of frequent pieces, made from a bounded sample (the first
+`SAMPLE_CHARS` characters of at most `SAMPLE_DOCS` documents) and broadcast; it never holds more than `FREQUENT` pieces of at most 32 characters, so its size
 is bounded whatever the input.  Tier 2 is each worker's cache (`tokens.PieceCache`): a piece missing in tier 1 is
 encoded once by the library and remembered there.  The sample decides speed only: a piece's length is the
 library's in either tier, and every text is counted whole.
@@ -22,35 +22,27 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import tokens
 from panelspark.llm.common import map_arrow
+from panelspark.llm.words import slices
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-SAMPLE_DOCS = 2_000
+SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 4_000
 FREQUENT = 30_000
 
 
 def frequent_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, n: int = FREQUENT) -> dict[str, int]:
-    """Lengths of the n most frequent pieces of a bounded sample of documents; at most n short strings."""
-    odd, pieces = tokens._KINDS[vocabulary]
+    """Lengths of the n most frequent pieces of a bounded sample; at most n short strings.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column("text").to_pylist():
-                if not odd.search(t):
-                    seen.update(p for p in pieces(t) if len(p) <= 32)
-        top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:n]
-        words = [w for w, _ in top]
-        ids = tokens.library(vocabulary).encode_batch_fast(words, add_special_tokens=False)
-        yield pa.RecordBatch.from_pydict(
-            {"piece": words, "n": [c for _, c in top], "tokens": [len(e.ids) for e in ids]},
-            pa.schema([("piece", pa.string()), ("n", pa.int64()), ("tokens", pa.int32())]),
-        )
-
-    sample = docs.where("text is not null").select(F.substring("text", 1, 20_000).alias("text")).limit(SAMPLE_DOCS)
-    rows = sample.transform(map_arrow, count, "piece string, n long, tokens int")
-    best = rows.groupBy("piece").agg(F.sum("n").alias("n"), F.max("tokens").alias("tokens"))
-    return {r.piece: r.tokens for r in best.orderBy(F.desc("n"), "piece").limit(n).collect()}
+    The sample is the beginnings of at most `SAMPLE_DOCS` documents; Spark stops reading when it has them.
+    """
+    odd, pieces = tokens._KINDS[vocabulary]
+    seen: Counter = Counter()
+    for (text,) in docs.where("text is not null").select(F.substring("text", 1, SAMPLE_CHARS)).limit(SAMPLE_DOCS).collect():
+        if not odd.search(text):
+            seen.update(p for p in pieces(text) if len(p) <= 32)
+    words = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:n]]
+    ids = tokens.library(vocabulary).encode_batch_fast(words, add_special_tokens=False)
+    return {w: len(e.ids) for w, e in zip(words, ids, strict=True)}
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
@@ -63,13 +55,15 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
         cache = tokens.cache(vocabulary, len)
         frequent = table.value
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            totals = [sum(x) for x in cache.lookup(texts, frequent)]
-            sizes = pc.binary_length(batch.column("text")).fill_null(0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), sizes, pa.array(totals, pa.int64()), pa.array([n > limit for n in totals], pa.bool_())],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
-            )
+            for part in slices(batch, "text", 2 << 20):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                totals = [sum(x) for x in cache.lookup(texts, frequent)]
+                sizes = pc.binary_length(part.column("text")).fill_null(0).cast(pa.int64())
+                over = pa.array([n > limit for n in totals], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), sizes, pa.array(totals, pa.int64()), over],
+                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+                )
 
     return docs.select("doc_id", "text").transform(
         map_arrow, count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean"
