@@ -1,7 +1,7 @@
 """Hierarchical packing of tokenised documents into sequences of several lengths.
 
 Every input partition is packed where it lies: tokens are never shuffled, and a worker holds one window of
-at most `WINDOW_DOCS` documents (and about 8 MB of text) with their tokens at a time.
+at most `WINDOW_DOCS` documents (and about 2 MB of text) with their tokens at a time.
 
 1. *Route*: a document longer than the longest tier gives full sequences of that tier (one piece each, no
    padding); its end, or a whole shorter document, goes to the tier with the next length above its own.
@@ -23,7 +23,6 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -120,25 +119,14 @@ def step_groups(sizes: list[int], step: int = STEP) -> list[int]:
     return out
 
 
-def _pack(vocabulary: str, tiers: tuple[int, ...], step: int):
+def _pack(vocabulary: str, tiers: tuple[int, ...], step: int, with_ids: bool):
     """Arrow function: documents of a partition in, pieces out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
         made = groups = 0
-        left: list[tuple[object, int, int, bytes]] = []  # document, its tokens, first, ids of the pieces left over
-        end = np.array([END], "<u4").tobytes()
-
         kind = None
-
-        def windows():
-            nonlocal kind
-            for batch in batches:
-                kind = batch.schema.field("doc_id").type
-                for part in slices(batch, "text"):
-                    for at in range(0, part.num_rows, WINDOW_DOCS):
-                        window = part.slice(at, WINDOW_DOCS)
-                        yield window.column("doc_id").to_pylist(), window.column("text").to_pylist()
+        left: list[tuple[object, int, int, memoryview]] = []  # document, its tokens, first, ids of what is left over
 
         def emit(sequences, docs):
             nonlocal made, groups
@@ -155,14 +143,20 @@ def _pack(vocabulary: str, tiers: tuple[int, ...], step: int):
             made, groups = made + len(sequences), groups + max(dealt, default=-1) + 1
             return rows
 
-        for doc_ids, texts in windows():
-            coded = [x + end for x in tokens.encode(vocabulary, texts)]
-            docs = left + [(d, len(x) // 4, 0, x) for d, x in zip(doc_ids, coded, strict=True)]
-            sequences, rest = pack_window((len(d[3]) // 4 for d in docs), tiers)
-            left = [(docs[d][0], docs[d][1], docs[d][2] + f, docs[d][3][4 * f : 4 * (f + n)]) for d, f, n in rest]
-            yield from _batches(emit(sequences, docs), kind)
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            for part in slices(batch, "text", 2 << 20):
+                for at in range(0, part.num_rows, WINDOW_DOCS):
+                    window = part.slice(at, WINDOW_DOCS)
+                    ids, off = tokens.with_end(*tokens.encode(vocabulary, window.column("text")), END)
+                    data, off = memoryview(ids.astype("<u4").tobytes()), off.tolist()
+                    names = window.column("doc_id").to_pylist()
+                    docs = left + [(d, b - a, 0, data[4 * a : 4 * b]) for d, a, b in zip(names, off[:-1], off[1:], strict=True)]
+                    sequences, rest = pack_window((len(d[3]) // 4 for d in docs), tiers)
+                    left = [(docs[d][0], docs[d][1], docs[d][2] + f, memoryview(bytes(docs[d][3][4 * f : 4 * (f + n)]))) for d, f, n in rest]
+                    yield from _batches(emit(sequences, docs), kind, with_ids)
         pieces = [(i, 0, len(d[3]) // 4) for i, d in enumerate(left)]
-        yield from _batches(emit(close(pieces), left), kind)
+        yield from _batches(emit(close(pieces), left), kind, with_ids)
 
     return run
 
@@ -170,22 +164,24 @@ def _pack(vocabulary: str, tiers: tuple[int, ...], step: int):
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group", "ids"]
 
 
-def _batches(rows: list[tuple], kind: pa.DataType, size: int = 8192) -> Iterator[pa.RecordBatch]:
+def _batches(rows: list[tuple], kind: pa.DataType, with_ids: bool, size: int = 8192) -> Iterator[pa.RecordBatch]:
+    names = _COLUMNS if with_ids else _COLUMNS[:-1]
+    types = {"ids": pa.binary(), "doc_id": kind}
     for at in range(0, len(rows), size):
         columns = list(zip(*rows[at : at + size], strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, {"ids": pa.binary(), "doc_id": kind}.get(n, pa.int64())) for n, c in zip(_COLUMNS, columns, strict=True)],
-            names=_COLUMNS,
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(c, types.get(n, pa.int64())) for n, c in zip(names, columns)], names=names)  # noqa: B905
 
 
-def pack(docs: DataFrame, vocabulary: str = VOCABULARY, tiers: tuple[int, ...] = TIERS, step: int = STEP) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str = VOCABULARY, tiers: tuple[int, ...] = TIERS, step: int = STEP, with_ids: bool = True
+) -> DataFrame:
     """Pieces of all documents: where each lies in its document and its sequence, with its ids (32-bit, little-endian)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long, ids binary"
-    return docs.select("doc_id", "text").transform(map_arrow, _pack(vocabulary, tiers, step), schema)
+    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
+    rows = docs.select("doc_id", "text")
+    return rows.transform(map_arrow, _pack(vocabulary, tiers, step, with_ids), schema + ", ids binary" * with_ids)
 
 
 def packing_ledger(docs: DataFrame) -> DataFrame:
-    """The pieces without their ids."""
-    return pack(docs).drop("ids")
+    """The pieces without their ids (digests are taken before they leave the worker)."""
+    return pack(docs, with_ids=False)

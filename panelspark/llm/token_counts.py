@@ -1,10 +1,10 @@
 """Token counts by a two-tier lookup on the map side: no piece of text is ever shuffled.
 
-Tier 1 is a compact table of the lengths of frequent pieces, made from a bounded sample (the first
-`SAMPLE_CHARS` characters of at most `SAMPLE_DOCS` documents) and broadcast; it never holds more than `FREQUENT` pieces of at most 32 characters, so its size
-is bounded whatever the input.  Tier 2 is each worker's cache (`tokens.PieceCache`): a piece missing in tier 1 is
-encoded once by the library and remembered there.  The sample decides speed only: a piece's length is the
-library's in either tier, and every text is counted whole.
+Tier 1 is a compact hash table (numpy arrays) of the token counts of frequent pieces, made from a bounded sample (the
+first `SAMPLE_CHARS` characters of at most `SAMPLE_DOCS` documents) and broadcast; it holds at most `FREQUENT` pieces,
+about 50 bytes each, so its size is bounded whatever the input.  Tier 2 is each worker's own table
+(`tokens.PieceTable`): a piece missing in tier 1 is encoded once by the library and remembered there.  The sample
+decides speed only: a piece's count is the library's in either tier, and every text is counted whole.
 
 Defined edge cases: null and empty texts have no bytes and no tokens; repeated rows give repeated results;
 an empty table gives an empty result; columns other than doc_id and text are ignored.
@@ -12,9 +12,9 @@ an empty table gives an empty result; columns other than doc_id and text are ign
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -30,40 +30,32 @@ SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 4_000
 FREQUENT = 30_000
 
 
-def frequent_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, n: int = FREQUENT) -> dict[str, int]:
-    """Lengths of the n most frequent pieces of a bounded sample; at most n short strings.
-
-    The sample is the beginnings of at most `SAMPLE_DOCS` documents; Spark stops reading when it has them.
-    """
-    odd, pieces = tokens._KINDS[vocabulary]
-    seen: Counter = Counter()
-    for (text,) in docs.where("text is not null").select(F.substring("text", 1, SAMPLE_CHARS)).limit(SAMPLE_DOCS).collect():
-        if not odd.search(text):
-            seen.update(p for p in pieces(text) if len(p) <= 32)
-    words = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:n]]
-    ids = tokens.library(vocabulary).encode_batch_fast(words, add_special_tokens=False)
-    return {w: len(e.ids) for w, e in zip(words, ids, strict=True)}
+def frequent_counts(docs: DataFrame, vocabulary: str = VOCABULARY, n: int = FREQUENT) -> tokens.PieceTable:
+    """Token counts of the n most frequent pieces of the sample; Spark stops reading when it has the sample."""
+    rows = docs.where("text is not null").select(F.substring("text", 1, SAMPLE_CHARS)).limit(SAMPLE_DOCS).collect()
+    pieces = tokens.Pieces(vocabulary, pa.array([r[0] for r in rows], pa.string()))
+    _, first, times = np.unique(pieces.hash, return_index=True, return_counts=True)
+    best = first[np.argsort(-times, kind="stable")[:n]]
+    coded = tokens.library(vocabulary).encode_batch_fast(pieces.text(best), add_special_tokens=False)
+    table = tokens.PieceTable(max(1024, len(best)))
+    table.add(pieces.hash[best], pieces.check[best], np.fromiter(map(len, coded), np.int32, len(coded)))
+    return table
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document (map-only after the table of frequent pieces)."""
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent_lengths(docs, vocabulary))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_counts(docs, vocabulary))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = tokens.cache(vocabulary, len)
-        frequent = table.value
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                totals = [sum(x) for x in cache.lookup(texts, frequent)]
-                sizes = pc.binary_length(part.column("text")).fill_null(0).cast(pa.int64())
-                over = pa.array([n > limit for n in totals], pa.bool_())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), sizes, pa.array(totals, pa.int64()), over],
-                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
-                )
+        coder, frequent = tokens.coder(vocabulary, keep_ids=False), table.value
+        for part in (part for batch in batches for part in slices(batch, "text", 2 << 20)):
+            n = coder.count(part.column("text"), frequent)
+            sizes = pc.binary_length(part.column("text")).fill_null(0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), sizes, pa.array(n), pa.array(n > limit)],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+            )
 
     return docs.select("doc_id", "text").transform(
         map_arrow, count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean"

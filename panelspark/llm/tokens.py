@@ -1,39 +1,28 @@
-"""Tokenising whole texts with public vocabularies, through caches of white-space pieces in each worker.
+"""Tokenising whole texts with public vocabularies, through a table of known pieces in each worker.
 
 Both vocabularies split a text at white space before merging, so the tokens of a text are the tokens of its
-pieces in order.  A worker keeps the pieces it has seen (two generations of bounded size) and sends only new
-ones to the library, in one batch.  Texts in which pieces are not provably independent (runs of blanks, other
-white space, characters beyond Latin, special-token strings) go to the library whole; so results equal the
-library's for every text, and only the speed differs.
+white-space pieces in order.  A batch's pieces are hashed in one pass over the Arrow bytes (`words`), looked up in an
+open-addressing table of numpy arrays, and only pieces that the worker has not seen go to the library, in one call.
+Texts in which pieces are not provably independent (runs of white space, characters beyond Latin-1, special-token
+strings, very long pieces) go to the library whole.  So results equal the library's for every text, and only the
+speed differs.  The table has a fixed size and starts again when it is full.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
-#: Pieces a worker keeps in each of two generations, and the longest piece kept.
-CACHE = 350_000
-LONGEST = 64
+from panelspark.llm.words import U64, buffers, hash_spans, spans
 
-_BYTE_BPE_ODD = re.compile(r" (?:\s|\Z)|[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|")
-_WORD_BPE_ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-įı-ɏ]|<\|")
+#: Pieces that a worker's table holds; it takes 40 bytes for each, and four for each of their ids.
+PIECES = 1 << 21
+#: Longest piece (bytes) that is looked up; a text with a longer one goes to the library whole.
+LONGEST = 200
 
-
-def _byte_bpe_pieces(text: str) -> list[str]:
-    head, *rest = text.split(" ")
-    return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
-
-
-def _word_bpe_pieces(text: str) -> list[str]:
-    return text.lower().split()
-
-
-#: Vocabulary file -> (texts that go to the library whole, pieces of the others).
-_KINDS = {"byte_bpe_50k.json": (_BYTE_BPE_ODD, _byte_bpe_pieces), "word_bpe_49k.json": (_WORD_BPE_ODD, _word_bpe_pieces)}
+_END = 10**9
 
 
 def vocabulary(name: str) -> str:
@@ -50,55 +39,227 @@ def library(name: str):
     return Tokenizer.from_file(vocabulary(name))
 
 
-class PieceCache(dict):
-    """piece -> value, for pieces seen lately; `fill` makes the values of new pieces in one library call."""
-
-    def __init__(self, name: str, value, limit: int = CACHE):
-        super().__init__()
-        self.tokenizer, self.value, self.limit = library(name), value, limit
-        self.old: dict = {}
-        self.odd, self.pieces = _KINDS[name]
-
-    def whole(self, texts: Sequence[str]) -> list:
-        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
-
-    def lookup(self, texts: Sequence[str], frequent: dict | None = None) -> list[list]:
-        """Values of each text's pieces, in order; `frequent` is a fixed first tier that holds values too."""
-        first = frequent or {}
-        split = [None if self.odd.search(t) else self.pieces(t) for t in texts]
-        rest = {p for pieces in split if pieces for p in pieces}.difference(first)
-        new = rest.difference(self)
-        if len(self) + len(new) > self.limit:
-            self.old = dict(self)
-            self.clear()
-            new = rest
-        self.update((p, self.old[p]) for p in new if p in self.old)
-        fresh = list(new.difference(self.old))
-        self.update(zip(fresh, self.whole(fresh), strict=True))
-        odd = iter(self.whole([t for t, pieces in zip(texts, split, strict=True) if pieces is None]))
-        both = first | {p: self[p] for p in rest} if first else self
-        out = [[next(odd)] if pieces is None else list(map(both.__getitem__, pieces)) for pieces in split]
-        for p in fresh:
-            if len(p) > LONGEST:
-                del self[p]
+# ---- pieces of plain texts ------------------------------------------------------------------------------------
+
+
+def _unusual(raw: np.ndarray, allowed_controls: tuple[int, ...]) -> np.ndarray:
+    """True at bytes of characters other than printable ASCII, printable Latin-1 and the allowed controls."""
+    table = np.zeros(256, bool)
+    table[:32] = True
+    table[list(allowed_controls)] = False
+    table[127] = True
+    table[0xC4:] = True
+    bad = table[raw]
+    two = np.flatnonzero(raw[:-1] == 0xC2)
+    bad[two] |= raw[two + 1] <= 0xA0
+    mark = np.flatnonzero(raw[:-1] == ord("<"))
+    bad[mark] |= raw[mark + 1] == ord("|")
+    return bad
+
+
+def _texts_with(bad: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """For each text, whether it holds a marked byte."""
+    run = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
+    return run[off[1:]] > run[off[:-1]]
+
+
+def _byte_bpe_pieces(raw: np.ndarray, off: np.ndarray):
+    """Pieces begin at every blank and line feed: before a character that is no white space, each begins a token."""
+    bad = _unusual(raw, (10,))
+    follows = np.append(raw[1:], 32)
+    blank, feed = raw == 32, raw == 10
+    bad |= blank & ((follows == 32) | (follows == 10)) | feed & (follows == 10)
+    last = off[1:][off[1:] > off[:-1]] - 1
+    bad[last] |= blank[last]
+    begin = blank | feed
+    begin[off[:-1][off[:-1] < len(raw)]] = True
+    start = np.flatnonzero(begin)
+    return raw, start, np.append(start[1:], len(raw)), bad
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _word_bpe_pieces(raw: np.ndarray, off: np.ndarray):
+    """Words in lower case: this vocabulary drops white space and never merges across it."""
+    bad = _unusual(raw, (9, 10, 13))
+    low = _LOWER[raw]
+    second = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    capital = second[(raw[second] <= 0x9E) & (raw[second] != 0x97)]
+    low[capital] += 32
+    start, end, _ = spans(low, off)
+    return low, start, end, bad
+
+
+_KINDS = {"byte_bpe_50k.json": _byte_bpe_pieces, "word_bpe_49k.json": _word_bpe_pieces}
+
+
+class Pieces:
+    """Pieces of a batch of texts: their owners, places and keys, and the texts that have none."""
+
+    def __init__(self, name: str, texts: pa.Array):
+        raw, off = buffers(texts)
+        self.n = len(off) - 1
+        if not len(raw):
+            raw = np.zeros(0, np.uint8)
+            start = end = np.zeros(0, np.int64)
+            self.odd = np.zeros(self.n, bool)
+        else:
+            raw, start, end, bad = _KINDS[name](raw, off)
+            bad[start] |= end - start > LONGEST
+            self.odd = _texts_with(bad, off)
+        owner = np.searchsorted(off, start, side="right") - 1
+        keep = ~self.odd[owner] if self.odd.any() else slice(None)
+        self.raw, self.start, self.end, self.owner = raw, start[keep], end[keep], owner[keep]
+        self.hash = hash_spans(raw, self.start, self.end) | U64(1)
+        self.check = self._check()
+
+    def _check(self) -> np.ndarray:
+        """The first eight bytes and the size: with the hash, the identity of a piece."""
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(self.raw) + 1,), "<u8", padded, strides=(1,))
+        size = (self.end - self.start).astype(np.uint64)
+        short = U64(64) - U64(8) * np.minimum(size, U64(8))
+        return ((eight[self.start] << short) >> short) + size * U64(0x9E3779B97F4A7C15)
+
+    def text(self, at: np.ndarray) -> list[str]:
+        data = self.raw.tobytes()
+        return [data[a:b].decode() for a, b in zip(self.start[at].tolist(), self.end[at].tolist(), strict=True)]
+
+
+class PieceTable:
+    """Open-addressing table: (hash, check) -> row; a row has a token count and, if kept, the tokens."""
+
+    def __init__(self, pieces: int = PIECES):
+        self.limit, self.slots = pieces, 1 << (2 * pieces - 1).bit_length()
+        self.rows = 0
+        self.hash, self.check = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.uint64)
+        self.row = np.zeros(self.slots, np.int32)
+        self.count, self.first = np.zeros(1024, np.int32), np.zeros(1024, np.int64)
+        self.ids, self.used = np.zeros(4096, np.uint32), 0
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Row of each key, -1 if it is not there."""
+        out = np.full(len(hashes), -1, np.int32)
+        slot = (hashes >> U64(20)).astype(np.int64) & (self.slots - 1)
+        left = np.arange(len(hashes))
+        while len(left):
+            held = self.hash[slot]
+            same = (held == hashes[left]) & (self.check[slot] == checks[left])
+            out[left[same]] = self.row[slot[same]]
+            go = ~same & (held != 0)
+            left, slot = left[go], (slot[go] + 1) & (self.slots - 1)
         return out
 
+    def add(self, hashes: np.ndarray, checks: np.ndarray, counts: np.ndarray, ids: np.ndarray | None = None) -> None:
+        """Rows for new distinct keys; there must be room."""
+        n, rows = len(hashes), self.rows
+        while rows + n > len(self.count):
+            self.count, self.first = (np.concatenate([x, np.zeros_like(x)]) for x in (self.count, self.first))
+        self.count[rows : rows + n] = counts
+        if ids is not None:
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.first[rows : rows + n] = self.used + np.cumsum(counts) - counts
+            self.used += len(ids)
+        self.rows += n
+        number = np.arange(rows, rows + n, dtype=np.int32)
+        slot = (hashes >> U64(20)).astype(np.int64) & (self.slots - 1)
+        left = np.arange(n)
+        while len(left):
+            free = np.flatnonzero(self.hash[slot] == 0)
+            self.row[slot[free]] = number[left[free]]  # of several for one slot the last stays, and is the one found below
+            won = np.zeros(len(left), bool)
+            won[free] = self.row[slot[free]] == number[left[free]]
+            self.hash[slot[won]], self.check[slot[won]] = hashes[left[won]], checks[left[won]]
+            left, slot = left[~won], (slot[~won] + 1) & (self.slots - 1)
+
+
+class Coder:
+    """A worker's table for one vocabulary."""
+
+    def __init__(self, name: str, keep_ids: bool = True, pieces: int = PIECES):
+        self.name, self.keep_ids, self.limit = name, keep_ids, pieces
+        self.tokenizer, self.table = library(name), PieceTable(pieces)
+
+    def _library(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def rows(self, pieces: Pieces, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Table rows of pieces; those not known are encoded once and added."""
+        hashes, checks = pieces.hash[at], pieces.check[at]
+        found = self.table.find(hashes, checks)
+        lost = np.flatnonzero(found < 0)
+        if len(lost):
+            _, one = np.unique(hashes[lost], return_index=True)
+            new = lost[one]
+            if self.table.rows + len(new) > self.table.limit:
+                # start again; a single text with more distinct pieces than the limit makes a larger table
+                self.table = PieceTable(max(self.limit, len(np.unique(hashes))))
+                return self.rows(pieces, at)
+            coded = self._library(pieces.text(np.arange(len(pieces.start))[at][new]))
+            counts = np.fromiter(map(len, coded), np.int32, len(coded))
+            ids = np.fromiter((i for e in coded for i in e.ids), np.uint32, int(counts.sum())) if self.keep_ids else None
+            self.table.add(hashes[new], checks[new], counts, ids)
+            found[lost] = self.table.find(hashes[lost], checks[lost])
+        return found
+
+    def whole(self, texts: pa.Array, odd: np.ndarray) -> list:
+        return self._library(texts.take(pa.array(np.flatnonzero(odd))).to_pylist()) if odd.any() else []
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's ids begin: n + 1 places)."""
+        pieces = Pieces(self.name, texts)
+        rows = self.rows(pieces)
+        count = self.table.count[rows].astype(np.int64)
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.table.ids[np.repeat(self.table.first[rows] - (ends - count), count) + np.arange(total)]
+        sizes = np.bincount(pieces.owner, weights=count, minlength=pieces.n).astype(np.int64)
+        off = np.concatenate([[0], np.cumsum(sizes)])
+        if pieces.odd.any():
+            coded = [np.array(e.ids, np.uint32) for e in self.whole(texts, pieces.odd)]
+            at = np.flatnonzero(pieces.odd)
+            ids = np.insert(ids, np.repeat(off[at], [len(c) for c in coded]), np.concatenate(coded))
+            sizes[at] = [len(c) for c in coded]
+            off = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, off
+
+    def count(self, texts: pa.Array, frequent: PieceTable | None = None) -> np.ndarray:
+        """Number of ids of each text; `frequent` is a fixed first tier."""
+        pieces = Pieces(self.name, texts)
+        if frequent is None:
+            rows = self.rows(pieces)  # may replace the table's arrays
+            count = self.table.count[rows]
+        else:
+            row = frequent.find(pieces.hash, pieces.check)
+            count = frequent.count[row]
+            rest = np.flatnonzero(row < 0)
+            rows = self.rows(pieces, rest)
+            count[rest] = self.table.count[rows]
+        sizes = np.bincount(pieces.owner, weights=count, minlength=pieces.n).astype(np.int64)
+        sizes[pieces.odd] = [len(e) for e in self.whole(texts, pieces.odd)]
+        return sizes
+
 
-def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+_CODERS: dict = {}
 
 
-_CACHES: dict = {}
+def coder(name: str, keep_ids: bool = True) -> Coder:
+    """This worker's coder; it lives as long as the Python worker does."""
+    key = (name, keep_ids)
+    if key not in _CODERS:
+        _CODERS[key] = Coder(name, keep_ids)
+    return _CODERS[key]
 
 
-def cache(name: str, value=_as_bytes) -> PieceCache:
-    """This worker's cache; it lives as long as the Python worker does."""
-    key = (name, value)
-    if key not in _CACHES:
-        _CACHES[key] = PieceCache(name, value)
-    return _CACHES[key]
+def encode(name: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch of texts (null: none), without added special tokens, and where each text's ids begin."""
+    return coder(name).encode(texts)
 
 
-def encode(name: str, texts: Sequence[str | None]) -> list[bytes]:
-    """Ids of each text (null: none) as little-endian unsigned 32-bit integers, without added special tokens."""
-    return list(map(b"".join, cache(name).lookup([t or "" for t in texts])))
+def with_end(ids: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an id appended to every text."""
+    return np.insert(ids, off[1:], np.uint32(end)), off + np.arange(len(off))

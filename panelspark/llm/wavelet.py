@@ -143,35 +143,40 @@ _FIELDS = [("shard", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()
 
 
 def _blocks(vocabulary: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = TaskContext.get().partitionId(), 0
         names: list = []
-        coded: list[bytes] = []
-        held, kind = 0, None
+        sizes: list[int] = []
+        held: list[np.ndarray] = []
+        kind = None
 
         def block():
-            nonlocal number, held
-            ids = np.frombuffer(b"".join(coded), "<u4")
-            values = [[shard], [number], [len(ids)], [[len(x) // 4 for x in coded]], [encode(ids)]]
+            nonlocal number
+            ids = np.concatenate(held)
+            values = [[shard], [number], [len(ids)], [sizes], [encode(ids)]]
             arrays = [pa.array(v, t) for v, (_, t) in zip(values, _FIELDS, strict=True)]
-            number, held = number + 1, 0
+            number += 1
             out = pa.RecordBatch.from_arrays([*arrays, pa.array([names], pa.list_(kind))], names=[*[f for f, _ in _FIELDS], "doc_ids"])
-            names.clear()
-            coded.clear()
+            for part in (names, sizes, held):
+                part.clear()
             return out
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", 2 << 20):
-                found = tokens.encode(vocabulary, part.column("text").to_pylist())
-                for name, data in zip(part.column("doc_id").to_pylist(), found, strict=True):
-                    names.append(name)
-                    coded.append(data + end)
-                    held += len(data) // 4 + 1
-                    if held >= BLOCK:
+            for part in slices(batch, "text", 1 << 20):
+                ids, off = tokens.with_end(*tokens.encode(vocabulary, part.column("text")), end_id)
+                doc_ids = part.column("doc_id").to_pylist()
+                at = 0
+                while at < len(doc_ids):  # whole documents up to the size of a block
+                    room = BLOCK - sum(map(len, held))
+                    to = max(at + 1, int(np.searchsorted(off, off[at] + room, side="right")) - 1)
+                    to = min(to, len(doc_ids))
+                    names += doc_ids[at:to]
+                    sizes += np.diff(off[at : to + 1]).tolist()
+                    held.append(ids[off[at] : off[to]])
+                    if to < len(doc_ids) or sum(map(len, held)) >= BLOCK:
                         yield block()
+                    at = to
         if names:
             yield block()
 
