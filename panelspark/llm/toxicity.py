@@ -9,8 +9,8 @@ text.  Weights are learned from document counts over all labelled rows outside t
 when the lower bound of its log odds is high (`BOUND` standard errors), so chance words of few texts stay out.
 At most `LEXICON` terms, the strongest: that bounds the automaton that goes to the workers.
 
-*Exception phrases*: a lexicon word together with the word before or after it, when that pair stands in clean
-texts more than chance allows; a match inside an exception does not count.  They are learned with the same
+*Exception phrases*: a lexicon word together with the word before or after it, when that pair stands in more clean
+than toxic texts beyond chance; a match inside an exception does not count.  They are learned with the same
 counts and may be extended by hand.
 
 *Score*: matched weight and matched weight per word (the normalisation by length) go through a logistic curve
@@ -40,6 +40,8 @@ from panelspark.llm.words import slices
 LEXICON = 5_000
 EXCEPTIONS = 2_000
 BOUND = 2.5
+#: Standard errors by which a pair must stand in more clean than toxic texts to be an exception.
+EXCEPTION_BOUND = 1.645
 MIN_LOG_ODDS = 1.0
 PREFIXES = (4, 5, 6, 7)
 TOXIC_AT = 0.7
@@ -201,18 +203,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
             state["a"] = shared.value.automaton()
         return {p for at in shared.value.matches(state["a"], folded) for p in pairs(folded, at)}
 
-    lean, error = _log_odds("clean", "toxic", n_clean, n_toxic)
-    phrase = _counted(rows, phrases).withColumn("low", lean - F.lit(BOUND) * error).where("low > 0")
+    t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    low = F.log(c / t) - F.lit(EXCEPTION_BOUND) * F.sqrt(1 / t + 1 / c)
+    phrase = _counted(rows, phrases).withColumn("low", low).where("low > 0")
     lexicon.exceptions = {r.term for r in phrase.orderBy(F.desc("low"), "term").limit(EXCEPTIONS).collect()}
 
     shared = spark.sparkContext.broadcast(lexicon)
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value.automaton()
-        for batch in batches:
-            found = [shared.value.measure(automaton, fold(t)) for t in batch.column("text").to_pylist()]
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            found = [shared.value.measure(automaton, fold(t)) for t in part.column("text").to_pylist()]
             at = np.minimum(np.array(found, float).reshape(-1, 2) / WIDTH, BINS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), batch.column("toxic")], names=["x", "y", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), part.column("toxic")], names=["x", "y", "toxic"])
 
     table = rows.transform(map_arrow, bins, "x int, y int, toxic int").groupBy("x", "y", "toxic").agg(F.count("*").alias("n")).orderBy("x", "y", "toxic").toPandas()
     centre = (table[["x", "y"]].to_numpy(float) + 0.5) * WIDTH * (table[["x", "y"]].to_numpy() > 0)
@@ -236,10 +239,10 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     score = _scores(docs.sparkSession.sparkContext.broadcast(lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = score(batch)
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            found = score(part)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.float64()), pa.array((found >= TOXIC_AT).astype(np.int32))],
+                [part.column("doc_id"), pa.array(found, pa.float64()), pa.array((found >= TOXIC_AT).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],
             )
 
@@ -251,7 +254,7 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     score = _scores(docs.sparkSession.sparkContext.broadcast(lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(score(batch) < TOXIC_AT, pa.bool_()))
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            yield part.filter(pa.array(score(part) < TOXIC_AT, pa.bool_()))
 
     return docs.transform(map_arrow, run, docs.schema)
