@@ -9,15 +9,15 @@ from .. import catalog as C
 from ..functions.classify import classify_signal, classify_trend
 from ..functions.numeric import round_half_away, safe_pct_change
 from ..schemas import ENRICHED_COLUMNS
-from .windows import HOT_ROWS, CHUNK_ROWS, series_windows
+from .windows import series_windows
 
 WINDOW_LAGS = {"prev_period_value": C.LAG_PERIOD_ROWS, "prev_year_value": C.LAG_YEAR_ROWS}
 WINDOW_ROLLING = {"__avg3": C.ROLL_SHORT_ROWS, "__avg12": C.ROLL_LONG_ROWS}
 
 
 def add_window_metrics(panel: DataFrame, key: str = "series_id", order: str = "date", value: str = "value",
-                       latest: str | None = None, strategy: str = "chunked", hot_rows: int = HOT_ROWS,
-                       chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
+                       latest: str | None = None, strategy: str = "ranged",
+                       grain_flag: str | None = None) -> DataFrame:
     """W1-W4 (+W5 when ``latest`` is named) in one Window pass.
 
     ``grain_flag`` names a column that is TRUE on the second row of every
@@ -26,7 +26,7 @@ def add_window_metrics(panel: DataFrame, key: str = "series_id", order: str = "d
     """
     out = series_windows(
         panel, key, order, value, lags=WINDOW_LAGS, rolling=WINDOW_ROLLING, latest=latest,
-        tiebreak=(value,), strategy=strategy, hot_rows=hot_rows, chunk_rows=chunk_rows,
+        tiebreak=(value,), strategy=strategy,
         order_lags={"__d1": 1, "__d2": 2} if grain_flag else None,
     )
     if grain_flag:
@@ -62,16 +62,15 @@ def add_signals(df: DataFrame, category: str = "indicator_category", value: str
     )
 
 
-def enrich_panel(combined: DataFrame, latest: str | None = None, strategy: str = "chunked",
-                 hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
+def enrich_panel(combined: DataFrame, latest: str | None = None, strategy: str = "ranged",
+                 grain_flag: str | None = None) -> DataFrame:
     """Unioned staged panel → 17-column enriched panel.
 
     Rows with a NULL date take part in the windows (they sort first) and are
     dropped only afterwards.  When ``latest`` is given the latest-row flag is
     computed in the same Window pass (one sort instead of two).
     """
-    df = add_window_metrics(combined, latest=latest, strategy=strategy, hot_rows=hot_rows, chunk_rows=chunk_rows,
-                            grain_flag=grain_flag)
+    df = add_window_metrics(combined, latest=latest, strategy=strategy, grain_flag=grain_flag)
     df = add_signals(add_changes(df))
     cols = list(ENRICHED_COLUMNS) + [c for c in (latest, grain_flag) if c]
     return df.filter(F.col("date").isNotNull()).select(*cols)

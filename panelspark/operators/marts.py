@@ -11,24 +11,22 @@ from .. import catalog as C
 from ..functions.classify import decode_signal, encode_signal
 from ..schemas import TALL_COLUMNS
 from .enrich import enrich_panel
-from .windows import CHUNK_ROWS, HOT_ROWS, series_windows
+from .windows import series_windows
 
 
-def time_series_mart(combined: DataFrame, strategy: str = "chunked", hot_rows: int = HOT_ROWS,
-                     chunk_rows: int = CHUNK_ROWS, grain_flag: str | None = None) -> DataFrame:
+def time_series_mart(combined: DataFrame, strategy: str = "ranged", grain_flag: str | None = None) -> DataFrame:
     """Unioned staged panel → 15-column tall mart with ``is_latest``.
 
     The latest flag shares the enrichment's Window (same partitioning and
     order), so the whole mart costs one exchange and one sort.  With
     ``grain_flag`` a 16th column marks duplicate (series, date) groups.
     """
-    enriched = enrich_panel(combined, latest="is_latest", strategy=strategy, hot_rows=hot_rows,
-                            chunk_rows=chunk_rows, grain_flag=grain_flag)
+    enriched = enrich_panel(combined, latest="is_latest", strategy=strategy, grain_flag=grain_flag)
     return enriched.select(*TALL_COLUMNS, *([grain_flag] if grain_flag else []))
 
 
 def latest_flag(df: DataFrame, key: str = "series_id", order: str = "date", name: str = "is_latest",
-                strategy: str = "chunked") -> DataFrame:
+                strategy: str = "ranged") -> DataFrame:
     """W5 on any panel: TRUE on the last row (by ``order``) of each key."""
     return series_windows(df, key, order, value=order, latest=name, strategy=strategy)
 
@@ -38,9 +36,10 @@ def kpi_latest(tall: DataFrame) -> DataFrame:
     return tall.filter(F.col("is_latest"))
 
 
-def tabs_frame(spark: SparkSession) -> DataFrame:
-    """Tab lookup joined to the categories each tab charts (tiny, fixed)."""
-    tabs = spark.createDataFrame(list(C.TABS), "tab_id int, tab_name string")
+def tabs_frame(spark: SparkSession, tabs: DataFrame | None = None) -> DataFrame:
+    """Tab lookup (S6, as read from its CSV) joined to the categories each tab charts (tiny, fixed)."""
+    if tabs is None:
+        tabs = spark.createDataFrame(list(C.TABS), "tab_id int, tab_name string")
     cats = spark.createDataFrame(list(C.TAB_CATEGORIES), "tab_id int, indicator_category string")
     return tabs.join(cats, "tab_id")
 

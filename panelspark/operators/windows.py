@@ -1,32 +1,28 @@
 """Per-series look-back windows: lag, rolling average, latest flag.
 
-Two physical strategies produce identical results.
-
-``plain``   one Window over ``partitionBy(key)``: one hash exchange, one
-            sort; all metrics share it.  A key's rows land in one task.
-
-``chunked`` (default) the same Window, but a *hot* key (more than
-            ``hot_rows`` rows) is cut into contiguous time chunks of about
-            ``chunk_rows`` rows, and the window runs per (key, chunk).
-            Chunks are balanced by count: time is cut into fine buckets,
-            the buckets are counted and merged in order until a chunk holds
-            ``chunk_rows`` rows.  Every
-            look-back here is bounded (at most ``L`` = 12 rows), so each
-            chunk only needs the last ``L`` rows before it: a small "halo"
-            copied in from earlier chunks.  A one-row marker per non-final
-            chunk tells the last row of a chunk that the series continues
-            (for the latest flag).  Keys below the threshold get a single
-            chunk and behave exactly as in ``plain``.
-
-            Extra work is small and bounded: one partial aggregate of row
-            counts per key (a pre-pass over key and time only), a broadcast
-            of the hot-key list (at most rows/hot_rows entries), and for hot
-            keys only the last ``L`` rows per chunk plus a per-chunk table.
-            The full data still crosses exactly one exchange.  Without hot
-            keys the plan is exactly ``plain``.
-
-Ordering is ``order ASC NULLS FIRST`` then the ``tiebreak`` columns, so
-NULL times take part in the window first, as in the reference.
+``plain``   one Window over ``partitionBy(key)``: one hash exchange, one sort.  A key's rows land in one task; for
+            panels whose keys are known to be many and small.
+
+``ranged``  (default) no key, timestamp or NULL key can land in one task.  The rows are range-partitioned on
+            (key, order, tiebreak, hash of the row), so a series is cut wherever a partition is full, also inside
+            rows that tie on the order column.  The window then runs per (key, partition).  Every look-back is at
+            most ``L`` rows, so a partition that begins inside a series needs only that series' last ``L`` rows
+            before it.  These come from the ends of the partitions: the last ``L`` rows and the first row of each
+            one, a table of at most ``partitions * (L + 1)`` rows (taken with a row-number limit that runs before
+            its exchange).  They are copied to the partitions that need them (halo), and a marker row tells a
+            partition that its last series goes on (for the latest flag).
+
+            Everything is lazy and there is no threshold: small and huge series take the same plan.
+
+            The cuts must be the same for the rows and for the ends.  Both read one exchange: they use the same
+            columns of the same range-partitioned frame, so the planner (and adaptive execution) reuses the
+            exchange, whose bounds are sampled once, on the driver, when it is made.  A retried task uses these
+            bounds; a range exchange with a given number of partitions is never coalesced or split by adaptive
+            execution, so a partition's number means the same in both branches.  ``spark.sql.exchange.reuse`` is
+            therefore required (``session.configure``), and tests assert the reuse in the executed plan.
+
+Ordering is ``order ASC NULLS FIRST`` then the ``tiebreak`` columns, so NULL times take part in the window first, as
+in the reference.  Rows that tie on all of these are ordered by a hash of the row.
 """
 
 from __future__ import annotations
@@ -35,26 +31,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-HOT_ROWS = 1_000_000
-CHUNK_ROWS = 250_000
-FINE_PER_CHUNK = 256
-MAX_FINE_BUCKETS = 1_000_000
-MAX_CHUNKS = 100_000
-
-_B, _KIND, _R, _K, _N, _CUM = "__chunk", "__kind", "__r", "__k", "__n", "__cum_end"
-_OWN, _HALO, _MARK = 1, 0, 2
 
-
-def _numeric_time(df: DataFrame, order: str) -> Column:
-    t = dict(df.dtypes)[order]
-    c = F.col(order)
-    if t == "date":
-        return F.unix_date(c).cast("long")
-    if t.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp"))
-    return c.cast("double")
+_PART, _KIND, _D, _C, _TIE = "__part", "__kind", "__d", "__c", "__tie"
+_HALO, _OWN, _MARK = 0, 1, 2
 
 
 def _metrics(value: str, lags: Mapping[str, int], rolling: Mapping[str, int], latest: str | None,
@@ -71,8 +50,8 @@ def _metrics(value: str, lags: Mapping[str, int], rolling: Mapping[str, int], la
     return out
 
 
-def lookback(lags: Mapping[str, int], rolling: Mapping[str, int]) -> int:
-    return max([*lags.values(), *[n - 1 for n in rolling.values()], 1])
+def lookback(lags: Mapping[str, int], rolling: Mapping[str, int], order_lags: Mapping[str, int] | None = None) -> int:
+    return max([*lags.values(), *[n - 1 for n in rolling.values()], *(order_lags or {}).values(), 1])
 
 
 def series_windows(
@@ -84,182 +63,65 @@ def series_windows(
     rolling: Mapping[str, int] | None = None,
     latest: str | None = None,
     tiebreak: Sequence[str] = (),
-    strategy: str = "chunked",
-    hot_rows: int = HOT_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
+    strategy: str = "ranged",
     order_lags: Mapping[str, int] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add lag / rolling-average / latest-flag columns computed per ``key``.
 
-    ``lags`` maps output name → row offset; ``rolling`` maps output name →
-    frame size in rows (current row included, partial frames at the start);
-    ``order_lags`` are lags of the ordering column itself.
+    ``lags`` maps output name → row offset; ``rolling`` maps output name → frame size in rows (current row
+    included, partial frames at the start); ``order_lags`` are lags of the ordering column itself.
+    ``partitions`` of the range exchange: ``spark.sql.shuffle.partitions`` unless given.
     """
     lags, rolling, order_lags = dict(lags or {}), dict(rolling or {}), dict(order_lags or {})
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not df.schema[c].dataType.typeName() == "map"])
+    rows = df.withColumn(_TIE, tie)
+    by = [order, *tiebreak, _TIE]
+    ascending = [F.col(c).asc_nulls_first() for c in by]
     if strategy == "plain":
-        w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tiebreak])
-        return df.withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags))
-    if strategy != "chunked":
+        w = Window.partitionBy(key).orderBy(*ascending)
+        return rows.withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags)).drop(_TIE)
+    if strategy != "ranged":
         raise ValueError(strategy)
-    return _chunked(df, key, order, value, lags, rolling, latest, tuple(tiebreak), hot_rows, chunk_rows, order_lags)
-
-
-def assign_chunks(df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS,
-                  chunk_rows: int = CHUNK_ROWS, lookback_rows: int = 12):
-    """Add ``__chunk`` (0 for ordinary keys), ``__hot`` and ``__tailcand``.
 
-    ``__tailcand`` marks hot rows that may be among the last
-    ``lookback_rows`` of their chunk (rows of the chunk's final fine
-    buckets), so the halo search sorts only those.  Returns ``(frame,
-    hot_key_list_or_None, any_hot, chunk_counts_or_None)``; chunk counts
-    (key, chunk, rows) come from the bucket counts when chunks are
-    balanced.
-    """
-    tnum = _numeric_time(df, order)
-
-    # Hot keys and their time span: one partial-aggregated pass over the key
-    # and time columns.  At most rows / hot_rows keys can qualify, so the
-    # list brought to the driver and broadcast back is bounded by
-    # construction.
-    hot_keys = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias(_N), F.min(tnum).alias("__tmin"), F.max(tnum).alias("__tmax"))
-        .filter(F.col(_N) > F.lit(hot_rows))
-        .collect()
-    )
-    if not hot_keys:
-        return df.withColumn(_B, F.lit(0).cast("long")).withColumn("__hot", F.lit(False)), None, False, None
-    key_type = df.schema[key].dataType
-    # Enough chunks to spread the hot keys over the cluster, not more: the
-    # chunk size grows when the hot volume would exceed MAX_CHUNKS chunks.
-    chunk_rows = max(chunk_rows, -(-sum(r[_N] for r in hot_keys) // MAX_CHUNKS))
-    # A short literal hot-key list is also pushed into the scans of the
-    # hot-only branches as an IN filter (row-group skipping).
-    hot_list = [r[key] for r in hot_keys] if len(hot_keys) <= 1000 else None
-    total_chunks = sum(-(-r[_N] // chunk_rows) for r in hot_keys)
-    # Fine time buckets per target chunk; counted, then merged into chunks of
-    # about chunk_rows rows, so uneven time density still gives even chunks.
-    # The (key, bucket) → chunk map is broadcast, so its size is capped; past
-    # the cap each bucket is its own chunk (equal time spans).
-    fine = max(1, min(FINE_PER_CHUNK, MAX_FINE_BUCKETS // max(total_chunks, 1)))
-    balanced = total_chunks * fine <= MAX_FINE_BUCKETS
-    stats = df.sparkSession.createDataFrame(
-        [
-            (r[key], float(r["__tmin"] or 0), float(r["__tmax"] or 0), -(-r[_N] // chunk_rows) * fine)
-            for r in hot_keys
-        ],
-        T.StructType(
-            [
-                T.StructField(key, key_type),
-                T.StructField("__tmin", T.DoubleType()),
-                T.StructField("__tmax", T.DoubleType()),
-                T.StructField("__nfine", T.LongType()),
-            ]
-        ),
-    ).withColumn("__hot", F.lit(True))
-    span = (F.col("__tmax") - F.col("__tmin") + F.lit(1.0)).cast("double")
-    fine_of_row = F.when(tnum.isNull(), F.lit(-1).cast("long")).otherwise(
-        F.floor((tnum.cast("double") - F.col("__tmin")) * F.col("__nfine") / span).cast("long")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, F.col(key).asc_nulls_first(), *ascending)
+    ranged = ranged.withColumn(_PART, F.spark_partition_id())
+    w = Window.partitionBy(key, _PART).orderBy((F.col(_KIND) == _MARK).asc(), *ascending)
+    own = ranged.withColumn(_KIND, F.lit(_OWN))
+    borders = _borders(ranged, key, by, lookback(lags, rolling, order_lags))
+    out = own.unionByName(borders).withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags))
+    return out.filter(F.col(_KIND) == _OWN).drop(_PART, _KIND, _TIE)
+
+
+def _borders(ranged: DataFrame, key: str, by: Sequence[str], rows_back: int) -> DataFrame:
+    """Halo and marker rows of every partition that begins or ends inside a series."""
+    columns = ranged.columns
+    up = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in by]]
+    down = [F.col(key).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in by]]
+    rank = lambda order: F.row_number().over(Window.partitionBy(_PART).orderBy(*order))
+    last = ranged.withColumn(_D, rank(down)).filter(F.col(_D) <= rows_back).withColumn(_KIND, F.lit(_HALO))
+    first = ranged.withColumn(_D, rank(up)).filter(F.col(_D) == 1).withColumn(_KIND, F.lit(_MARK))
+    # Number the ends of each series in order: a partition's first row stands before its own last rows and behind
+    # those of all earlier partitions.
+    along = Window.partitionBy(key).orderBy(_PART, F.col(_KIND).desc(), F.col(_D).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    keyed = df.join(F.broadcast(stats), key, "left").withColumn(
-        "__fine", F.when(F.col("__hot"), fine_of_row).otherwise(F.lit(0).cast("long"))
+    ends = last.unionByName(first).withColumn(_C, F.count_if(F.col(_KIND) == _HALO).over(along))
+    before = ends.filter(F.col(_KIND) == _HALO)
+    begins = ends.filter((F.col(_KIND) == _MARK) & (F.col(_C) > 0)).select(
+        F.col(key).alias("__key"),
+        F.col(_PART).alias("__to"),
+        F.col(_C).alias("__upto"),
+        F.explode(F.sequence(F.greatest(F.lit(1), F.col(_C) - rows_back + 1), F.col(_C))).alias("__at"),
     )
-    if balanced:
-        wf = Window.partitionBy(key).orderBy("__fine")
-        hot_in = keyed.filter(F.col("__hot"))
-        if hot_list is not None:
-            hot_in = hot_in.filter(F.col(key).isin(hot_list))
-        counted = (
-            hot_in.groupBy(key, "__fine")
-            .agg(F.count(F.lit(1)).alias(_N))
-            .withColumn(
-                "__chunk_of_fine",
-                F.floor(
-                    (F.sum(_N).over(wf.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_N))
-                    / F.lit(float(chunk_rows))
-                ).cast("long"),
-            )
-        )
-        # Rows of the same chunk in later buckets; a bucket can hold one of
-        # the chunk's last lookback_rows rows only while that is below it.
-        wtail = Window.partitionBy(key, "__chunk_of_fine").orderBy(F.col("__fine").desc()).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        fine_map = counted.withColumn(
-            "__tailcand_of_fine", (F.sum(_N).over(wtail) - F.col(_N)) < F.lit(lookback_rows)
-        ).select(key, "__fine", "__chunk_of_fine", "__tailcand_of_fine")
-        chunk_counts = counted.groupBy(key, F.col("__chunk_of_fine").alias(_B)).agg(F.sum(_N).alias(_N))
-        keyed = (
-            keyed.join(F.broadcast(fine_map), [key, "__fine"], "left")
-            .withColumn(_B, F.coalesce(F.col("__chunk_of_fine"), F.lit(0).cast("long")))
-            .withColumn("__tailcand", F.coalesce(F.col("__tailcand_of_fine"), F.lit(False)))
-        )
-    else:
-        chunk_counts = None
-        keyed = keyed.withColumn(_B, F.col("__fine")).withColumn("__tailcand", F.col("__hot"))
-    base = keyed.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))).drop(
-        "__tmin", "__tmax", "__nfine", "__fine", "__chunk_of_fine", "__tailcand_of_fine"
+    needed = before.join(begins, (F.col(_C) == F.col("__at")) & F.col(key).eqNullSafe(F.col("__key")))
+    # Each needed row goes to the partition that begins; the very last one also marks the partition it came from.
+    target = F.explode(
+        F.when(
+            F.col("__at") == F.col("__upto"),
+            F.array(F.struct(F.col("__to").alias("p"), F.lit(_HALO).alias("k")), F.struct(F.col(_PART).alias("p"), F.lit(_MARK).alias("k"))),
+        ).otherwise(F.array(F.struct(F.col("__to").alias("p"), F.lit(_HALO).alias("k"))))
     )
-    return base, hot_list, True, chunk_counts
-
-
-def _chunked(df, key, order, value, lags, rolling, latest, tiebreak, hot_rows, chunk_rows, order_lags=None):
-    L = max(lookback(lags, rolling), *(order_lags or {1: 1}).values())
-    cols = df.columns
-    base, hot_list, any_hot, chunk_counts = assign_chunks(df, key, order, hot_rows, chunk_rows, L)
-    if not any_hot:
-        # Without hot keys the plain plan is used unchanged.
-        return series_windows(df, key, order, value, lags, rolling, latest, tiebreak, strategy="plain",
-                              order_lags=order_lags)
-    hot = base.filter(F.col("__hot"))
-    if hot_list is not None:
-        hot = hot.filter(F.col(key).isin(hot_list))
-
-    # Last L rows of every hot chunk (a limit the planner pushes below the
-    # exchange) and the per-chunk table: index, row count, rows up to its end.
-    desc = [F.col(order).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in tiebreak]]
-    tails = (
-        hot.filter(F.col("__tailcand"))
-        .withColumn(_R, F.row_number().over(Window.partitionBy(key, _B).orderBy(*desc)))
-        .filter(F.col(_R) <= F.lit(L))
-    )
-    wb = Window.partitionBy(key).orderBy(_B)
-    if chunk_counts is None:
-        chunk_counts = hot.groupBy(key, _B).agg(F.count(F.lit(1)).alias(_N))
-    chunks = (
-        chunk_counts
-        .withColumn(_K, F.row_number().over(wb))
-        .withColumn(_CUM, F.sum(_N).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("__has_next", F.lead(_B).over(wb).isNotNull())
-    )
-
-    # A tail row h (r-th from its chunk's end) is needed by a later chunk t
-    # while fewer than L rows separate them: (r-1) + rows of the chunks in
-    # between < L.  Every chunk holds a row, so t is at most L - r + 1 chunks
-    # ahead; fan out only that far.
-    src = tails.join(chunks.select(key, _B, _K, _CUM), [key, _B]).withColumn(
-        "__j", F.explode(F.sequence(F.lit(1), F.lit(L + 1) - F.col(_R)))
-    ).withColumn("__kt", F.col(_K) + F.col("__j"))
-    tgt = chunks.select(
-        key,
-        F.col(_K).alias("__kt"),
-        F.col(_B).alias("__bt"),
-        (F.col(_CUM) - F.col(_N)).alias("__before_t"),
-    )
-    halo = (
-        src.join(tgt, [key, "__kt"])
-        .filter(F.col(_R) - F.lit(1) + F.col("__before_t") - F.col(_CUM) < F.lit(L))
-        .select(*cols, F.col("__bt").alias(_B), F.lit(_HALO).alias(_KIND))
-    )
-    markers = chunks.filter("__has_next").select(key, _B, F.lit(_MARK).alias(_KIND))
-
-    own = base.select(*cols, _B, F.lit(_OWN).alias(_KIND))
-    rows = own.unionByName(halo).unionByName(markers, allowMissingColumns=True)
-    w = Window.partitionBy(key, _B).orderBy(
-        (F.col(_KIND) == F.lit(_MARK)).asc(),
-        F.col(order).asc_nulls_first(),
-        *[F.col(t).asc_nulls_first() for t in tiebreak],
-    )
-    out = rows.withColumns(_metrics(value, lags, rolling, latest, w, order, order_lags))
-    return out.filter(F.col(_KIND) == F.lit(_OWN)).drop(_B, _KIND)
-
+    sent = needed.withColumn("__t", target).withColumns({_PART: F.col("__t.p"), _KIND: F.col("__t.k")})
+    return sent.select(*columns, _KIND)

@@ -8,6 +8,7 @@ on a laptop (tests, bench) and on a large cluster.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,8 @@ _REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the ranged windows read one range exchange in two branches
+    "spark.sql.exchange.reuse": "true",
 }
 
 
@@ -53,18 +56,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we create a scratch one.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that every executor shares; it is used as is, and a
+    missing setting is an error.  Only a local master, where driver and tasks share one machine, gets a scratch
+    folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="panelspark-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="panelspark-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def stage_table(df, name: str = "stage"):

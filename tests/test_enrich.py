@@ -47,28 +47,57 @@ def _norm(rows):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("hot_rows,chunk_rows", [(20, 8), (5, 1), (40, 3)])
-def test_chunked_equals_plain_on_user_panel(spark, hot_rows, chunk_rows):
-    """The skew path (hot keys split into chunks with halos) equals one window per key."""
+KW = dict(lags={"l1": 1, "l12": 12}, rolling={"a3": 3, "a12": 12}, latest="last", tiebreak=("value",), order_lags={"o2": 2})
+
+
+def _rounded(df):
+    return _norm(df.withColumns({"a3": F.round("a3", 9), "a12": F.round("a12", 9)}).collect())
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+def test_ranged_equals_plain_on_user_panel(spark, partitions):
+    """Series cut by partitions, with halos, equal one window per key."""
     up = panels.user_panel(spark, SF_CHECK)
-    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a3": 3, "a12": 12}, latest="last", tiebreak=("value",))
-    plain = series_windows(up, "series_id", "ts", "value", strategy="plain", **kw)
-    chunked = series_windows(up, "series_id", "ts", "value", strategy="chunked", hot_rows=hot_rows,
-                             chunk_rows=chunk_rows, **kw)
-    cols = ["series_id", "ts", "value", "l1", "l12", F.round("a3", 9).alias("a3"), F.round("a12", 9).alias("a12"),
-            "last"]
-    assert _norm(plain.select(cols).collect()) == _norm(chunked.select(cols).collect())
+    plain = series_windows(up, "series_id", "ts", "value", strategy="plain", **KW)
+    ranged = series_windows(up, "series_id", "ts", "value", partitions=partitions, **KW)
+    assert _rounded(plain) == _rounded(ranged)
 
 
-def test_chunked_with_null_times_and_sparse_chunks(spark):
-    """Null times sort first and sparse/empty chunk ranges still get their halo."""
+@pytest.mark.parametrize("partitions", [2, 9, 60])
+def test_ranged_with_null_keys_null_times_and_tiny_partitions(spark, partitions):
+    """NULL keys and times, and partitions holding fewer rows than the look-back."""
     rows = [(1, None, 1.0), (1, None, 2.0)] + [(1, d, float(d)) for d in (1, 2, 3, 50, 51, 400, 401, 402, 990)]
-    rows += [(2, d, float(d)) for d in range(30)]
+    rows += [(2, d, float(d)) for d in range(30)] + [(None, d, float(d)) for d in range(40)] + [(3, 5, None), (3, 6, 1.0)]
     df = spark.createDataFrame(rows, "k long, t long, value double")
-    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a3": 3}, latest="last", tiebreak=("value",))
-    plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
-    chunked = series_windows(df, "k", "t", "value", strategy="chunked", hot_rows=3, chunk_rows=2, **kw)
-    assert _norm(plain.collect()) == _norm(chunked.collect())
+    plain = series_windows(df, "k", "t", "value", strategy="plain", **KW)
+    ranged = series_windows(df, "k", "t", "value", partitions=partitions, **KW)
+    assert _rounded(plain) == _rounded(ranged)
+
+
+@pytest.mark.parametrize("key", ["1L", "cast(null as long)"])
+@pytest.mark.parametrize("time", ["id", "7L"])
+def test_hot_key_and_ties_spread_over_tasks(spark, key, time):
+    """20,000 rows of one (also NULL) key, also at one timestamp: many tasks, and the plain result."""
+    df = spark.range(20_000).selectExpr(f"{key} AS k", f"{time} AS t", "cast(id % 977 AS double) AS value")
+    plain = series_windows(df, "k", "t", "value", strategy="plain", **KW)
+    ranged = series_windows(df, "k", "t", "value", partitions=10, **KW)
+    assert _rounded(plain) == _rounded(ranged)
+    tie = F.xxhash64("k", "t", "value")
+    cut = df.withColumn("h", tie).repartitionByRange(10, "k", "t", "value", "h").groupBy(F.spark_partition_id()).count()
+    sizes = [r["count"] for r in cut.collect()]
+    assert len(sizes) >= 9 and max(sizes) < 4_000
+
+
+def test_windows_start_no_job_until_read(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = panels.user_panel(spark, SF_CHECK)
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        out = series_windows(df, "series_id", "ts", "value", **KW)
+        assert out.schema["last"].dataType.typeName() == "boolean"
+        assert len(tracker.getJobIdsForGroup("lazy")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_partition_count_invariance(spark):
@@ -82,17 +111,15 @@ def test_partition_count_invariance(spark):
 
 
 def test_rolling_average_within_frame_bounds(spark):
-    """Property: the rolling mean lies between the min and max of its frame."""
+    """Property: the rolling mean lies between the min and max of its frame, NULL dates included."""
     from pyspark.sql import Window
 
-    # USD1 carries NULL-date rows that join its first frames (R10) and are
-    # gone from the mart, so its early frames are not visible here.
-    tall = time_series_mart(panels.combined(spark, "/root/testdata/sf0.001")).filter(
-        F.col("series_id") != "devkum/USD1"
-    )
+    from panelspark.operators.enrich import add_window_metrics
 
-    w = Window.partitionBy("series_id").orderBy("date").rowsBetween(-2, 0)
-    chk = tall.select(
+    panel = add_window_metrics(panels.combined(spark, "/root/testdata/sf0.001"))
+    assert panel.filter((F.col("series_id") == "devkum/USD1") & F.col("date").isNull()).count() > 0
+    w = Window.partitionBy("series_id").orderBy("date", "value").rowsBetween(-2, 0)
+    chk = panel.select(
         "rolling_avg_3m", F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi")
     ).filter((F.col("rolling_avg_3m") < F.col("lo") - 1e-4) | (F.col("rolling_avg_3m") > F.col("hi") + 1e-4))
     assert chk.count() == 0
@@ -104,43 +131,6 @@ def test_one_latest_per_series(spark):
     assert per and all(r.n == 1 for r in per)
 
 
-def _bursty(spark):
-    # Key 1: 2,000 rows, 90% of them inside 1% of the time span; key 2: small.
-    rows = [(1, t, float(t)) for t in range(0, 1800)]
-    rows += [(1, 100_000 + t * 500, float(t)) for t in range(200)]
-    rows += [(2, t, float(t)) for t in range(10)]
-    return spark.createDataFrame(rows, "k long, t long, value double")
-
-
-def test_chunks_are_balanced_by_count(spark):
-    from panelspark.operators.windows import assign_chunks
-
-    base, hot_list, any_hot, _ = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100)
-    assert any_hot and hot_list == [1]
-    sizes = [r["count"] for r in base.filter("k = 1").groupBy("__chunk").count().collect()]
-    # Equal time spans would put ~1,800 rows in one chunk.
-    assert len(sizes) >= 15 and max(sizes) <= 2 * 100
-
-
-def test_bursty_chunked_equals_plain(spark):
-    df = _bursty(spark)
-    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a12": 12}, latest="last", tiebreak=("value",))
-    plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
-    chunked = series_windows(df, "k", "t", "value", hot_rows=100, chunk_rows=100, **kw)
-    assert _norm(plain.collect()) == _norm(chunked.collect())
-
-
-def test_unbalanced_fallback_equals_plain(spark, monkeypatch):
-    import panelspark.operators.windows as W
-
-    monkeypatch.setattr(W, "MAX_FINE_BUCKETS", 1)
-    df = _bursty(spark)
-    kw = dict(lags={"l1": 1, "l12": 12}, rolling={"a3": 3}, latest="last", tiebreak=("value",))
-    plain = series_windows(df, "k", "t", "value", strategy="plain", **kw)
-    chunked = series_windows(df, "k", "t", "value", hot_rows=100, chunk_rows=100, **kw)
-    assert _norm(plain.collect()) == _norm(chunked.collect())
-
-
 def test_grain_flag_counts_duplicate_groups(spark):
     """The window-borne grain flag counts the same groups as the grouping check."""
     from panelspark.operators.quality import duplicate_grain
@@ -150,22 +140,6 @@ def test_grain_flag_counts_duplicate_groups(spark):
              ("2024-03", 5.0), ("2024", 9.0), ("2024", 8.0)]]
     rows += [(d, "KEI/Y", "growth", 1.0, "monthly") for d in ("2024-01", "2024-02")]
     staged = stage_mixed_dates(raw_rows(spark, rows))
-    for kw in ({}, {"hot_rows": 2, "chunk_rows": 1}):
-        tall = time_series_mart(staged, grain_flag="dup", **kw)
+    for strategy in ("plain", "ranged"):
+        tall = time_series_mart(staged, grain_flag="dup", strategy=strategy)
         assert tall.filter("dup").count() == duplicate_grain(tall).count() == 2
-
-
-def test_tail_candidates_cover_last_rows_of_each_chunk(spark):
-    from pyspark.sql import Window
-
-    from panelspark.operators.windows import assign_chunks
-
-    base, _, _, counts = assign_chunks(_bursty(spark), "k", "t", hot_rows=100, chunk_rows=100, lookback_rows=12)
-    hot = base.filter("__hot")
-    w = Window.partitionBy("k", "__chunk").orderBy(F.col("t").desc(), F.col("value").desc())
-    last = hot.withColumn("r", F.row_number().over(w)).filter("r <= 12")
-    assert last.filter(~F.col("__tailcand")).count() == 0
-    # Only a small part of the hot rows needs the tail sort.
-    assert hot.filter("__tailcand").count() < hot.count() / 2
-    per_chunk = {(r.k, r["__chunk"]): r["count"] for r in hot.groupBy("k", "__chunk").count().collect()}
-    assert per_chunk == {(r.k, r["__chunk"]): r["__n"] for r in counts.collect()}
