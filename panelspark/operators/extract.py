@@ -62,63 +62,71 @@ def extract_wide(landed: DataFrame, catalog: DataFrame, area: str = "CHE",
     )
 
 
-# A field separator outside double quotes.
-_SPLIT = r';(?=(?:[^"]*"[^"]*")*[^"]*$)'
-_DATA_LINE = r"^(\d{4}-\d{2}(-\d{2})?)$"
+# First fields of the lines that are no observation: preamble and header.
+PREAMBLE = ("CubeId", "PublishingDate")
+HEADER = "Date"
+MAX_FIELDS = 8
 
 
-def parse_delimited_lines(lines: DataFrame, text: str = "value", file_col: str | None = None) -> DataFrame:
-    """``;``-separated quoted text with a preamble → (file, date, dims, value_text).
+def parse_delimited_lines(lines: DataFrame, text: str = "value", file_col: str | None = None,
+                          max_fields: int = MAX_FIELDS) -> DataFrame:
+    """``;``-separated quoted text with a preamble → (file, cube, date, dims, value_text).
 
-    A line is data when its first field is a period; preamble and header
-    lines are dropped by that test alone, independent of line order, so the
-    text splits freely across tasks.  The value is the last field and the
-    dimension fields sit between date and value.
+    Every line that is not blank, preamble or header is data, whatever its period looks like.  A file's header
+    tells where its value stands (last column) and its ``CubeId`` line names its cube; both are one row per file,
+    joined back without a hint.  Reading a row of a file that has no header raises, as does a header of more than
+    ``max_fields`` columns.
     """
-    fields = F.transform(F.split(F.col(text), _SPLIT), lambda x: F.regexp_replace(F.trim(x), r'^"|"$', ""))
-    parsed = lines.select(
-        (F.col(file_col) if file_col else F.lit("")).alias("file"),
-        fields.alias("__f"),
+    names = [f"c{i}" for i in range(max_fields + 1)]
+    fields = F.from_csv(F.col(text), ", ".join(f"{n} string" for n in names), {"sep": ";", "quote": '"'})
+    cells = lines.select((F.col(file_col) if file_col else F.lit("")).alias("file"), fields.alias("f")).select("file", "f.*")
+    first = F.trim("c0")
+    width = sum((F.col(n).isNotNull().cast("int") for n in names[1:]), F.col("c0").isNotNull().cast("int"))
+    is_header = first == HEADER
+    files = cells.filter(first.isin(HEADER, *PREAMBLE)).groupBy("file").agg(
+        F.max(F.when(is_header, width)).alias("__n"), F.max(F.when(first == "CubeId", F.trim("c1"))).alias("cube")
     )
-    n = F.size("__f")
-    return parsed.filter(F.element_at("__f", 1).rlike(_DATA_LINE) & (n >= 2)).select(
+    data = cells.filter((width > 0) & ~F.coalesce(first.isin(HEADER, *PREAMBLE), F.lit(False)))
+    stop = F.raise_error(F.concat(F.lit("landed file without a usable header line: "), F.col("file")))
+    n = F.when(F.col("__n").between(2, max_fields), F.col("__n")).otherwise(stop.cast("int"))
+    values = F.array(*names)
+    return data.join(files, "file", "left").select(
         "file",
-        F.element_at("__f", 1).alias("date"),
-        F.slice("__f", 2, n - 2).alias("dims"),
-        F.element_at("__f", -1).alias("value_text"),
+        "cube",
+        first.alias("date"),
+        F.transform(F.slice(values, F.lit(2), n - 2), lambda x: F.trim(x)).alias("dims"),
+        F.trim(F.get(values, n - 1)).alias("value_text"),
     )
 
 
-def select_member(parsed: DataFrame, code: str, max_dims: int = 2) -> DataFrame:
+def _first_position(code: Column, max_dims: int) -> Column:
+    """First dimension that holds the code in any row (an aggregate), or NULL."""
+    at = [F.max(F.get("dims", F.lit(i)) == code) for i in range(max_dims)]
+    return F.coalesce(*[F.when(hit, F.lit(i)) for i, hit in enumerate(at)])
+
+
+def select_member(parsed: DataFrame, code: str, max_dims: int = MAX_FIELDS - 2) -> DataFrame:
     """Keep rows whose dimension equals ``code``.
 
-    Per file, the first dimension position holding ``code`` anywhere decides
-    the filter; a file where no position holds it is kept whole.  The
-    per-file decision is one small aggregate (one row per landed file),
-    broadcast back.
+    Per file, the first dimension position holding ``code`` anywhere decides the filter; a file where no position
+    holds it is kept whole.  The per-file decision is one aggregate (one row per landed file), joined back
+    without a hint, so its size decides how.
     """
-    flags = parsed.groupBy("file").agg(
-        *[F.max(F.try_element_at("dims", F.lit(i + 1)) == F.lit(code)).alias(f"__has{i}") for i in range(max_dims)]
-    )
-    pick = None
-    for i in reversed(range(max_dims)):
-        pick = F.when(F.col(f"__has{i}"), F.lit(i + 1)) if pick is None else F.when(F.col(f"__has{i}"), F.lit(i + 1)).otherwise(pick)
-    flags = flags.select("file", pick.alias("__pick"))
-    joined = parsed.join(F.broadcast(flags), "file")
-    keep = F.col("__pick").isNull() | (F.try_element_at("dims", F.col("__pick")) == F.lit(code))
-    return joined.filter(keep).drop("__pick")
+    picks = parsed.groupBy("file").agg(_first_position(F.lit(code), max_dims).alias("__pick"))
+    keep = F.col("__pick").isNull() | (F.get("dims", F.col("__pick")) == F.lit(code))
+    return parsed.join(picks, "file").filter(keep).drop("__pick")
+
+
+def _valid_lines(lines: DataFrame, text: str, file_col: str | None) -> DataFrame:
+    """Values coerced and failures dropped, *before* any member filter looks for a code."""
+    parsed = parse_delimited_lines(lines, text, file_col)
+    return parsed.withColumn("value", try_double("value_text")).filter(is_valid_value("value"))
 
 
 def extract_delimited(lines: DataFrame, series: C.Series, text: str = "value", file_col: str | None = None,
                       ingested_at: Column | None = None) -> DataFrame:
-    """Landed lines of one provider-B series → raw rows.
-
-    Values are coerced and failures dropped *before* the member filter
-    looks for the series code, as the provider extractor does.
-    """
-    parsed = parse_delimited_lines(lines, text, file_col)
-    valid = parsed.withColumn("value", try_double("value_text")).filter(is_valid_value("value"))
-    member = select_member(valid, series.code)
+    """Landed lines of one provider-B series → raw rows."""
+    member = select_member(_valid_lines(lines, text, file_col), series.code)
     tagged = member.select(
         "date",
         "value",
@@ -133,6 +141,34 @@ def extract_delimited(lines: DataFrame, series: C.Series, text: str = "value", f
     )
 
 
+def extract_cubes(lines: DataFrame, catalog: DataFrame, text: str = "value", file_col: str = "file",
+                  ingested_at: Column | None = None) -> DataFrame:
+    """Landed lines of all provider-B files → raw rows of every catalog series of their cubes, in one pass.
+
+    The catalog (fixed, small) is joined by the cube that each file names.  Per (file, series) the first dimension
+    holding the series code decides, as in `select_member`.  A file in which none of its cube's codes occurs
+    belongs whole to the cube's series if there is only one; if there are several, reading it raises.
+    """
+    cat = catalog.filter(F.col("cube").isNotNull()).select(
+        "cube", "code", "source", "indicator_name", "indicator_category", "unit", "frequency"
+    )
+    cat = cat.join(cat.groupBy("cube").agg(F.count("*").alias("__series")), "cube")
+    rows = _valid_lines(lines, text, file_col).join(F.broadcast(cat), "cube")
+    picks = rows.groupBy("file", "code").agg(_first_position(F.col("code"), MAX_FIELDS - 2).alias("__pick"))
+    known = picks.groupBy("file").agg(F.count("__pick").alias("__known"))
+    stop = F.raise_error(F.concat(F.lit("no series code of its cube in landed file "), F.col("file")))
+    keep = (
+        F.when(F.col("__pick").isNotNull(), F.get("dims", F.col("__pick")) == F.col("code"))
+        .when(F.col("__known") > 0, F.lit(False))
+        .when(F.col("__series") == 1, F.lit(True))
+        .otherwise(stop.cast("boolean"))
+    )
+    member = rows.join(picks.join(known, "file"), ["file", "code"]).filter(keep)
+    return member.select(
+        *_raw_select(F.col("date"), F.col("source"), F.concat_ws("/", "cube", "code"), F.col("value"), ingested_at)
+    )
+
+
 def extract_iso(observations: DataFrame, catalog: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Provider A observations (series_id, date, value) → raw rows; NaN skipped.
 

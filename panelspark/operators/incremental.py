@@ -39,17 +39,33 @@ def series_watermark(stored: DataFrame, key: str = "series_id", date: str = "dat
     )
 
 
+def latest_per_period(incoming: DataFrame, key: str = "series_id", date: str = "date",
+                      by: str = "ingested_at") -> DataFrame:
+    """One row per (series, period) of a batch: the one ingested last, ties to the larger value.
+
+    A batch may hold several fetches of the same history.  NULL is a series of its own; rows without a period
+    cannot be told apart and all stay.
+    """
+    dated, undated = incoming.filter(F.col(date).isNotNull()), incoming.filter(F.col(date).isNull())
+    rest = [c for c in incoming.columns if c not in (key, date)]
+    order = F.struct(*[c for c in (by, "value") if c in rest])
+    last = dated.groupBy(key, date).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    return last.select(key, date, "__row.*").select(*incoming.columns).unionByName(undated)
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str = "series_id", date: str = "date") -> DataFrame:
-    """Rows of ``incoming`` that are later than the stored watermark.
+    """Rows of ``incoming`` that are later than the stored watermark, one per (series, period).
 
-    The watermark table has one row per series; no broadcast hint — AQE
+    Series match null-safely, so rows without a series_id are a series too and load once.  The watermark table has one row per series; no broadcast hint — AQE
     broadcasts it when its measured size is small and otherwise keeps a
     shuffle join (with skew splitting).
     """
-    wm = series_watermark(stored, key, date)
+    wm = series_watermark(stored, key, date).withColumnRenamed(key, "__wm_key")
+    incoming = latest_per_period(incoming, key, date)
     kind, parsed = _kind_and_date(incoming, date)
     mark = None
     for k in KINDS:
         mark = F.when(kind == F.lit(k), F.col(f"wm_{k}")) if mark is None else mark.when(kind == F.lit(k), F.col(f"wm_{k}"))
     is_new = F.col("__stored").isNull() | (parsed.isNotNull() & (mark.isNull() | (parsed > mark)))
-    return incoming.join(wm, key, "left").filter(is_new).select(*incoming.columns)
+    known = F.col(key).eqNullSafe(F.col("__wm_key"))
+    return incoming.join(wm, known, "left").filter(is_new).select(*incoming.columns)

@@ -118,6 +118,63 @@ def _count_rows(df: DataFrame, check: str, table: str, column: str | None = None
     )
 
 
+def _stack(agg: DataFrame, specs: Sequence[tuple[str, str, str | None, str]]) -> DataFrame:
+    """One row of counts → report rows; specs: (check, table, column, name of the count)."""
+    row = lambda check, table, column, name: F.struct(
+        F.lit(check).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.lit(column).cast("string").alias("column_name"),
+        F.coalesce(F.col(name), F.lit(0)).cast("long").alias("failing_rows"),
+    )
+    return agg.select(F.explode(F.array(*[row(*s) for s in specs])).alias("r")).select("r.*")
+
+
+def _staged_checks(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """Q1 of all staged tables: one pass over their union, grouped by table."""
+    named = [df.select(F.lit(name).alias("t"), *STAGED_NOT_NULL) for name, df in staged.items()]
+    counts = reduce(DataFrame.unionByName, named).agg(
+        *[
+            F.count_if((F.col("t") == name) & F.col(c).isNull()).alias(f"{name}__{c}")
+            for name in staged
+            for c in STAGED_NOT_NULL
+        ]
+    )
+    return _stack(counts, [("not_null", name, c, f"{name}__{c}") for name in staged for c in STAGED_NOT_NULL])
+
+
+def _tall_checks(tall: DataFrame, expected: DataFrame, as_of: str | dt.date | None, tables: Sequence[str],
+                 months: int = C.STALE_MONTHS) -> DataFrame:
+    """Q1-Q5 of the tall mart from one grouping by series: its few rows answer every check."""
+    latest = F.col("is_latest") == F.lit(True)
+    stale = latest & (F.col("date") < F.add_months(_as_of(as_of), -months))
+    nulls = {c: F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in TALL_NOT_NULL}
+    bad = {c: F.count_if(~F.col(c).isin(list(v))).alias(f"bad_{c}") for c, v in TALL_ACCEPTED.items()}
+    series = tall.groupBy("series_id").agg(
+        *nulls.values(),
+        *bad.values(),
+        F.count_if(latest).alias("n_latest"),
+        # a series has one name, or few; a NULL name is a group too
+        F.size(F.collect_set(F.when(stale, F.coalesce("indicator_name", F.lit("\0"))))).alias("n_stale"),
+        F.lit(True).alias("present"),
+    )
+    each = series.join(expected.select("series_id", F.lit(True).alias("expected")), "series_id", "full_outer")
+    counts = each.agg(
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in nulls],
+        *[F.sum(f"bad_{c}").alias(f"bad_{c}") for c in bad],
+        F.count_if(F.col("present") & (F.col("n_latest") != 1)).alias("one_latest"),
+        F.count_if(F.col("expected") & (F.coalesce("n_latest", F.lit(0)) == 0)).alias("expected"),
+        F.sum("n_stale").alias("stale"),
+    )
+    specs = [("not_null", t, c, f"null_{c}") for t in tables for c in (TALL_NOT_NULL if t == "time_series" else ENRICHED_NOT_NULL)]
+    specs += [("accepted_values", "time_series", c, f"bad_{c}") for c in bad]
+    specs += [
+        ("one_latest", "time_series", "is_latest", "one_latest"),
+        ("expected_present", "time_series", "series_id", "expected"),
+        ("not_stale", "time_series", "date", "stale"),
+    ]
+    return _stack(counts, specs)
+
+
 def quality_report(
     staged: Mapping[str, DataFrame],
     enriched: DataFrame,
@@ -129,19 +186,18 @@ def quality_report(
 ) -> DataFrame:
     """Q6: every check of the pipeline as one small DataFrame.
 
-    ``duplicate_groups``, when the caller already counted them in the
-    enrichment window (see ``time_series_mart(grain_flag=…)``), replaces the
-    grouping query of the grain check.
+    Passes: one over the staged tables, one over the tall mart, one over the wide mart, and one for the grain.
+    ``enriched`` costs a pass only when it is another frame than ``tall``.  ``duplicate_groups``, when the caller
+    already counted them in the enrichment window (see ``time_series_mart(grain_flag=…)``), replaces the grain's.
     """
-    parts = [not_null_counts(df, STAGED_NOT_NULL, name) for name, df in staged.items()]
-    parts += [
-        not_null_counts(enriched, ENRICHED_NOT_NULL, "enriched"),
-        column_checks(tall, "time_series", TALL_NOT_NULL, TALL_ACCEPTED),
+    same = enriched is tall
+    parts = [
+        _staged_checks(staged),
+        _tall_checks(tall, expected, as_of, ("enriched", "time_series") if same else ("time_series",)),
         not_null_counts(overview, ("date",), "overview"),
-        _count_rows(one_latest_violations(tall), "one_latest", "time_series", "is_latest"),
-        _count_rows(expected_series_missing(tall, expected), "expected_present", "time_series", "series_id"),
-        _count_rows(stale_series(tall, as_of), "not_stale", "time_series", "date"),
     ]
+    if not same:
+        parts.append(not_null_counts(enriched, ENRICHED_NOT_NULL, "enriched"))
     if duplicate_groups is None:
         parts.append(_count_rows(duplicate_grain(tall), "unique_grain", "time_series", "series_id,date"))
     else:

@@ -38,6 +38,33 @@ def customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def balance_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer panel whose values are small whole numbers from -3 to 3: zero and negative denominators occur."""
+    cp = customer_panel(spark, sf_dir)
+    return cp.withColumn("value", (F.pmod(derived.cents("value"), F.lit(7)) - 3).cast("double"))
+
+
+def defective(tall: DataFrame) -> DataFrame:
+    """The tall mart with one defect for each check, so that every check both passes and fails somewhere.
+
+    Two series lose or gain latest rows, one expected series has another id, and some rows have a category, signal
+    or trend outside the lists, no value or no name.
+    """
+    sid, month = F.col("series_id"), F.month("date")
+    hit = lambda s, m=None: (sid == s) & (month == m if m else F.lit(True))
+    return tall.withColumns(
+        {
+            "is_latest": F.when(hit("devkum/USD1"), False).when(hit("devkum/EUR1", 1), True).otherwise(F.col("is_latest")),
+            "indicator_category": F.when(hit("KEI/CHE/EX/_T/G1", 4), "housing").otherwise(F.col("indicator_category")),
+            "signal": F.when(hit("KEI/CHE/PRVM/C/GY", 2), "buy").otherwise(F.col("signal")),
+            "trend": F.when(hit("KEI/CHE/PRVM/C/GY", 3), "sideways").otherwise(F.col("trend")),
+            "value": F.when(hit("KEI/CHE/CP/_Z/GY", 5), F.lit(None).cast("double")).otherwise(F.col("value")),
+            "indicator_name": F.when(hit("KEI/CHE/TOVM/G47/GY", 6), F.lit(None).cast("string")).otherwise(F.col("indicator_name")),
+            "series_id": F.when(hit("KEI/CHE/EMP/_T/_Z"), "KEI/CHE/EMP/_T/_Y").otherwise(sid),
+        }
+    )
+
+
 def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series_id BIGINT, ts TIMESTAMP, value DOUBLE): events per user; (user, ts) is unique."""
     ev = derived.read_table(spark, sf_dir, "events")

@@ -8,6 +8,7 @@ is a load timestamp, not a computed value).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,23 +20,22 @@ from ..operators import extract, incremental, marts, quality
 from ..operators.enrich import enrich_panel
 from ..operators.staging import stage_iso_dates, stage_mixed_dates, stage_period_dates, union_sources
 from ..operators.windows import series_windows
-from ..schemas import ENRICHED_COLUMNS, STAGED_COLUMNS, TALL_COLUMNS
-from ..sources import derived
-from ..session import stage_table
-from . import panels
+from ..schemas import ENRICHED_COLUMNS, RAW_STRING_DATES, STAGED_COLUMNS, TALL_COLUMNS
+from ..session import ensure_checkpoint_dir, stage_table
+from ..sources import derived, files, tables
+from ..streaming.landing import start_landing_stream
+from . import ingest, panels
 
 # Fixed evaluation date of the staleness check (reproducible results).
-AS_OF = "2026-01-01"
+# Between the last orders and the last events, so some series are fresh and some stale.
+AS_OF = "2025-01-01"
 # Simulated earlier load: periods before this year are already stored.
 STORED_BEFORE_YEAR = "1999"
 # Provider-B member extracted from the landed event lines.
 EVENT_LINES_SERIES = C.Series("SNB", "events/click", "Click Value", "monetary", "percent", "daily",
                               cube="events", code="click")
-# Forced chunking for the skew-path query: every user is "hot".
-SKEW_HOT_ROWS, SKEW_CHUNK_ROWS = 20, 8
-# Hot-series query: a key is hot above this many rows and split into chunks
-# of about this many rows (each line status holds about half of lineitem).
-HOT_SERIES_ROWS, HOT_SERIES_CHUNK = 10_000, 4_000
+# Partitions of the range exchange in the hot-series query (two keys hold all of lineitem).
+HOT_SERIES_PARTITIONS = 64
 
 STAGED_SOURCES = {"stg_iso": "FRED", "stg_mixed": "SNB", "stg_periods": "OECD"}
 
@@ -48,22 +48,17 @@ def _raw(spark, sf):
     return derived.raw_tables(spark, sf)
 
 
-def _staged_panel(spark, sf):
-    """The unioned staged panel, written once under the checkpoint folder.
-
-    The window's hot-key pre-pass and the window itself both read it, so it
-    is derived from the fact tables once instead of twice, and later stages
-    restart from the written table rather than from the facts.
-    """
-    return stage_table(panels.combined(spark, sf), "staged")
-
-
 def _tall(spark, sf):
-    return marts.time_series_mart(_staged_panel(spark, sf))
+    return marts.time_series_mart(panels.combined(spark, sf))
 
 
 def _enriched(spark, sf):
-    return enrich_panel(_staged_panel(spark, sf))
+    return enrich_panel(panels.combined(spark, sf))
+
+
+def _scratch(spark, name):
+    """A new folder on shared storage, for queries that write and read back."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # --- sources / extraction ---------------------------------------------------
@@ -73,6 +68,75 @@ def q_src_delimited_lines(spark, sf):
     return extract.extract_delimited(lines, EVENT_LINES_SERIES).drop("ingested_at")
 
 
+def q_src_json_lines(spark, sf):
+    """The ISO raw table landed as JSON lines and read back by its declared schema."""
+    path = _scratch(spark, "json")
+    _raw(spark, sf)["iso"].write.json(path)
+    return files.read_json_observations(spark, path, iso_dates=True).drop("ingested_at")
+
+
+def _land_wide(spark, sf):
+    """Wide CSV files in two column orders, one of them with an extra column."""
+    path = _scratch(spark, "wide")
+    landed = derived.landed_wide(spark, sf)
+    monthly = F.length("TIME_PERIOD") == 7
+    landed.filter(monthly & ~F.col("TIME_PERIOD").contains("Q")).write.option("header", True).csv(f"{path}/batch=1")
+    rest = landed.filter(~monthly | F.col("TIME_PERIOD").contains("Q")).drop("STRUCTURE_NAME")
+    rest.select(*sorted(rest.columns, reverse=True)).write.option("header", True).csv(f"{path}/batch=2")
+    return f"{path}/*"
+
+
+def q_src_wide_csv(spark, sf):
+    """S3: every file is read by its own header."""
+    landed = files.read_wide_csv(spark, _land_wide(spark, sf))
+    return extract.extract_wide(landed, extract.catalog_frame(spark, C.series_by_source("OECD"))).drop("ingested_at")
+
+
+def q_extract_cubes(spark, sf):
+    """M7: all provider-B series of all landed cubes in one pass."""
+    cat = extract.catalog_frame(spark, C.series_by_source("SNB"))
+    return extract.extract_cubes(derived.landed_cubes(spark, sf), cat).drop("ingested_at")
+
+
+def q_ingest_rerun(spark, sf):
+    """Land → extract → append → the same again: the store holds every observation once."""
+    landing, raw = _land_wide(spark, sf), _scratch(spark, "raw")
+    first = ingest.ingest(spark, "c", landing, raw)
+    again = ingest.ingest(spark, "c", landing, raw)
+    store = tables.read_raw(spark, first.table, RAW_STRING_DATES).drop("ingested_at")
+    return store.withColumn("appended_again", F.lit(again.appended).cast("long"))
+
+
+def q_sink_append(spark, sf):
+    """Create if absent (twice), append in two parts, read back."""
+    path = _scratch(spark, "store")
+    raw = _raw(spark, sf)["periods"]
+    for part in (F.col("date") < STORED_BEFORE_YEAR, F.col("date") >= STORED_BEFORE_YEAR):
+        tables.ensure_table(spark, path, RAW_STRING_DATES)
+        tables.append(raw.filter(part).select(*RAW_STRING_DATES.names), path)
+    return tables.read_raw(spark, path, RAW_STRING_DATES).drop("ingested_at")
+
+
+def q_sink_rebuild(spark, sf):
+    """The tall mart as written (twice, so a rebuild replaces) and read back, columns in their fixed order."""
+    path = _scratch(spark, "mart")
+    tall = stage_table(_tall(spark, sf), "time_series")
+    for _ in range(2):
+        tables.materialize(tall, path, partition_by=("indicator_category",), sort_within=("series_id", "date"))
+    return tables.read_mart(spark, path, TALL_COLUMNS)
+
+
+def q_stream_landing(spark, sf):
+    """ST1: two fetches of the same history landed before one run of the stream."""
+    landing, store = _scratch(spark, "landing"), _scratch(spark, "store")
+    raw = _raw(spark, sf)["mixed"]
+    raw.filter(F.col("date") < STORED_BEFORE_YEAR).write.json(f"{landing}/fetch1")
+    raw.write.json(f"{landing}/fetch2")
+    query = start_landing_stream(spark, f"{landing}/*", store, _scratch(spark, "stream"))
+    query.awaitTermination()
+    return tables.read_raw(spark, store, RAW_STRING_DATES).drop("ingested_at")
+
+
 def q_src_numeric_coerce(spark, sf):
     ev = derived.read_table(spark, sf, "events")
     et = F.col("event_type")
@@ -142,12 +206,12 @@ def q_win_rolling_12(spark, sf):
 
 
 def q_win_chunked_skew(spark, sf):
-    """Skew path forced on: every user is split into ~8-row chunks with halos."""
+    """Every metric at once, with many more partitions than series fill: series are cut wherever a partition ends."""
     up = panels.user_panel(spark, sf)
     out = series_windows(
         up, "series_id", "ts", "value",
         lags={"prev_1": 1, "prev_12": 12}, rolling={"__a3": 3, "__a12": 12}, latest="is_latest",
-        tiebreak=("value",), strategy="chunked", hot_rows=SKEW_HOT_ROWS, chunk_rows=SKEW_CHUNK_ROWS,
+        tiebreak=("value",), partitions=HOT_SERIES_PARTITIONS,
     )
     return out.withColumns(
         {"avg_3": round_half_away("__a3", 4), "avg_12": round_half_away("__a12", 4)}
@@ -155,23 +219,27 @@ def q_win_chunked_skew(spark, sf):
 
 
 def q_win_hot_series(spark, sf):
-    """Two keys holding all of lineitem: the skew path splits each into chunks."""
+    """Two keys holding all of lineitem: each is cut over many partitions."""
     sp = panels.shipment_panel(spark, sf)
     out = series_windows(
         sp, "series_id", "date", "value",
         lags={"prev_1": 1}, rolling={"__a12": 12}, latest="is_latest",
-        tiebreak=("l_orderkey", "l_linenumber", "value"), hot_rows=HOT_SERIES_ROWS, chunk_rows=HOT_SERIES_CHUNK,
+        tiebreak=("l_orderkey", "l_linenumber", "value"), partitions=HOT_SERIES_PARTITIONS,
     )
     return out.withColumn("avg_12", round_half_away("__a12", 4)).drop("__a12")
 
 
+def _balance_window(spark, sf, **kw):
+    return series_windows(panels.balance_panel(spark, sf), "series_id", "date", "value", tiebreak=("value",), **kw)
+
+
 def q_pct_change_period(spark, sf):
-    out = _cp_window(spark, sf, lags={"__p": 1})
+    out = _balance_window(spark, sf, lags={"__p": 1})
     return out.withColumn("mom_change_pct", safe_pct_change("value", "__p")).drop("__p")
 
 
 def q_pct_change_year(spark, sf):
-    out = _cp_window(spark, sf, lags={"__p": 12})
+    out = _balance_window(spark, sf, lags={"__p": 12})
     return out.withColumn("yoy_change_pct", safe_pct_change("value", "__p")).drop("__p")
 
 
@@ -202,7 +270,9 @@ def q_kpi_latest(spark, sf):
 
 
 def q_tab_category_series(spark, sf):
-    t = marts.tab_series(_tall(spark, sf), marts.tabs_frame(spark))
+    path = _scratch(spark, "tabs")
+    spark.createDataFrame(list(C.TABS), "tab_id int, tab_name string").write.option("header", True).csv(path)
+    t = marts.tab_series(_tall(spark, sf), marts.tabs_frame(spark, files.read_tabs(spark, path)))
     return t.select("tab_id", "tab_name", "indicator_category", "series_id", "date", "value")
 
 
@@ -228,12 +298,17 @@ def _landing(spark, sf):
 
 
 def q_series_watermark(spark, sf):
-    _, stored = _landing(spark, sf)
-    return incremental.series_watermark(stored).drop("__stored")
+    incoming, _ = _landing(spark, sf)
+    return incremental.series_watermark(incoming).drop("__stored")
 
 
 def q_incremental_new_rows(spark, sf):
+    """The batch holds two fetches of the same history; the later one has the values to keep."""
     incoming, stored = _landing(spark, sf)
+    earlier = incoming.withColumns(
+        {"ingested_at": F.col("ingested_at") - F.expr("interval 1 day"), "value": F.col("value") + 1}
+    )
+    incoming = incoming.unionByName(earlier)
     return incremental.new_rows(incoming, stored).select("date", "source", "series_id", "value", "frequency")
 
 
@@ -250,10 +325,14 @@ def _dq_inputs(spark, sf):
     comb = stage_table(union_sources(staged["stg_iso"], staged["stg_mixed"], staged["stg_periods"]), "staged")
     # Each staged table carries its own provider in ``source``.
     s = {name: comb.filter(F.col("source") == src) for name, src in STAGED_SOURCES.items()}
-    tall = stage_table(marts.time_series_mart(comb), "time_series")
+    tall = stage_table(panels.defective(marts.time_series_mart(comb)), "time_series")
     return s, comb, tall
 
 
+def _defective(spark, sf):
+    return panels.defective(_tall(spark, sf))
+
+
 def q_dq_not_null(spark, sf):
     s, comb, tall = _dq_inputs(spark, sf)
     parts = [quality.not_null_counts(df, quality.STAGED_NOT_NULL, n) for n, df in s.items()]
@@ -267,19 +346,19 @@ def q_dq_not_null(spark, sf):
 
 
 def q_dq_accepted_values(spark, sf):
-    return quality.accepted_values_counts(_tall(spark, sf), quality.TALL_ACCEPTED, "time_series")
+    return quality.accepted_values_counts(_defective(spark, sf), quality.TALL_ACCEPTED, "time_series")
 
 
 def q_dq_one_latest(spark, sf):
-    return quality.one_latest_violations(_tall(spark, sf))
+    return quality.one_latest_violations(_defective(spark, sf))
 
 
 def q_dq_expected_present(spark, sf):
-    return quality.expected_series_missing(_tall(spark, sf), quality.expected_frame(spark))
+    return quality.expected_series_missing(_defective(spark, sf), quality.expected_frame(spark))
 
 
 def q_dq_stale_series(spark, sf):
-    return quality.stale_series(_tall(spark, sf), AS_OF)
+    return quality.stale_series(_defective(spark, sf), AS_OF)
 
 
 def q_dq_unique_grain(spark, sf):
@@ -294,6 +373,13 @@ def q_dq_report(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "src_delimited_lines": q_src_delimited_lines,
+    "src_json_lines": q_src_json_lines,
+    "src_wide_csv": q_src_wide_csv,
+    "extract_cubes": q_extract_cubes,
+    "ingest_rerun": q_ingest_rerun,
+    "sink_append": q_sink_append,
+    "sink_rebuild": q_sink_rebuild,
+    "stream_landing": q_stream_landing,
     "src_numeric_coerce": q_src_numeric_coerce,
     "catalog_extract": q_catalog_extract,
     "stg_iso_dates": q_stg_iso_dates,

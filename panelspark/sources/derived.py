@@ -101,6 +101,8 @@ def _d(c: str) -> Column:
 RETIRED_A = C.Series("FRED", "LMUNRRTTCHM156N", "Unemployment Rate (retired)", "labour", "percent", "monthly")
 ALL_SERIES = (*C.SERIES, RETIRED_A)
 
+_SAW_TOOTH = "CAST(floor((year(month) * 12 + month(month)) / 2) AS BIGINT) % 40"
+
 BINDINGS = (
     ("CLVMNACSAB1GQCH", "orders", "o_orderpriority", None, "price_sum", False, 1e-6, 0.0, "Q"),
     ("IRLTLT01CHM156N", "lineitem", "l_returnflag", None, "disc_sum", True, 100.0, 0.0, "M"),
@@ -117,7 +119,9 @@ BINDINGS = (
     ("KEI/CHE/EMP/_T/_Z", "lineitem", "l_returnflag", None, "n", False, 1e-3, 0.0, "MQA"),
     ("KEI/CHE/UNEMP/_T/_Z", "lineitem", "l_returnflag", None, "n_a", True, 100.0, 0.0, "MQA"),
     ("KEI/CHE/IRSTCI/_Z/_Z", "lineitem", "l_returnflag", None, "tax_sum", True, 100.0, 0.0, "MQA"),
-    ("KEI/CHE/CP/_Z/GY", "lineitem", "l_returnflag", None, "disc_sum", True, 100.0, -4.0, "MQA"),
+    # A saw-tooth from -2 to 5.8 that stands still every second month, at every scale: every prices rule, both signs
+    # of a denominator and a zero denominator occur.
+    ("KEI/CHE/CP/_Z/GY", "lineitem", "l_returnflag", "A", _SAW_TOOTH, False, 0.2, -2.0, "MQA"),
 )
 _UNIT = {"D": None, "M": "month", "Q": "quarter", "A": "year"}
 
@@ -224,18 +228,6 @@ def raw_tables(spark: SparkSession, sf_dir: str, stage: bool = False) -> dict[st
     }
 
 
-def raw_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_tables(spark, sf_dir)["iso"]
-
-
-def raw_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_tables(spark, sf_dir)["mixed"]
-
-
-def raw_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_tables(spark, sf_dir)["periods"]
-
-
 # --------------------------------------------------------------------------
 # Landed-file shapes derived from facts (inputs of the extract operators).
 # --------------------------------------------------------------------------
@@ -291,20 +283,59 @@ def landed_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines like provider B's CSV: preamble, header, one line per event.
+    """Text lines like provider B's CSV: preamble, blank line, header, one line per event.
 
-    Line shape: ``"YYYY-MM-DD";"<event_type>";"<value>"``.  The preamble and
-    header lines are a fixed three-line prologue; the data lines are the
-    events table itself.
+    Line shape: ``"<period>";"<event_type>";"<value>"``.  The prologue is fixed; the data lines are the events table
+    itself, most by day, every tenth by year and every tenth by quarter (periods that staging cannot place).
     """
     ev = read_table(spark, sf_dir, "events")
+    slot = F.pmod("event_id", F.lit(10))
+    period = F.when(slot == 0, format_period("ts", "A")).when(slot == 1, format_period("ts", "Q")).otherwise(
+        format_period("ts", "D")
+    )
     data = ev.select(
         F.concat(
-            F.lit('"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('";"'), F.col("event_type"),
+            F.lit('"'), period, F.lit('";"'), F.col("event_type"),
             F.lit('";"'), F.col("value").cast("string"), F.lit('"'),
         ).alias("value")
     )
     prologue = spark.createDataFrame(
-        [('"CubeId";"events"',), ('"PublishingDate";"2024-02-01 09:00"',), ('"Date";"D0";"Value"',)], "value string"
+        [('"CubeId";"events"',), ('"PublishingDate";"2024-02-01 09:00"',), ("",), ('"Date";"D0";"Value"',)], "value string"
     )
     return prologue.unionByName(data)
+
+
+# Landed cube files: (file, cube, dimensions of a priority or event type before and after the code).
+CUBE_CODES = (
+    ("devkum.csv", "devkum", "5-LOW", "EUR1"),
+    ("devkum.csv", "devkum", "4-NOT SPECIFIED", "USD1"),
+    ("devkum.csv", "devkum", "2-HIGH", "GBP1"),
+    ("rates.csv", "snbgwdzid", "click", "SARON"),
+    ("rates.csv", "snbgwdzid", "view", "ZIGBL"),
+    ("rates.csv", "snbgwdzid", "purchase", "ZIG"),
+    ("rates.csv", "snbgwdzid", "error", "OTHER"),
+)
+
+
+def landed_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of two landed provider-B files (file, value): currencies with two dimensions, rates with one.
+
+    Currencies are monthly aggregates of orders with the code in the second dimension, rates are the events of a
+    type.  Both hold members that the catalog does not track, and missing values.
+    """
+    codes = spark.createDataFrame(list(CUBE_CODES), "file string, cube string, member string, code string")
+    q = lambda *cells: F.concat_ws(";", *[F.concat(F.lit('"'), c, F.lit('"')) for c in cells])
+    om = orders_monthly(spark, sf_dir).join(F.broadcast(codes), F.col("o_orderpriority") == F.col("member"))
+    value = F.when(F.month("month") == 2, F.lit("")).otherwise(from_cents("price_sum").cast("string"))
+    currencies = om.select("file", q(format_period("month", "M"), F.lit("M0"), F.col("code"), value).alias("value"))
+    ev = read_table(spark, sf_dir, "events").join(F.broadcast(codes), F.col("event_type") == F.col("member"))
+    rates = ev.select("file", q(format_period("ts", "D"), F.col("code"), F.col("value").cast("string")).alias("value"))
+    heads = spark.createDataFrame(
+        [
+            ("devkum.csv", '"CubeId";"devkum"'), ("devkum.csv", '"PublishingDate";"2024-02-01"'), ("devkum.csv", ""),
+            ("devkum.csv", '"Date";"D0";"D1";"Value"'),
+            ("rates.csv", '"CubeId";"snbgwdzid"'), ("rates.csv", '"Date";"D0";"Value"'),
+        ],
+        "file string, value string",
+    )
+    return heads.unionByName(currencies).unionByName(rates)

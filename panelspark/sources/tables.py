@@ -60,3 +60,8 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def read_mart(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """A rebuilt table with its columns in their fixed order (partition columns come last on disk)."""
+    return spark.read.parquet(path).select(*columns)

@@ -2,13 +2,16 @@
 
 New JSON-lines files in a landing folder are picked up by a file stream;
 each micro-batch is reduced to rows newer than the stored per-series
-watermark and appended to the raw table.  The stream checkpoint records
+watermark, one per (series, period) even if several files of a batch
+repeat it, and appended to the raw table.  The stream checkpoint records
 which files were processed; the watermark still enforces "only newer
 periods", so a batch replayed after a failure appends nothing twice.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,7 +46,9 @@ def start_landing_stream(
         stored = spark.read.schema(schema).parquet(store_path)
         append(new_rows(batch, stored), store_path)
 
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-stream"
+    # One progress log for each store, the same on every start.
+    own = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{zlib.crc32(store_path.encode()):08x}"
+    location = checkpoint_location or own
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -61,3 +61,23 @@ def test_watermark_one_row_per_series(spark):
     raw = derived.raw_tables(spark, SF_CHECK)["periods"]
     wm = series_watermark(raw)
     assert wm.count() == raw.select("series_id").distinct().count()
+
+
+def test_batch_with_repeated_history_keeps_the_last_fetch(spark):
+    rows = [("2025-01", "S", 1.0, "2025-02-01"), ("2025-01", "S", 2.0, "2025-03-01"), ("2025-02", "S", 3.0, "2025-03-01"),
+            ("2025-02", "S", 4.0, "2025-03-01"), (None, "S", 5.0, "2025-03-01"), (None, "S", 6.0, "2025-03-01")]
+    batch = spark.createDataFrame(rows, "date string, series_id string, value double, ingested_at string")
+    got = sorted(((r.date or "", r.value) for r in new_rows(batch, batch.limit(0)).collect()))
+    assert got == [("", 5.0), ("", 6.0), ("2025-01", 2.0), ("2025-02", 4.0)]
+
+
+def test_null_series_loads_once(spark):
+    def nameless(*dates):
+        rows = raw_rows(spark, [(d, "X", "growth", 1.0, "monthly") for d in dates])
+        return rows.withColumn("series_id", F.lit(None).cast("string"))
+
+    batch = nameless("2025-01", "2025-02")
+    first = new_rows(batch, batch.limit(0))
+    assert first.count() == 2
+    assert new_rows(batch, first).count() == 0
+    assert new_rows(batch.unionByName(nameless("2025-03")), first).count() == 1

@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_SMOKE
 from panelspark.operators.quality import DataQualityError
 from panelspark.plans import pipeline
+from panelspark.schemas import TALL_COLUMNS
 from panelspark.sources import derived, tables
 
 
@@ -20,6 +21,7 @@ def test_run_writes_marts_and_reports(spark, raw_dir, tmp_path):
     res = pipeline.run(spark, pipeline.read_raw_tables(spark, raw_dir), str(tmp_path / "out"), as_of="2026-01-01",
                        gate=False)
     tall = spark.read.parquet(res.time_series_path)
+    assert tables.read_mart(spark, res.time_series_path, TALL_COLUMNS).columns == list(TALL_COLUMNS)
     wide = spark.read.parquet(res.overview_path)
     assert tall.filter("is_latest").count() == 15
     assert len(wide.columns) == 42 and wide.count() == tall.select("date").distinct().count()
@@ -44,3 +46,42 @@ def test_cli_run(spark, raw_dir, tmp_path, capsys):
     assert rc == 0 and '"status": "ok"' in out
     rc = main(["run", "--raw", raw_dir, "--out", str(tmp_path / "cli2"), "--as-of", "2026-01-01"])
     assert rc == 1 and '"status": "failed"' in capsys.readouterr().out
+
+
+def test_cli_ingest_then_rerun(spark, tmp_path, capsys):
+    import json
+
+    from panelspark.__main__ import main
+
+    landing, raw = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    (landing / "cur.csv").write_text('"CubeId";"devkum"\n"Date";"D0";"D1";"Value"\n"2024-01";"M0";"EUR1";"0.94"\n'
+                                     '"2024-02";"M0";"EUR1";"0.95"\n')
+    for appended in (2, 0):
+        assert main(["ingest", "--source", "b", "--landing", str(landing), "--raw", raw]) == 0
+        done = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        assert (done["extracted"], done["appended"]) == (2, appended)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "x.csv").write_text('"CubeId";"devkum"\n"Date";"D0";"D1";"Value"\n')
+    assert main(["ingest", "--source", "b", "--landing", str(tmp_path / "empty"), "--raw", raw]) == 1
+    assert "no observation" in capsys.readouterr().out
+
+
+def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
+    from panelspark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMOKE
+from panelspark.plans.oracle import ORACLE
+from panelspark.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -27,14 +29,15 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMOKE)
     rows = df.collect()
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     cols = sorted(ocols)
@@ -47,3 +50,33 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "is_latest" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"dq_unique_grain"}))
+def test_oracle_rows_prove_something(con, name):
+    """No registered query is green only because its result is empty."""
+    assert con.execute(f"SELECT count(*) FROM ({ORACLE[name]})").fetchone()[0] > 0
+
+
+def test_quality_queries_pass_and_fail(con):
+    failing = {r[:3]: r[3] for r in con.execute(ORACLE["dq_report"]).fetchall()}
+    by_check = {}
+    for (check, _, _), n in failing.items():
+        by_check.setdefault(check, []).append(n)
+    assert all(max(by_check[c]) > 0 for c in ("not_null", "accepted_values", "one_latest", "expected_present", "not_stale"))
+    assert min(by_check["not_null"]) == 0
+    assert 0 < failing[("not_stale", "time_series", "date")] < 15
+    assert {n for _, n in con.execute(ORACLE["dq_one_latest"]).fetchall()} >= {0}
+
+
+def test_rules_all_occur(con):
+    signals = con.execute(f"""SELECT DISTINCT indicator_category, signal FROM ({ORACLE['classify_signal']})
+                              WHERE indicator_category = 'prices'""").fetchall()
+    assert {s for _, s in signals} == {"bullish", "bearish", "neutral"}
+    lo, mid, hi = con.execute(f"""SELECT count(*) FILTER (value < 0), count(*) FILTER (value > 2 AND value <= 3),
+                              count(*) FILTER (value > 3) FROM ({ORACLE['classify_signal']})
+                              WHERE indicator_category = 'prices'""").fetchone()
+    assert lo and mid and hi
+    zero, negative = con.execute(f"""SELECT count(*) FILTER (p = 0 AND mom_change_pct IS NULL), count(*) FILTER (p < 0)
+        FROM (SELECT *, lag(value) OVER (PARTITION BY series_id ORDER BY date) AS p FROM ({ORACLE['pct_change_period']}))""").fetchone()
+    assert zero and negative

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from panelspark import catalog as C
 from panelspark.operators import extract
 from panelspark.sources import files, tables
@@ -101,3 +103,52 @@ def test_member_decided_after_value_coercion(spark, tmp_path):
     s = next(x for x in C.SERIES if x.series_id == "devkum/EUR1")
     out = extract.extract_delimited(files.read_lines(spark, str(p)), s, file_col="file").collect()
     assert [(r.date, r.value) for r in out] == [("2024-01", 0.9)]
+
+
+def test_every_row_after_the_header_is_kept(spark, tmp_path):
+    """Years and quarters are data too: staging decides what they mean."""
+    p = tmp_path / "devkum.csv"
+    p.write_text('"CubeId";"devkum"\n\n"Date";"D0";"D1";"Value"\n"2024";"M0";"EUR1";"0.9"\n"2024-Q1";"M0";"EUR1";"0.8"\n'
+                 '"2024-01";"M0";"EUR1";"0.7"\n"p;q";"M0";"EUR1";"0.6"\n')
+    s = next(x for x in C.SERIES if x.series_id == "devkum/EUR1")
+    out = extract.extract_delimited(files.read_lines(spark, str(p)), s, file_col="file").collect()
+    assert sorted(r.date for r in out) == ["2024", "2024-01", "2024-Q1", "p;q"]
+
+
+def test_file_without_header_raises(spark, tmp_path):
+    (tmp_path / "good.csv").write_text('"Date";"D0";"Value"\n"2024-01";"EUR1";"0.9"\n')
+    (tmp_path / "bad.csv").write_text("<html>try later</html>\n2024-01;x;1\n")
+    s = next(x for x in C.SERIES if x.series_id == "devkum/EUR1")
+    with pytest.raises(Exception, match="without a usable header"):
+        extract.extract_delimited(files.read_lines(spark, str(tmp_path)), s, file_col="file").collect()
+
+
+def test_cubes_in_one_pass(spark, tmp_path):
+    (tmp_path / "cur.csv").write_text(SNB_TEXT)
+    (tmp_path / "rates.csv").write_text('"CubeId";"snbgwdzid"\n"Date";"D0";"Value"\n"2024-01-02";"SARON";"1.7"\n'
+                                        '"2024-01-02";"ZIG";"1.5"\n"2024-01-02";"XX";"9"\n')
+    cat = extract.catalog_frame(spark, C.series_by_source("SNB"))
+    out = extract.extract_cubes(files.read_lines(spark, str(tmp_path)), cat).collect()
+    assert sorted((r.series_id, r.date, r.value) for r in out) == [
+        ("devkum/EUR1", "2024-01", 0.9432), ("devkum/EUR1", "2024-03", 0.9512), ("devkum/USD1", "2024-01", 0.8612),
+        ("snbgwdzid/SARON", "2024-01-02", 1.7), ("snbgwdzid/ZIG", "2024-01-02", 1.5)]
+    (tmp_path / "odd.csv").write_text('"CubeId";"devkum"\n"Date";"D0";"Value"\n"2024-01";"ZZZ";"1"\n')
+    with pytest.raises(Exception, match="no series code of its cube"):
+        extract.extract_cubes(files.read_lines(spark, str(tmp_path)), cat).collect()
+
+
+def test_wide_csv_files_keep_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MEASURE,ACTIVITY,ADJUSTMENT,TRANSFORMATION,FREQ,TIME_PERIOD,OBS_VALUE\nPRVM,C,Y,GY,M,2024-01,1.5\n")
+    (tmp_path / "b.csv").write_text("OBS_VALUE,TIME_PERIOD,FREQ,TRANSFORMATION,ADJUSTMENT,ACTIVITY,MEASURE,EXTRA\n2.5,2024-02,M,GY,Y,C,PRVM,x\n")
+    landed = files.read_wide_csv(spark, str(tmp_path))
+    out = extract.extract_wide(landed, extract.catalog_frame(spark, C.series_by_source("OECD")))
+    assert sorted((r.date, r.value) for r in out.collect()) == [("2024-01", 1.5), ("2024-02", 2.5)]
+    (tmp_path / "c.csv").write_text("NoResultsFound\n")
+    with pytest.raises(files.LandedFileError):
+        files.read_wide_csv(spark, str(tmp_path))
+
+
+def test_empty_wide_file_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    with pytest.raises(files.LandedFileError):
+        files.read_wide_csv(spark, str(tmp_path))

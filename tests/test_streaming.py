@@ -11,6 +11,19 @@ def _land(path, rows):
                                           "frequency": "monthly"}) for d, v in rows))
 
 
+def test_two_files_of_one_batch_load_once(spark, tmp_path):
+    """Two refetches landed before one run: every month is stored once."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = str(tmp_path / "store")
+    _land(landing / "a.json", [("2024-01", 0.94), ("2024-02", 0.95)])
+    _land(landing / "b.json", [("2024-01", 0.94), ("2024-02", 0.95), ("2024-03", 0.96)])
+    for _ in range(2):
+        start_landing_stream(spark, str(landing), store, str(tmp_path / "ckpt")).awaitTermination(120)
+    got = sorted((r.date, r.value) for r in spark.read.schema(RAW_STRING_DATES).parquet(store).collect())
+    assert got == [("2024-01", 0.94), ("2024-02", 0.95), ("2024-03", 0.96)]
+
+
 def test_landing_stream_appends_only_new_periods(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
