@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelspark.llm import sentencepiece_lattice as lattice
 from panelspark.llm import langid, minhash, packing, quality_rules, queries, sharding, token_counts, tokens, topk, toxicity, wavelet
 
 SF = "/root/testdata/sf0.01"
@@ -316,6 +317,70 @@ def test_impact_index_proves_what_it_leaves_out():
         assert (got == ids[m][order]).all() and (score == s[m][order]).all()
 
 
+# ---- 5 SentencePiece ------------------------------------------------------------------------------------------
+
+
+PIECE_HARD = ["a  b", " a ", "▁x ▁▁ y", "   ", "\n\t x", "漢字 x", "<s> </s> <unk> <0x41>", "aaaaaaaa aaaaaaaaa", "..... !!!! ----", "e\u0301", "x" * 500 + " y", "🙂🙂 a🙂b", "0123456789 3.14159", "a" * 70 + "é" * 70]
+
+
+def test_lattice_encoding_equals_library(spark, rows):
+    texts = PIECE_HARD + [r.text for r in rows[:150]] + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(1, "a  b")], "doc_id long, text string")
+    library = lattice._processor(lattice.MODEL)
+    found = Counter((r.doc_id, bytes(r.ids)) for r in lattice.encode(frame).collect())
+    want = Counter((i, np.array(library.encode(t or ""), "<u4").tobytes()) for i, t in [*enumerate(texts), (1, "a  b")])
+    assert found == want
+
+
+def test_decoding_gives_the_texts_back(spark, rows):
+    texts = [t for t in PIECE_HARD if "▁" not in t] + [r.text for r in rows[:60]] + [""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = [(r.doc_id, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in lattice.encode(frame).collect()]
+    coded += [(-1, None)]
+    back = {r.doc_id: r.text for r in lattice.decode(spark.createDataFrame(coded, "doc_id long, ids array<int>")).collect()}
+    assert back == {**dict(enumerate(texts)), -1: None}
+
+
+def brute_viterbi(word, scores, worst):
+    """Best segmentation by trying all of them."""
+    if not word:
+        return 0.0, []
+    best = None
+    for k in range(1, len(word) + 1):
+        head = word[:k]
+        if head in scores or k == 1:
+            score, rest = brute_viterbi(word[k:], scores, worst)
+            total = score + scores.get(head, worst)
+            if best is None or total > best[0] + 1e-12:
+                best = (total, [head, *rest])
+    return best
+
+
+def test_viterbi_fold_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    pieces = {c: -8.0 - i for i, c in enumerate("abcd")}
+    for _ in range(40):
+        pieces["".join(rng.choice(list("abcd"), int(rng.integers(2, 5))))] = -float(rng.integers(1, 2000)) / 100
+    rows = [(p, i, s) for i, (p, s) in enumerate(pieces.items())]
+    words = sorted({"".join(rng.choice(list("abcdz"), int(rng.integers(1, 9)))) for _ in range(80)})
+    units = spark.createDataFrame([(w,) for w in words], "unit string")
+    edges = lattice.lattice(units, lattice.piece_table(spark, rows), 4)
+    found = edges.withColumn("bounds", lattice.viterbi_path(F.col("unit"), F.col("edges"))).collect()
+    for r in found:
+        worst = min((e.score for e in r.edges), default=0.0) - lattice.UNKNOWN_PENALTY
+        cut = [r.unit[a:b] for a, b in zip(r.bounds, r.bounds[1:], strict=False)]
+        assert "".join(cut) == r.unit
+        assert sum(pieces.get(c, worst) for c in cut) == pytest.approx(brute_viterbi(r.unit, pieces, worst)[0])
+
+
+def test_sentencepiece_edges(edge, empty):
+    library = lattice._processor(lattice.MODEL)
+    found = Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in lattice.encoded_digest(edge).collect())
+    ids = [(i, np.array(library.encode(t or ""), "<u4")) for i, t in EDGE]
+    assert found == Counter((i, len(x), zlib.crc32(x.tobytes())) for i, x in ids)
+    assert lattice.encoded_digest(empty).count() == 0
+
+
 # ---- 6 quality rules ------------------------------------------------------------------------------------------
 
 
