@@ -183,7 +183,9 @@ def _fit(counts: np.ndarray, features: np.ndarray, labels: np.ndarray) -> tuple[
 def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """Lexicon, exceptions and curve from all labelled rows outside the held-out fold."""
     own = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(~held_out()).select("doc_id", "text").join(own, "doc_id").where("text is not null and toxic in (0, 1)")
+    # Labels may cover much of a corpus and have no bound, so they are not broadcast at any size.
+    own = own.where("toxic in (0, 1)").hint("merge")
+    rows = docs.where(~held_out() & F.col("text").isNotNull()).select("doc_id", "text").join(own, "doc_id")
     rows = staged(rows.select("text", F.col("toxic").cast("int").alias("toxic")))  # read four times below
     size = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = size.get(0, 0), size.get(1, 0)
