@@ -232,14 +232,14 @@ def test_toxicity_on_held_out_rows(spark, docs):
 def test_toxicity_folding_and_exceptions():
     assert toxicity.fold("Ｌ0ser!! 1D10T, сlown @ $5 id!ot") == " ioser idiot ciown s idiot "
     assert toxicity.fold("") == " " and toxicity.fold("l​o­ser") == " ioser "
-    lexicon = toxicity.Lexicon({" idiot ": 4.0, " ioser ": 5.0, " iose": 2.0}, {"sore ioser", "idiot proof"}, (-4.0, 2.0, 0.5))
+    lexicon = toxicity.Lexicon({" idiot ": 4.0, " ioser ": 5.0, " iose": 2.0}, {"sore ioser", "idiot proof"}, (-4.0, 1.0, 1.0, 0.5))
     automaton = lexicon.automaton()
     value = lambda t: lexicon.measure(automaton, toxicity.fold(t))[0]
-    assert value("a loser here") == pytest.approx(np.log1p(5.0))
+    assert value("a loser here") == 5.0
     assert value("a sore loser here") == 0 and value("an idiot proof plan") == 0
-    assert value("losing closer") == 0 and value("losers") == pytest.approx(np.log1p(2.0))
+    assert value("losing closer") == 0 and value("losers") == 2.0
     short, long = (lexicon.measure(automaton, toxicity.fold("loser " + "word " * n)) for n in (5, 500))
-    assert short[0] == long[0] and short[1] > long[1]
+    assert short[:2] == long[:2] and short[2] > long[2]
 
 
 def test_toxicity_learns_exceptions(spark):
@@ -589,6 +589,20 @@ def test_language_id_edges(edge, empty):
     assert langid.identify(empty, model).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    done = con.execute(queries.ORACLE[name])
+    columns = [d[0] for d in done.description]
+    found = queries.QUERIES[name](spark, SF)
+    assert sorted(found.columns) == sorted(columns)
+    assert Counter(tuple(r[c] for c in columns) for r in found.collect()) == Counter(done.fetchall())
+
+
 def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
     assert set(queries.ORACLE) <= set(queries.QUERIES)
