@@ -68,67 +68,79 @@ HEADER = "Date"
 MAX_FIELDS = 8
 
 
-def parse_delimited_lines(lines: DataFrame, text: str = "value", file_col: str | None = None,
-                          max_fields: int = MAX_FIELDS) -> DataFrame:
-    """``;``-separated quoted text with a preamble → (file, cube, date, dims, value_text).
-
-    Every line that is not blank, preamble or header is data, whatever its period looks like.  A file's header
-    tells where its value stands (last column) and its ``CubeId`` line names its cube; both are one row per file,
-    joined back without a hint.  Reading a row of a file that has no header raises, as does a header of more than
-    ``max_fields`` columns.
-    """
+def _cells(lines: DataFrame, text: str, file_col: str | None, max_fields: int) -> DataFrame:
+    """(file, first, cells, n, value): each line split once; the value is its last field, coerced."""
     names = [f"c{i}" for i in range(max_fields + 1)]
     fields = F.from_csv(F.col(text), ", ".join(f"{n} string" for n in names), {"sep": ";", "quote": '"'})
-    cells = lines.select((F.col(file_col) if file_col else F.lit("")).alias("file"), fields.alias("f")).select("file", "f.*")
-    first = F.trim("c0")
-    width = sum((F.col(n).isNotNull().cast("int") for n in names[1:]), F.col("c0").isNotNull().cast("int"))
-    is_header = first == HEADER
-    files = cells.filter(first.isin(HEADER, *PREAMBLE)).groupBy("file").agg(
-        F.max(F.when(is_header, width)).alias("__n"), F.max(F.when(first == "CubeId", F.trim("c1"))).alias("cube")
+    # Separators outside quotes tell how many fields a line has: an empty last field is a missing value.
+    n = F.length(F.regexp_replace(F.regexp_replace(F.col(text), '"[^"]*"', ""), "[^;]", "")) + 1
+    split = lines.filter(F.length(F.trim(F.col(text))) > 0).select(
+        (F.col(file_col) if file_col else F.lit("")).alias("file"), n.alias("n"), fields.alias("f")
     )
-    data = cells.filter((width > 0) & ~F.coalesce(first.isin(HEADER, *PREAMBLE), F.lit(False)))
-    stop = F.raise_error(F.concat(F.lit("landed file without a usable header line: "), F.col("file")))
-    n = F.when(F.col("__n").between(2, max_fields), F.col("__n")).otherwise(stop.cast("int"))
-    values = F.array(*names)
-    return data.join(files, "file", "left").select(
-        "file",
-        "cube",
-        first.alias("date"),
-        F.transform(F.slice(values, F.lit(2), n - 2), lambda x: F.trim(x)).alias("dims"),
-        F.trim(F.get(values, n - 1)).alias("value_text"),
+    cells = F.transform(F.array(*[F.col(f"f.{c}") for c in names]), lambda x: F.trim(x))
+    return split.select("file", "n", cells.alias("cells")).select(
+        "file", "n", "cells", F.get("cells", F.lit(0)).alias("first"), try_double(F.get("cells", F.col("n") - 1)).alias("value")
     )
 
 
-def _first_position(code: Column, max_dims: int) -> Column:
-    """First dimension that holds the code in any row (an aggregate), or NULL."""
-    at = [F.max(F.get("dims", F.lit(i)) == code) for i in range(max_dims)]
-    return F.coalesce(*[F.when(hit, F.lit(i)) for i, hit in enumerate(at)])
+def _is_data() -> Column:
+    return ~F.coalesce(F.col("first").isin(HEADER, *PREAMBLE), F.lit(False))
+
+
+def _checked(flag: str, max_fields: int) -> Column:
+    """TRUE; stops if the file of a data row has no header, or the row more fields than are read."""
+    stop = F.raise_error(F.concat(F.lit("landed file without a usable header line: "), F.col("file"))).cast("boolean")
+    return F.when(F.coalesce(flag, F.lit(False)) & (F.col("n") <= max_fields), F.lit(True)).otherwise(stop)
 
 
-def select_member(parsed: DataFrame, code: str, max_dims: int = MAX_FIELDS - 2) -> DataFrame:
-    """Keep rows whose dimension equals ``code``.
+def _dims() -> Column:
+    return F.slice("cells", F.lit(2), F.greatest(F.col("n") - 2, F.lit(0)))
 
-    Per file, the first dimension position holding ``code`` anywhere decides the filter; a file where no position
-    holds it is kept whole.  The per-file decision is one aggregate (one row per landed file), joined back
-    without a hint, so its size decides how.
+
+def parse_delimited_lines(lines: DataFrame, text: str = "value", file_col: str | None = None,
+                          max_fields: int = MAX_FIELDS) -> DataFrame:
+    """``;``-separated quoted text with a preamble → (file, cube, date, dims, value).
+
+    Every line that is not blank, preamble or header is data, whatever its period looks like; values that are no
+    number are dropped.  A file's ``CubeId`` line names its cube (NULL without one).  Reading a file that has no
+    header line raises, as does a row of more than ``max_fields`` fields.
     """
-    picks = parsed.groupBy("file").agg(_first_position(F.lit(code), max_dims).alias("__pick"))
-    keep = F.col("__pick").isNull() | (F.get("dims", F.col("__pick")) == F.lit(code))
-    return parsed.join(picks, "file").filter(keep).drop("__pick")
+    cells = _cells(lines, text, file_col, max_fields)
+    files = cells.groupBy("file").agg(
+        F.max(F.col("first") == HEADER).alias("__header"),
+        F.max(F.when(F.col("first") == "CubeId", F.get("cells", F.lit(1)))).alias("cube"),
+    )
+    return cells.filter(_is_data()).join(files, "file").filter(_checked("__header", max_fields)).filter(
+        is_valid_value("value")
+    ).select("file", "cube", F.col("first").alias("date"), _dims().alias("dims"), "value")
 
 
-def _valid_lines(lines: DataFrame, text: str, file_col: str | None) -> DataFrame:
-    """Values coerced and failures dropped, *before* any member filter looks for a code."""
-    parsed = parse_delimited_lines(lines, text, file_col)
-    return parsed.withColumn("value", try_double("value_text")).filter(is_valid_value("value"))
+def _first_position(code: Column, dims: Column, max_dims: int) -> Column:
+    """First dimension that holds the code in any row (an aggregate), or NULL."""
+    at = [F.max(F.get(dims, F.lit(i)) == code) for i in range(max_dims)]
+    return F.coalesce(*[F.when(hit, F.lit(i)) for i, hit in enumerate(at)])
 
 
 def extract_delimited(lines: DataFrame, series: C.Series, text: str = "value", file_col: str | None = None,
-                      ingested_at: Column | None = None) -> DataFrame:
-    """Landed lines of one provider-B series → raw rows."""
-    member = select_member(_valid_lines(lines, text, file_col), series.code)
+                      ingested_at: Column | None = None, max_fields: int = MAX_FIELDS) -> DataFrame:
+    """Landed lines of one provider-B series → raw rows.
+
+    Per file, the first dimension position holding the series code in a row with a value decides the filter; a file
+    where no position holds it is kept whole.  Header check and decision are one aggregate (one row per landed
+    file), joined back without a hint, so its size decides how: the lines are read twice and never shuffled whole.
+    """
+    cells = _cells(lines, text, file_col, max_fields)
+    valid = _is_data() & is_valid_value("value")
+    files = cells.groupBy("file").agg(
+        F.max(F.col("first") == HEADER).alias("__header"),
+        _first_position(F.lit(series.code), F.when(valid, _dims()), max_fields - 2).alias("__pick"),
+    )
+    rows = cells.filter(_is_data()).join(files, "file").filter(_checked("__header", max_fields))
+    member = rows.filter(
+        is_valid_value("value") & (F.col("__pick").isNull() | (F.get(_dims(), F.col("__pick")) == F.lit(series.code)))
+    )
     tagged = member.select(
-        "date",
+        F.col("first").alias("date"),
         "value",
         F.lit(series.indicator_name).alias("indicator_name"),
         F.lit(series.indicator_category).alias("indicator_category"),
@@ -146,15 +158,15 @@ def extract_cubes(lines: DataFrame, catalog: DataFrame, text: str = "value", fil
     """Landed lines of all provider-B files → raw rows of every catalog series of their cubes, in one pass.
 
     The catalog (fixed, small) is joined by the cube that each file names.  Per (file, series) the first dimension
-    holding the series code decides, as in `select_member`.  A file in which none of its cube's codes occurs
+    holding the series code decides, as in `extract_delimited`.  A file in which none of its cube's codes occurs
     belongs whole to the cube's series if there is only one; if there are several, reading it raises.
     """
     cat = catalog.filter(F.col("cube").isNotNull()).select(
         "cube", "code", "source", "indicator_name", "indicator_category", "unit", "frequency"
     )
     cat = cat.join(cat.groupBy("cube").agg(F.count("*").alias("__series")), "cube")
-    rows = _valid_lines(lines, text, file_col).join(F.broadcast(cat), "cube")
-    picks = rows.groupBy("file", "code").agg(_first_position(F.col("code"), MAX_FIELDS - 2).alias("__pick"))
+    rows = parse_delimited_lines(lines, text, file_col).join(F.broadcast(cat), "cube")
+    picks = rows.groupBy("file", "code").agg(_first_position(F.col("code"), F.col("dims"), MAX_FIELDS - 2).alias("__pick"))
     known = picks.groupBy("file").agg(F.count("__pick").alias("__known"))
     stop = F.raise_error(F.concat(F.lit("no series code of its cube in landed file "), F.col("file")))
     keep = (

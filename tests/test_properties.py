@@ -103,3 +103,16 @@ def test_ranged_plan_shape(spark):
     assert plan.count("FileScan") == 1
     assert plan.count("WindowGroupLimit") >= 4  # before and after each of the two small shuffles
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_delimited_lines_are_read_twice_and_never_shuffled_whole(spark):
+    """One pass for the rows, one for the per-file header check and member decision."""
+    from panelspark.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["src_delimited_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 2
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
