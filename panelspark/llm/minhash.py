@@ -13,11 +13,15 @@ Two texts are linked when the weighted Jaccard similarity of their bags of five-
    copies of any size costs one node afterwards.
 3. *Banding*: ``BANDS`` bands of ``ROWS`` registers.  At similarity 0.8 a pair misses every band with
    probability (1 - 0.8**5)**30 = 7e-6.
-4. *Candidates without all pairs*: each bucket links its members to its smallest node (a star); stars are
-   verified and merged into components.  Only buckets that still hold several components go on: there, pairs
-   across components whose signatures agree in at least ``threshold - 5 sigma`` of the registers are verified too.
-   The comparison of signatures is a condition inside the join, so a bucket's pairs are never written.
-5. *Verification* rehashes both texts and compares whole multisets.
+4. *Stars*: each bucket links its members to its smallest node; stars are verified and merged into components.
+5. *Tiles*: only buckets that still hold several components go on.  Their members are cut into blocks of about
+   `TILE`; two blocks meet in a tile, a bounded group of rows.  A tile compares the signatures of pairs across
+   components (each pair in the first band it shares) and keeps the members of pairs that agree in at least
+   ``threshold - 5 sigma`` of the registers; with their texts, a second pass over the kept tiles verifies these
+   pairs and returns the links that join components.  So all such pairs are decided, but rows stay members of
+   tiles: no bucket's pairs are ever written.
+6. *Verification* rehashes both texts and compares whole multisets.  The texts of nodes that share a bucket with
+   another are fetched once, in one shuffle.
 
 Defined edge cases: null, empty and blank texts have no window, are never duplicates, and form classes of one
 row (class_id = their doc_id).  Texts of one to four words have one window, the whole text.  Equal texts are
@@ -42,6 +46,8 @@ THRESHOLD = 0.8
 BANDS = 30
 ROWS = 5
 REGISTERS = BANDS * ROWS
+#: Members of a bucket that stand on one side of a tile, on average.
+TILE = 256
 NODE = "decimal(38,0)"
 
 
@@ -164,6 +170,116 @@ def _verify(threshold: float):
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys, of rows sorted by them."""
+    open_: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        if open_ and last != tuple(c[0] for c in columns):
+            yield pa.Table.from_batches(open_)
+            open_ = []
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for at, to in zip(edges[:-2], edges[1:-1], strict=True):
+            yield pa.Table.from_batches([*open_, batch.slice(at, to - at)])
+            open_ = []
+        open_.append(batch.slice(edges[-2]))
+        last = tuple(c[-1] for c in columns)
+    if open_:
+        yield pa.Table.from_batches(open_)
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for c in column.chunks])
+
+
+def tile_pairs(group: pa.Table, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (x, y) of a tile that may be links across components, and the registers in which they agree.
+
+    A tile of two blocks compares across them, a tile of one block within it.  A pair that shares several buckets
+    belongs to the first of them.
+    """
+    sig, bands = _matrix(group["sig"], REGISTERS), _matrix(group["bands"], BANDS)
+    bucket = group["bucket"][0].as_py()
+    block = group["block"].to_numpy()
+    _, comp = np.unique(np.array([str(c) for c in group["comp"].to_pylist()]), return_inverse=True)
+    across = group["i"][0].as_py() != group["j"][0].as_py()
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n = len(sig)
+    step = max(1, (1 << 23) // (n * REGISTERS))
+    for at in range(0, n, step):
+        rows = slice(at, at + step)
+        agree = (sig[rows, None, :] == sig[None, :, :]).sum(axis=2)
+        x, y = np.nonzero(agree >= need)
+        x += at
+        keep = (x < y) & (comp[x] != comp[y])
+        if across:
+            keep &= block[x] != block[y]
+        x, y = x[keep], y[keep]
+        same = bands[x] == bands[y]
+        keep = bands[x, same.argmax(axis=1)] == bucket
+        found.append((x[keep], y[keep], agree[x[keep] - at, y[keep]]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+_TILE_KEYS = ("bucket", "i", "j")
+
+
+def _possible(need: int):
+    """Members of a tile that are in some possible link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, _TILE_KEYS):
+            x, y, _ = tile_pairs(group, need)
+            if len(x):
+                yield from group.take(pa.array(np.union1d(x, y))).to_batches()
+
+    return run
+
+
+def _tile_links(need: int, threshold: float):
+    """Links of a tile that join components, verified on the whole texts, likeliest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, _TILE_KEYS):
+            x, y, agree = tile_pairs(group, need)
+            words, first = word_hashes(group["text"].combine_chunks())
+            bags = [bag(words[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            weight = np.array([b[1].sum() for b in bags])
+            comps = group["comp"].to_pylist()
+            root: dict = {c: c for c in comps}
+
+            def find(c, root=root):
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            links = []
+            for k in np.lexsort((y, x, -agree)):
+                a, b = int(x[k]), int(y[k])
+                if min(weight[a], weight[b]) < threshold * max(weight[a], weight[b]) - 1e-9:
+                    continue
+                ra, rb = find(comps[a]), find(comps[b])
+                if ra == rb:
+                    continue
+                low, high = similarity(bags[a], bags[b])
+                if low >= threshold * high - 1e-9:
+                    root[ra] = rb
+                    links.append((a, b))
+            if links:
+                nodes = group["node"].combine_chunks()
+                a, b = (nodes.take(pa.array([link[k] for link in links])) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    return run
+
+
 # ---- Spark ----------------------------------------------------------------------------------------------------
 
 
@@ -217,52 +333,61 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose whole multisets overlap enough."""
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    own = staged(texts.join(need, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
-    full = pairs.join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
-        own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
+    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(
+        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a"
     )
     return full.select("a", "b", "text_a", "text_b").transform(map_arrow, _verify(threshold), f"a {NODE}, b {NODE}")
 
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """Members (bucket, node, comp, ...) copied to the tiles of their bucket: a bucket of one block has one tile."""
+    size = members.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    placed = members.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")),
+    )
+    return placed.withColumn("t", F.explode(meets)).select("bucket", "t.i", "t.j", "block", "node", "comp", "sig", "bands")
+
+
+def _by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_TILE_KEYS).sortWithinPartitions(*_TILE_KEYS, "node")
+
+
+def _links_across(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join components which share a bucket."""
+    need = max(0, int(np.ceil(REGISTERS * threshold - 5 * np.sqrt(REGISTERS * threshold * (1 - threshold)))))
+    schema = f"bucket long, i int, j int, block int, node {NODE}, comp {NODE}, sig array<int>, bands array<long>"
+    possible = staged(_by_tile(_tiles(members)).transform(map_arrow, _possible(need), schema))
+    full = _by_tile(possible.join(texts.hint("merge"), "node"))
+    return full.transform(map_arrow, _tile_links(need, threshold), f"a {NODE}, b {NODE}")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, doc_id, comp, class_id) of every distinct text that has a word; doc_id: smallest of its documents."""
     signed = staged(signatures(docs))
     nodes = staged(
         signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     )
-    texts = docs.where("text is not null").select(_node().alias("node"), "text")
     rows = nodes.select(F.explode("bands").alias("bucket"), "node")
     heads = rows.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     crowded = staged(rows.join(heads, "bucket").select("bucket", "head", "node"))
+    # The texts of all nodes that share a bucket, once for both verifications.  Their number has no bound, so the
+    # join is a shuffle at every size.
+    need = crowded.select("node").distinct().hint("merge")
+    texts = docs.where("text is not null").select(_node().alias("node"), "text").join(need, "node", "left_semi")
+    texts = staged(texts.groupBy("node").agg(F.first("text").alias("text")))
 
-    stars = staged(crowded.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    stars = crowded.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = staged(_verified(stars, texts, threshold))
     comp = staged(connected_components(links))
 
-    # Buckets that still hold several components: pairs across components, unless a star has tested them.
     member = crowded.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = member.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    member = staged(member.join(mixed, "bucket").join(nodes.select("node", "sig"), "node"))
-    need = max(0, int(np.ceil(REGISTERS * threshold - 5 * np.sqrt(REGISTERS * threshold * (1 - threshold)))))
-    x, y = member.alias("x"), member.alias("y")
-    agree = F.aggregate(F.zip_with("x.sig", "y.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    across = (
-        x.join(
-            y,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.comp") != F.col("y.comp"))
-            & (F.col("x.node") < F.col("y.node"))
-            & (agree >= need),
-        )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-    )
-    across = staged(across.join(stars, ["a", "b"], "left_anti"))
-    more = staged(_verified(across, texts, threshold))
-    links = links.union(more)
+    member = member.join(mixed, "bucket").join(nodes.select("node", "sig", "bands"), "node")
+    more = staged(_links_across(member, texts, threshold))
     if not more.isEmpty():
-        comp = staged(connected_components(links))
+        comp = staged(connected_components(links.union(more)))
 
     label = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = label.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
