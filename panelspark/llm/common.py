@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.session import ensure_checkpoint_dir
 
+#: Rows of an Arrow batch: texts may be long, and a batch is held by the JVM and by the worker.
+BATCH_ROWS = 1000
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the executors (once for each application), so tasks can import it wherever they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -32,10 +39,25 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: idle workers would keep it while later stages need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """df.mapInArrow, with this package at hand in the tasks."""
+    """df.mapInArrow, with this package at hand in the tasks, small batches, and memory given back after each task."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_CHUNK = 1 << 22
+_BLOCK = 1 << 20
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -77,13 +77,26 @@ def spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand."""
-    n = len(raw)
-    power, inverse = _tables(n + 1)
-    run = np.empty(n + 1, np.uint64)
-    run[0] = 0
-    np.cumsum(_BYTE[raw] * power[:n], out=run[1:])
-    return mix((run[end] - run[start]) * inverse[start] + (end - start).astype(np.uint64))
+    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    Spans are in order and do not overlap.  They are hashed in blocks of about `_BLOCK` bytes, which bounds the
+    tables of powers.
+    """
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        to = len(start)
+        if int(end[-1]) - int(start[at]) > _BLOCK:
+            to = max(at + 1, int(np.searchsorted(end, start[at] + _BLOCK, side="right")))
+        base, stop = int(start[at]), int(end[to - 1])
+        power, inverse = _tables(stop - base + 1)
+        run = np.empty(stop - base + 1, np.uint64)
+        run[0] = 0
+        np.cumsum(_BYTE[raw[base:stop]] * power[: stop - base], out=run[1:])
+        s, e = start[at:to] - base, end[at:to] - base
+        out[at:to] = mix((run[e] - run[s]) * inverse[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 def word_hashes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +117,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20):
     """Cut a batch so that one slice holds about max_bytes of text at most (a longer text is a slice by itself)."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     edge = np.concatenate([[0], np.cumsum(sizes)])
