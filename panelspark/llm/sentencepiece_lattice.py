@@ -81,7 +81,12 @@ def piece_table(spark: SparkSession, rows: list[tuple[str, int, float]]) -> Data
 
 
 def words_of(text: str) -> list[str]:
-    return _WORDS.findall(BLANK + text.replace(" ", BLANK)) if text else []
+    """Words of a text, each without the one ``▁`` that it begins with."""
+    if not text:
+        return []
+    if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in _WORDS.findall(BLANK + text.replace(" ", BLANK))]
+    return text.split(" ")
 
 
 def units_of(word: str, neighbours: frozenset[str]) -> list[str]:
@@ -109,7 +114,10 @@ def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFram
 
 
 def merge_path(unit: Column, edges: Column) -> Column:
-    """Boundaries of the symbols that are left when the best merge is done again and again."""
+    """Boundaries of the symbols that are left when the best merge is done again and again.
+
+    edges: those of two characters or more, best first.
+    """
 
     def step(bounds: Column, _: Column) -> Column:
         at = lambda x: F.array_position(bounds, x)  # noqa: E731  from 1; 0 if it is no boundary now
@@ -118,9 +126,9 @@ def merge_path(unit: Column, edges: Column) -> Column:
         middle = F.get(bounds, at(best.start).cast("int"))
         return F.when(F.size(spans_two) > 0, F.array_remove(bounds, middle)).otherwise(bounds)
 
-    # every merge needs its edge, so there are no more merges than edges of two characters or more
+    # every merge needs its edge, so there are no more merges than edges
     n = F.length(unit)
-    most = F.least(n - 1, F.size(F.filter(edges, lambda e: e.end - e.start > 1)))
+    most = F.least(n - 1, F.size(edges))
     return F.when(most < 1, F.sequence(F.lit(0), n)).otherwise(F.aggregate(F.sequence(F.lit(1), most), F.sequence(F.lit(0), n), step))
 
 
@@ -166,8 +174,11 @@ def path_ids(unit: Column, edges: Column, bounds: Column, first_byte: int) -> Co
 def encode_units(units: DataFrame, rows: list[tuple[str, int, float]], first_byte: int, kind: str = "bpe") -> DataFrame:
     """unit, ids of every (distinct, non-empty) unit."""
     edges = lattice(units, piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows))
-    path = merge_path if kind == "bpe" else viterbi_path
-    placed = edges.withColumn("bounds", path(F.col("unit"), F.col("edges")))
+    if kind == "bpe":
+        merges = F.filter("edges", lambda e: e.end - e.start > 1)
+        placed = edges.withColumn("merges", merges).withColumn("bounds", merge_path(F.col("unit"), F.col("merges")))
+    else:
+        placed = edges.withColumn("bounds", viterbi_path(F.col("unit"), F.col("edges")))
     return placed.select("unit", path_ids(F.col("unit"), F.col("edges"), F.col("bounds"), first_byte).alias("ids"))
 
 
@@ -184,7 +195,8 @@ class Encoder:
     def word(self, word: str) -> bytes | tuple:
         known = self.words.get(word)
         if known is None:
-            parts = [self.frequent.get(u) or (self._long(u) if len(u) > LONGEST else u) for u in units_of(word, self.neighbours)]
+            units = units_of(BLANK + word, self.neighbours)
+            parts = [self.frequent.get(u) or (self._long(u) if len(u) > LONGEST else u) for u in units]
             known = b"".join(parts) if all(isinstance(p, bytes) for p in parts) else tuple(parts)
             if len(word) <= LONGEST:
                 if len(self.words) >= MEMORY:
@@ -201,18 +213,17 @@ class Encoder:
         return np.array(ids[ids.index(p.piece_to_id("<0x0A>")) + 1 :], "<u4").tobytes()
 
     def missing(self, text: str) -> set[str]:
-        return {u for w in set(words_of(text)) for u in self._open(w)}
-
-    def _open(self, word: str) -> list[str]:
-        known = self.word(word)
-        return [] if isinstance(known, bytes) else [u for u in known if isinstance(u, str)]
+        """Units of the text that are not frequent."""
+        open_ = (known for known in map(self.word, set(words_of(text))) if isinstance(known, tuple))
+        return {u for known in open_ for u in known if isinstance(u, str)}
 
     def encode(self, text: str, rare: dict[str, bytes]) -> bytes:
-        out = []
-        for w in words_of(text):
-            known = self.word(w)
-            out.append(known if isinstance(known, bytes) else b"".join(u if isinstance(u, bytes) else rare[u] for u in known))
-        return b"".join(out)
+        words = words_of(text)
+        code = {w: self.word(w) for w in set(words)}
+        for w, known in code.items():
+            if isinstance(known, tuple):
+                code[w] = b"".join(u if isinstance(u, bytes) else rare[u] for u in known)
+        return b"".join(map(code.__getitem__, words))
 
 
 def _ids_bytes(ids) -> bytes:
@@ -230,7 +241,7 @@ def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> Da
                 seen.update(words_of(t))
         units: Counter = Counter()
         for word, times in seen.items():
-            for u in units_of(word, _neighbours(model)):
+            for u in units_of(BLANK + word, _neighbours(model)):
                 units[u] += times
         names = [u for u in units if len(u) <= LONGEST]
         for at in range(0, len(names), 50_000):
