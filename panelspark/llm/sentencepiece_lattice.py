@@ -108,9 +108,9 @@ def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFram
     spans = starts.select("unit", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest_piece), n - F.col("at") + 1))).alias("size"))
     spans = spans.select("unit", "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("piece"))
     edge = F.struct("rank", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"), "id", "score")
-    found = spans.join(F.broadcast(pieces), "piece").groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    empty = F.array().cast("array<struct<rank:int,start:int,end:int,id:int,score:double>>")
-    return units.join(found, "unit", "left").select("unit", F.coalesce("edges", empty).alias("edges"))
+    # single characters stay without a piece, so that every unit stays; grouping keeps the units' partitioning
+    found = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
+    return found.groupBy("unit").agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
 
 
 def merge_path(unit: Column, edges: Column) -> Column:
@@ -230,6 +230,14 @@ def _ids_bytes(ids) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
+def _as_dict(coded: pa.Table) -> dict[str, bytes]:
+    """unit -> ids, of at most `FREQUENT` units."""
+    ids = coded["ids"].combine_chunks()
+    off = ids.offsets.to_numpy()
+    data = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    return {u: data[4 * a : 4 * b] for u, a, b in zip(coded["unit"].to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True)}
+
+
 def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> DataFrame:
     """At most n units, the most frequent of a bounded sample of texts."""
     total = docs.count()
@@ -260,8 +268,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     spark = docs.sparkSession
     rows, first_byte = piece_rows(model), _processor(model).piece_to_id("<0x00>")
     units = frequent_units(docs, model).repartition("unit")
-    table = {r.unit: _ids_bytes(r.ids) for r in encode_units(units, rows, first_byte).toLocalIterator()}
-    frequent = spark.sparkContext.broadcast(table)
+    frequent = spark.sparkContext.broadcast(_as_dict(staged(encode_units(units, rows, first_byte)).toArrow()))
     key = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("panelspark"), "text").alias("h2")]
     texts = docs.where("text <> ''").select("doc_id", "text", *key)
 
