@@ -47,6 +47,21 @@ def test_query_matches_oracle(spark, con, name):
     assert a == b
 
 
+def test_wrong_catalog_entry_turns_red(spark, con, monkeypatch):
+    """The oracle does not share the engine's catalog."""
+    import dataclasses
+
+    from panelspark.sources import derived
+
+    wrong = tuple(dataclasses.replace(s, indicator_category="labour") if s.series_id == "devkum/EUR1" else s
+                  for s in derived.ALL_SERIES)
+    monkeypatch.setattr(derived, "ALL_SERIES", wrong)
+    columns = ["series_id", "indicator_category"]
+    found = {tuple(r) for r in QUERIES["union_sources"](spark, SF_SMOKE).select(*columns).distinct().collect()}
+    want = set(con.execute(f"SELECT DISTINCT series_id, indicator_category FROM ({ORACLE['union_sources']})").fetchall())
+    assert found != want
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "is_latest" in df.columns
