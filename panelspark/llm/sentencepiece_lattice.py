@@ -113,23 +113,45 @@ def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFram
     return found.groupBy("unit").agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once: a lambda's argument is evaluated, an expression is copied."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_STATE = "struct<bounds:array<int>,left:array<struct<start:int,end:int>>>"
+
+
 def merge_path(unit: Column, edges: Column) -> Column:
     """Boundaries of the symbols that are left when the best merge is done again and again.
 
-    edges: those of two characters or more, best first.
+    edges: (start, end) of those of two characters or more, best first.  The state holds the boundaries and the
+    edges that both begin and end at one; an edge spans two symbols when one boundary lies inside it.
     """
+    no_edges = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(state: Column, _: Column) -> Column:
+        at = lambda x: F.array_position(state.bounds, x)
+        best_of = F.get(F.filter(state.left, lambda e: at(e.end) - at(e.start) == 2), F.lit(0))
+
+        def merge(best: Column, middle: Column) -> Column:
+            alive = F.filter(
+                state.left,
+                lambda e: (e.start != middle) & (e.end != middle) & ((e.start != best.start) | (e.end != best.end)),
+            )
+            return F.struct(F.array_remove(state.bounds, middle).alias("bounds"), alive.alias("left"))
 
-    def step(bounds: Column, _: Column) -> Column:
-        at = lambda x: F.array_position(bounds, x)  # noqa: E731  from 1; 0 if it is no boundary now
-        spans_two = F.filter(edges, lambda e: (at(e.end) - at(e.start) == 2) & (at(e.start) > 0))
-        best = F.get(spans_two, F.lit(0))
-        middle = F.get(bounds, at(best.start).cast("int"))
-        return F.when(F.size(spans_two) > 0, F.array_remove(bounds, middle)).otherwise(bounds)
+        done = F.struct(state.bounds.alias("bounds"), no_edges.alias("left"))
+        after = lambda best: F.when(best.isNull(), done).otherwise(
+            _let(F.get(state.bounds, at(best.start).cast("int")), lambda middle: merge(best, middle))
+        )
+        return F.when(F.size(state.left) == 0, state).otherwise(_let(best_of, after)).cast(_STATE)
 
     # every merge needs its edge, so there are no more merges than edges
     n = F.length(unit)
+    start = F.struct(F.sequence(F.lit(0), n).alias("bounds"), edges.alias("left")).cast(_STATE)
     most = F.least(n - 1, F.size(edges))
-    return F.when(most < 1, F.sequence(F.lit(0), n)).otherwise(F.aggregate(F.sequence(F.lit(1), most), F.sequence(F.lit(0), n), step))
+    folded = F.aggregate(F.sequence(F.lit(1), most), start, step, lambda state: state.bounds)
+    return F.when(most < 1, F.sequence(F.lit(0), n)).otherwise(folded)
 
 
 UNKNOWN_PENALTY = 10.0
@@ -175,7 +197,9 @@ def encode_units(units: DataFrame, rows: list[tuple[str, int, float]], first_byt
     """unit, ids of every (distinct, non-empty) unit."""
     edges = lattice(units, piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows))
     if kind == "bpe":
-        merges = F.filter("edges", lambda e: e.end - e.start > 1)
+        merges = F.transform(
+            F.filter("edges", lambda e: e.end - e.start > 1), lambda e: F.struct(e.start.alias("start"), e.end.alias("end"))
+        )
         placed = edges.withColumn("merges", merges).withColumn("bounds", merge_path(F.col("unit"), F.col("merges")))
     else:
         placed = edges.withColumn("bounds", viterbi_path(F.col("unit"), F.col("edges")))
