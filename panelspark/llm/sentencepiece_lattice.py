@@ -15,8 +15,9 @@ with its edges ``(rank, start, end, id)``.
   rank (leftmost first) that spans two symbols.  That is the model's own result, id for id.
 Characters without a piece become their UTF-8 byte pieces.
 
-*Texts.*  The table of the most frequent units (at most `FREQUENT`, from a bounded sample of texts) is broadcast;
-the other units of each text go through the same lattice and are joined back to their text.  A unit longer than
+*Texts.*  Units are cut and hashed by numpy over whole batches.  The table of the most frequent units (at most
+`FREQUENT`, from a bounded sample of texts) with their ids is broadcast; the other units of each text go through the
+same lattice and are joined back to their text.  A unit longer than
 `LONGEST` characters, whose fold would be quadratic, is encoded by the library in its task.
 
 Defined edge cases: null and empty texts have no ids; equal texts are encoded once and joined to every row; an
@@ -25,9 +26,6 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,17 +35,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import map_arrow, staged
-from panelspark.llm.words import slices
+from panelspark.llm.tokens import PieceTable
+from panelspark.llm.words import U64, hash_spans, mix, slices
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 FREQUENT = 400_000
 SAMPLE_DOCS = 50_000
 LONGEST = 64
-#: Words a worker remembers with their units.
-MEMORY = 250_000
-
-_WORDS = re.compile("▁*[^▁]+|▁+")
 
 
 # ---- vocabulary -----------------------------------------------------------------------------------------------
@@ -80,22 +75,59 @@ def piece_table(spark: SparkSession, rows: list[tuple[str, int, float]]) -> Data
     return spark.createDataFrame([(p, i, float(s), ranks[s]) for p, i, s in rows], "piece string, id int, score double, rank int")
 
 
-def words_of(text: str) -> list[str]:
-    """Words of a text, each without the one ``▁`` that it begins with."""
-    if not text:
-        return []
-    if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
-        return [w[1:] for w in _WORDS.findall(BLANK + text.replace(" ", BLANK))]
-    return text.split(" ")
+class Units:
+    """Units of a batch of texts: code points of the joined texts, and each unit's owner, place and keys."""
+
+    def __init__(self, texts: list[str | None], model: str):
+        parts = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
+        self.joined = "".join(parts)
+        code = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+        self.n = len(texts)
+        begin = np.ones(len(code), bool)
+        if len(code) > 1:
+            before, now = _symbol(code[:-1]), _symbol(code[1:])
+            begin[1:] = ~_neighbour_table(model)[before, now] | (code[1:] == ord(BLANK)) & (code[:-1] != ord(BLANK))
+            pairs = _neighbours(model)
+            for i in np.flatnonzero((before == _OTHER) | (now == _OTHER)) + 1:  # beyond the table
+                begin[i] = self.joined[i - 1 : i + 1] not in pairs or (code[i] == ord(BLANK) and code[i - 1] != ord(BLANK))
+        begin[off[:-1][off[:-1] < len(code)]] = True
+        self.start = np.flatnonzero(begin)
+        self.end = np.append(self.start[1:], len(code))
+        self.owner = np.searchsorted(off, self.start, side="right") - 1
+        self.hash = hash_spans(code, self.start, self.end, _code_values) | U64(1)
+        self.check = _check(code, self.start, self.end)
+        self.long = self.end - self.start > LONGEST
+
+    def text(self, at: np.ndarray) -> list[str]:
+        return [self.joined[a:b] for a, b in zip(self.start[at].tolist(), self.end[at].tolist(), strict=True)]
+
+
+_LATIN, _OTHER = 0x250, 0x251
+
+
+def _symbol(code: np.ndarray) -> np.ndarray:
+    """Code points below U+0250 as they are, the blank as U+0250, all others as one symbol."""
+    return np.where(code == ord(BLANK), _LATIN, np.minimum(code, _OTHER) + (code == _LATIN)).astype(np.int64)
+
+
+@lru_cache(maxsize=4)
+def _neighbour_table(model: str) -> np.ndarray:
+    out = np.zeros((_OTHER + 1, _OTHER + 1), bool)
+    for pair in _neighbours(model):
+        a, b = _symbol(np.array([ord(c) for c in pair], np.uint32))
+        out[a, b] = True
+    return out
+
+
+def _code_values(code: np.ndarray) -> np.ndarray:
+    return mix(code.astype(np.uint64) + U64(0x9E3779B97F4A7C15))
 
 
-def units_of(word: str, neighbours: frozenset[str]) -> list[str]:
-    out, begin = [], 0
-    for i in range(1, len(word)):
-        if word[i - 1 : i + 1] not in neighbours:
-            out.append(word[begin:i])
-            begin = i
-    return [*out, word[begin:]]
+def _check(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """First and last character and size: with the hash, the identity of a unit."""
+    first, last = code[start].astype(np.uint64), code[end - 1].astype(np.uint64)
+    return first | last << U64(21) | (end - start).astype(np.uint64) << U64(42)
 
 
 # ---- lattice (Spark) ------------------------------------------------------------------------------------------
@@ -209,57 +241,62 @@ def encode_units(units: DataFrame, rows: list[tuple[str, int, float]], first_byt
 # ---- texts ----------------------------------------------------------------------------------------------------
 
 
-class Encoder:
-    """A worker's view of the frequent units: words are remembered as bytes, or as the units still to be looked up."""
-
-    def __init__(self, model: str, frequent: dict[str, bytes]):
-        self.neighbours, self.frequent, self.model = _neighbours(model), frequent, model
-        self.words: dict[str, bytes | tuple] = {}
-
-    def word(self, word: str) -> bytes | tuple:
-        known = self.words.get(word)
-        if known is None:
-            units = units_of(BLANK + word, self.neighbours)
-            parts = [self.frequent.get(u) or (self._long(u) if len(u) > LONGEST else u) for u in units]
-            known = b"".join(parts) if all(isinstance(p, bytes) for p in parts) else tuple(parts)
-            if len(word) <= LONGEST:
-                if len(self.words) >= MEMORY:
-                    self.words.clear()
-                self.words[word] = known
-        return known
-
-    def _long(self, unit: str) -> bytes:
-        p = _processor(self.model)
-        # the library puts a blank in front: for a unit without one it is cut off again behind a character that merges with nothing
-        if unit.startswith(BLANK):
-            return np.array(p.encode(unit[1:]), "<u4").tobytes()
-        ids = p.encode("\n" + unit)
-        return np.array(ids[ids.index(p.piece_to_id("<0x0A>")) + 1 :], "<u4").tobytes()
-
-    def missing(self, text: str) -> set[str]:
-        """Units of the text that are not frequent."""
-        open_ = (known for known in map(self.word, set(words_of(text))) if isinstance(known, tuple))
-        return {u for known in open_ for u in known if isinstance(u, str)}
-
-    def encode(self, text: str, rare: dict[str, bytes]) -> bytes:
-        words = words_of(text)
-        code = {w: self.word(w) for w in set(words)}
-        for w, known in code.items():
-            if isinstance(known, tuple):
-                code[w] = b"".join(u if isinstance(u, bytes) else rare[u] for u in known)
-        return b"".join(map(code.__getitem__, words))
-
-
-def _ids_bytes(ids) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
-
-
-def _as_dict(coded: pa.Table) -> dict[str, bytes]:
-    """unit -> ids, of at most `FREQUENT` units."""
-    ids = coded["ids"].combine_chunks()
-    off = ids.offsets.to_numpy()
-    data = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-    return {u: data[4 * a : 4 * b] for u, a, b in zip(coded["unit"].to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True)}
+def _long_ids(unit: str, model: str) -> np.ndarray:
+    """Ids of one unit by the library."""
+    p = _processor(model)
+    if unit.startswith(BLANK):
+        return np.array(p.encode(unit[1:]), np.uint32)
+    # The library puts a blank in front; a line feed, which merges with nothing, keeps it off the unit.
+    ids = p.encode("\n" + unit)
+    return np.array(ids[ids.index(p.piece_to_id("<0x0A>")) + 1 :], np.uint32)
+
+
+def _unit_table(coded: pa.Table, model: str) -> PieceTable:
+    """Table of at most `FREQUENT` units with their ids."""
+    names, ids = coded["unit"].to_pylist(), coded["ids"].combine_chunks()
+    # each name is a unit, hashed as one span
+    code = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+    end = np.cumsum([len(x) for x in names]).astype(np.int64)
+    start = end - np.array([len(x) for x in names], np.int64)
+    table = PieceTable(max(1024, len(names)))
+    if names:
+        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int32)
+        hashes = hash_spans(code, start, end, _code_values) | U64(1)
+        table.add(hashes, _check(code, start, end), sizes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32))
+    return table
+
+
+def encode_batch(texts: list[str | None], model: str, frequent: PieceTable, rare_hash: np.ndarray, rare_ids: list[np.ndarray]) -> list[bytes]:
+    """Ids of each text; units that are not frequent are found among the rare ones by their hash."""
+    units = Units(texts, model)
+    row = frequent.find(units.hash, units.check)
+    count, first = frequent.count[row].astype(np.int64), frequent.first[row]
+    pool, base = [frequent.ids[: frequent.used]], frequent.used
+
+    def more(at: np.ndarray, ids: list[np.ndarray], which: np.ndarray):
+        nonlocal base
+        sizes = np.array([len(x) for x in ids], np.int64)
+        begin = base + np.cumsum(sizes) - sizes
+        count[at], first[at] = sizes[which], begin[which]
+        pool.extend(ids)
+        base += int(sizes.sum())
+
+    lost = np.flatnonzero((row < 0) & ~units.long)
+    if len(lost):
+        order = np.argsort(rare_hash, kind="stable")
+        place = np.searchsorted(rare_hash[order], units.hash[lost])
+        which = order[np.minimum(place, len(order) - 1)]
+        if not (rare_hash[which] == units.hash[lost]).all():
+            raise RuntimeError("a unit is neither frequent nor encoded")
+        more(lost, rare_ids, which)
+    long = np.flatnonzero(units.long)
+    if len(long):
+        more(long, [_long_ids(u, model) for u in units.text(long)], np.arange(len(long)))
+    end = np.cumsum(count)
+    ids = np.concatenate(pool)[np.repeat(first - (end - count), count) + np.arange(int(end[-1]) if len(end) else 0)]
+    data = ids.astype("<u4").tobytes()
+    off = 4 * np.concatenate([[0], np.cumsum(np.bincount(units.owner, weights=count, minlength=units.n).astype(np.int64))])
+    return [data[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
 
 
 def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> DataFrame:
@@ -267,18 +304,11 @@ def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> Da
     total = docs.count()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column("text").to_pylist():
-                seen.update(words_of(t))
-        units: Counter = Counter()
-        for word, times in seen.items():
-            for u in units_of(BLANK + word, _neighbours(model)):
-                units[u] += times
-        names = [u for u in units if len(u) <= LONGEST]
-        for at in range(0, len(names), 50_000):
-            part = names[at : at + 50_000]
-            yield pa.RecordBatch.from_pydict({"unit": part, "n": [units[u] for u in part]}, pa.schema([("unit", pa.string()), ("n", pa.int64())]))
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            units = Units(part.column("text").to_pylist(), model)
+            _, one, times = np.unique(units.hash, return_index=True, return_counts=True)
+            keep = ~units.long[one]
+            yield pa.RecordBatch.from_arrays([pa.array(units.text(one[keep]), pa.string()), pa.array(times[keep])], names=["unit", "n"])
 
     sample = docs.where("text is not null").select(F.substring("text", 1, 4_000).alias("text"))
     if total > SAMPLE_DOCS:
@@ -288,36 +318,58 @@ def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> Da
 
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id, ids (32-bit little-endian unsigned integers as binary) of every document."""
+    """doc_id, ids (32-bit little-endian unsigned integers as binary) of every document.
+
+    Texts cross one exchange, compressed, to meet the ids of their rare units; the key is a hash of the text, and a
+    collision would only join two texts' lists of units.
+    """
     spark = docs.sparkSession
     rows, first_byte = piece_rows(model), _processor(model).piece_to_id("<0x00>")
     units = frequent_units(docs, model).repartition("unit")
-    frequent = spark.sparkContext.broadcast(_as_dict(staged(encode_units(units, rows, first_byte)).toArrow()))
-    key = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("panelspark"), "text").alias("h2")]
-    texts = docs.where("text <> ''").select("doc_id", "text", *key)
+    frequent = spark.sparkContext.broadcast(_unit_table(staged(encode_units(units, rows, first_byte)).toArrow(), model))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.where("text <> ''").select("doc_id", "text", F.xxhash64("text").alias("key"))
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model, frequent.value)
-        for part in (part for batch in batches for part in slices(batch, "text", 2 << 20)):
-            found = [sorted(encoder.missing(t)) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("h1"), part.column("h2"), pa.array(found, pa.list_(pa.string()))], names=["h1", "h2", "units"])
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            units = Units(part.column("text").to_pylist(), model)
+            lost = np.flatnonzero((frequent.value.find(units.hash, units.check) < 0) & ~units.long)
+            _, one = np.unique(mix(units.hash[lost] + mix(units.owner[lost].astype(np.uint64))), return_index=True)
+            lost = lost[one]
+            keys = part.column("key").to_numpy()[units.owner[lost]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), pa.array(units.hash[lost].view(np.int64)), pa.array(units.text(lost), pa.string())], names=["key", "hash", "unit"]
+            )
 
-    rare = texts.select("text", "h1", "h2").transform(map_arrow, missing, "h1 long, h2 long, units array<string>")
-    rare = staged(rare.select("h1", "h2", F.explode("units").alias("unit")))
-    coded = encode_units(rare.select("unit").distinct(), rows, first_byte)
-    own = rare.distinct().join(coded, "unit").groupBy("h1", "h2").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [t.encode() for t in batch.column("text").to_pylist()]
+            packed = pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in data], pa.binary())
+            sizes = pa.array([len(x) for x in data], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), packed, sizes], names=["doc_id", "key", "packed", "size"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model, frequent.value)
-        for part in (part for batch in batches for part in slices(batch, "text", 2 << 20)):
-            out = []
-            for text, extra in zip(part.column("text").to_pylist(), part.column("rare").to_pylist(), strict=True):
-                out.append(encoder.encode(text, {x["unit"]: _ids_bytes(x["ids"]) for x in extra or ()}))
+        for part in (part for batch in batches for part in slices(batch, "packed", 1 << 20)):
+            sizes = part.column("size").to_pylist()
+            data = [pa.decompress(x, n, codec="zstd", asbytes=True).decode() for x, n in zip(part.column("packed").to_pylist(), sizes, strict=True)]
+            rare = part.column("rare").flatten()
+            hashes = rare.field("hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            ids = rare.field("ids")
+            values, off = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ids.offsets.to_numpy()
+            ids = np.split(values, (off - off[0])[1:-1]) if len(hashes) else []
+            out = encode_batch(data, model, frequent.value, hashes, ids)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    full = texts.join(own, ["h1", "h2"], "left").select("doc_id", "text", "rare")
-    done = full.transform(map_arrow, assemble, f"doc_id {kind}, ids binary")
+    # Cutting and hashing is cheap, so the rare units are made twice rather than written: once as distinct units for
+    # the lattice, once with their texts for the join.
+    rare = texts.select("key", "text").transform(map_arrow, missing, "key long, hash long, unit string")
+    coded = encode_units(rare.select("unit").distinct(), rows, first_byte)
+    own = rare.join(coded, "unit").groupBy("key")
+    own = own.agg(F.collect_list(F.struct("hash", "ids")).alias("rare"))
+    packed = texts.transform(map_arrow, pack, f"doc_id {kind}, key long, packed binary, size int")
+    nothing = F.array().cast("array<struct<hash:bigint,ids:array<int>>>")
+    full = packed.join(own.hint("merge"), "key", "left").withColumn("rare", F.coalesce("rare", nothing))
+    done = full.select("doc_id", "packed", "size", "rare").transform(map_arrow, assemble, f"doc_id {kind}, ids binary")
     return done.unionByName(docs.where("text is null or text = ''").select("doc_id", F.lit(b"").alias("ids")))
 
 

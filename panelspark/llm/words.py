@@ -76,8 +76,13 @@ def spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.searchsorted(start, off)
 
 
-def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand.
+def _byte_values(raw: np.ndarray) -> np.ndarray:
+    return _BYTE[raw]
+
+
+def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray, values=_byte_values) -> np.ndarray:
+    """64-bit hash of each span of bytes (or of what `values` gives a random 64-bit value for); equal spans give
+    equal hashes wherever they stand.
 
     Spans are in order and do not overlap.  They are hashed in blocks of about `_BLOCK` bytes, which bounds the
     tables of powers.
@@ -92,7 +97,7 @@ def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
         power, inverse = _tables(stop - base + 1)
         run = np.empty(stop - base + 1, np.uint64)
         run[0] = 0
-        np.cumsum(_BYTE[raw[base:stop]] * power[: stop - base], out=run[1:])
+        np.cumsum(values(raw[base:stop]) * power[: stop - base], out=run[1:])
         s, e = start[at:to] - base, end[at:to] - base
         out[at:to] = mix((run[e] - run[s]) * inverse[s] + (e - s).astype(np.uint64))
         at = to
