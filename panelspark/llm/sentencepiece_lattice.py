@@ -26,11 +26,13 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ from panelspark.llm.words import U64, hash_spans, mix, slices
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
-FREQUENT = 400_000
-SAMPLE_DOCS = 50_000
+FREQUENT = 500_000
+SAMPLE_DOCS = 100_000
 LONGEST = 64
 
 
@@ -76,14 +78,38 @@ def piece_table(spark: SparkSession, rows: list[tuple[str, int, float]]) -> Data
 
 
 class Units:
-    """Units of a batch of texts: code points of the joined texts, and each unit's owner, place and keys."""
+    """Units of a batch of texts: code points of the joined texts, and each unit's owner, place and keys.
+
+    Batches of Latin-1 texts are kept as bytes, with NUL for the blank; hashes are the same either way.
+    """
 
     def __init__(self, texts: list[str | None], model: str):
-        parts = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
+        self.n = len(texts)
+        whole = "".join(t for t in texts if t)
+        self.blank = "\0" if _is_latin(whole) else BLANK
+        parts = [self.blank + t.replace(" ", self.blank) if t else "" for t in texts]
         self.joined = "".join(parts)
-        code = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         off = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
-        self.n = len(texts)
+        if self.blank == BLANK:
+            code = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            values, plain = _code_values, code
+            begin = self._begins(code, model)
+        else:
+            code = np.frombuffer(self.joined.encode("latin-1"), np.uint8)
+            values, plain = _latin_values, None
+            begin = np.ones(len(code), bool)
+            begin[1:] = _latin_cuts(model)[code[:-1].astype(np.uint16) << 8 | code[1:]]
+        begin[off[:-1][off[:-1] < len(code)]] = True
+        self.start = np.flatnonzero(begin)
+        self.end = np.append(self.start[1:], len(code))
+        self.owner = np.repeat(np.arange(self.n), np.diff(np.searchsorted(self.start, off)))
+        self.hash = hash_spans(code, self.start, self.end, values) | U64(1)
+        ends = (code[self.start], code[self.end - 1])
+        first, last = ends if plain is not None else (_LATIN_CODES[e] for e in ends)
+        self.check = _check(first, last, self.end - self.start)
+        self.long = self.end - self.start > LONGEST
+
+    def _begins(self, code: np.ndarray, model: str) -> np.ndarray:
         begin = np.ones(len(code), bool)
         if len(code) > 1:
             before, now = _symbol(code[:-1]), _symbol(code[1:])
@@ -91,16 +117,18 @@ class Units:
             pairs = _neighbours(model)
             for i in np.flatnonzero((before == _OTHER) | (now == _OTHER)) + 1:  # beyond the table
                 begin[i] = self.joined[i - 1 : i + 1] not in pairs or (code[i] == ord(BLANK) and code[i - 1] != ord(BLANK))
-        begin[off[:-1][off[:-1] < len(code)]] = True
-        self.start = np.flatnonzero(begin)
-        self.end = np.append(self.start[1:], len(code))
-        self.owner = np.searchsorted(off, self.start, side="right") - 1
-        self.hash = hash_spans(code, self.start, self.end, _code_values) | U64(1)
-        self.check = _check(code, self.start, self.end)
-        self.long = self.end - self.start > LONGEST
+        return begin
 
     def text(self, at: np.ndarray) -> list[str]:
-        return [self.joined[a:b] for a, b in zip(self.start[at].tolist(), self.end[at].tolist(), strict=True)]
+        return [self.joined[a:b].replace("\0", BLANK) if self.blank == "\0" else self.joined[a:b] for a, b in zip(self.start[at].tolist(), self.end[at].tolist(), strict=True)]
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "\0" not in text
 
 
 _LATIN, _OTHER = 0x250, 0x251
@@ -124,10 +152,28 @@ def _code_values(code: np.ndarray) -> np.ndarray:
     return mix(code.astype(np.uint64) + U64(0x9E3779B97F4A7C15))
 
 
-def _check(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+#: Code point of each byte of a Latin-1 batch.
+_LATIN_CODES = np.arange(256, dtype=np.uint32)
+_LATIN_CODES[0] = ord(BLANK)
+_LATIN_VALUES = _code_values(_LATIN_CODES)
+
+
+def _latin_values(code: np.ndarray) -> np.ndarray:
+    return _LATIN_VALUES[code]
+
+
+@lru_cache(maxsize=4)
+def _latin_cuts(model: str) -> np.ndarray:
+    """For two neighbouring bytes of a Latin-1 batch (first one high), whether a unit begins between them."""
+    symbol = _symbol(_LATIN_CODES)
+    cuts = ~_neighbour_table(model)[symbol[:, None], symbol[None, :]]
+    cuts[1:, 0] = True
+    return cuts.ravel()
+
+
+def _check(first: np.ndarray, last: np.ndarray, size: np.ndarray) -> np.ndarray:
     """First and last character and size: with the hash, the identity of a unit."""
-    first, last = code[start].astype(np.uint64), code[end - 1].astype(np.uint64)
-    return first | last << U64(21) | (end - start).astype(np.uint64) << U64(42)
+    return first.astype(np.uint64) | last.astype(np.uint64) << U64(21) | size.astype(np.uint64) << U64(42)
 
 
 # ---- lattice (Spark) ------------------------------------------------------------------------------------------
@@ -251,19 +297,30 @@ def _long_ids(unit: str, model: str) -> np.ndarray:
     return np.array(ids[ids.index(p.piece_to_id("<0x0A>")) + 1 :], np.uint32)
 
 
-def _unit_table(coded: pa.Table, model: str) -> PieceTable:
-    """Table of at most `FREQUENT` units with their ids."""
-    names, ids = coded["unit"].to_pylist(), coded["ids"].combine_chunks()
-    # each name is a unit, hashed as one span
-    code = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
-    end = np.cumsum([len(x) for x in names]).astype(np.int64)
-    start = end - np.array([len(x) for x in names], np.int64)
-    table = PieceTable(max(1024, len(names)))
-    if names:
-        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int32)
-        hashes = hash_spans(code, start, end, _code_values) | U64(1)
-        table.add(hashes, _check(code, start, end), sizes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32))
-    return table
+class FrequentUnits:
+    """At most `FREQUENT` units with their ids, as compact arrays; each worker makes its table once."""
+
+    def __init__(self, coded: pa.Table):
+        names, ids = coded["unit"].to_pylist(), coded["ids"].combine_chunks()
+        # each name is a unit, hashed as one span
+        code = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+        end = np.cumsum([len(x) for x in names]).astype(np.int64)
+        start = end - np.array([len(x) for x in names], np.int64)
+        self.name = uuid.uuid4().hex
+        self.hash = hash_spans(code, start, end, _code_values) | U64(1) if names else np.zeros(0, np.uint64)
+        self.check = _check(code[start], code[end - 1], end - start) if names else np.zeros(0, np.uint64)
+        self.sizes = np.diff(ids.offsets.to_numpy()).astype(np.uint16) if names else np.zeros(0, np.uint16)
+        self.ids = (ids.flatten().to_numpy(zero_copy_only=False) if names else np.zeros(0)).astype(np.uint16)
+
+    def table(self) -> PieceTable:
+        if self.name not in _TABLES:
+            _TABLES.clear()
+            _TABLES[self.name] = table = PieceTable(max(1024, len(self.hash)))
+            table.add(self.hash, self.check, self.sizes.astype(np.int32), self.ids.astype(np.uint32))
+        return _TABLES[self.name]
+
+
+_TABLES: dict[str, PieceTable] = {}
 
 
 def encode_batch(texts: list[str | None], model: str, frequent: PieceTable, rare_hash: np.ndarray, rare_ids: list[np.ndarray]) -> list[bytes]:
@@ -284,9 +341,10 @@ def encode_batch(texts: list[str | None], model: str, frequent: PieceTable, rare
     lost = np.flatnonzero((row < 0) & ~units.long)
     if len(lost):
         order = np.argsort(rare_hash, kind="stable")
-        place = np.searchsorted(rare_hash[order], units.hash[lost])
+        known = np.array([xxhash.xxh64_intdigest(u, 42) for u in units.text(lost)], np.uint64)
+        place = np.searchsorted(rare_hash[order], known)
         which = order[np.minimum(place, len(order) - 1)]
-        if not (rare_hash[which] == units.hash[lost]).all():
+        if not (rare_hash[which] == known).all():
             raise RuntimeError("a unit is neither frequent nor encoded")
         more(lost, rare_ids, which)
     long = np.flatnonzero(units.long)
@@ -317,6 +375,9 @@ def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> Da
     return counted.where("n > 1").orderBy(F.desc("n"), "unit").limit(n).select("unit")
 
 
+_SMALL = "array<smallint>"  # ids below 32768
+
+
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids (32-bit little-endian unsigned integers as binary) of every document.
 
@@ -325,26 +386,29 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
     spark = docs.sparkSession
     rows, first_byte = piece_rows(model), _processor(model).piece_to_id("<0x00>")
-    units = frequent_units(docs, model).repartition("unit")
-    frequent = spark.sparkContext.broadcast(_unit_table(staged(encode_units(units, rows, first_byte)).toArrow(), model))
+    if max(i for _, i, _ in rows) >= 1 << 15:
+        raise ValueError("a vocabulary of more than 32768 pieces")
+    # Units of a task that are grouped by hashing before grouping turns to sorting: some 100 MB.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "50000")
+    units = frequent_units(docs, model).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit")
+    frequent = spark.sparkContext.broadcast(FrequentUnits(staged(encode_units(units, rows, first_byte)).toArrow()))
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.where("text <> ''").select("doc_id", "text", F.xxhash64("text").alias("key"))
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in slices(batch, "text")):
             units = Units(part.column("text").to_pylist(), model)
-            lost = np.flatnonzero((frequent.value.find(units.hash, units.check) < 0) & ~units.long)
+            lost = np.flatnonzero((frequent.value.table().find(units.hash, units.check) < 0) & ~units.long)
             _, one = np.unique(mix(units.hash[lost] + mix(units.owner[lost].astype(np.uint64))), return_index=True)
             lost = lost[one]
             keys = part.column("key").to_numpy()[units.owner[lost]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(units.hash[lost].view(np.int64)), pa.array(units.text(lost), pa.string())], names=["key", "hash", "unit"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(units.text(lost), pa.string())], names=["key", "unit"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=6)
         for batch in batches:
             data = [t.encode() for t in batch.column("text").to_pylist()]
-            packed = pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in data], pa.binary())
+            packed = pa.array([codec.compress(x, asbytes=True) for x in data], pa.binary())
             sizes = pa.array([len(x) for x in data], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), packed, sizes], names=["doc_id", "key", "packed", "size"])
 
@@ -357,17 +421,17 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             ids = rare.field("ids")
             values, off = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ids.offsets.to_numpy()
             ids = np.split(values, (off - off[0])[1:-1]) if len(hashes) else []
-            out = encode_batch(data, model, frequent.value, hashes, ids)
+            out = encode_batch(data, model, frequent.value.table(), hashes, ids)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    # Cutting and hashing is cheap, so the rare units are made twice rather than written: once as distinct units for
-    # the lattice, once with their texts for the join.
-    rare = texts.select("key", "text").transform(map_arrow, missing, "key long, hash long, unit string")
-    coded = encode_units(rare.select("unit").distinct(), rows, first_byte)
-    own = rare.join(coded, "unit").groupBy("key")
-    own = own.agg(F.collect_list(F.struct("hash", "ids")).alias("rare"))
+    rare = staged(texts.select("key", "text").transform(map_arrow, missing, "key long, unit string"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = encode_units(rare.select("unit").repartition(parts, "unit").distinct(), rows, first_byte)
+    # Worker and Spark know a rare unit by the same 64-bit hash; ids of this size of vocabulary fit 16 bits.
+    found = rare.join(coded, "unit").select("key", F.struct(F.xxhash64("unit").alias("hash"), F.col("ids").cast(_SMALL).alias("ids")).alias("u"))
+    own = found.groupBy("key").agg(F.collect_list("u").alias("rare"))
     packed = texts.transform(map_arrow, pack, f"doc_id {kind}, key long, packed binary, size int")
-    nothing = F.array().cast("array<struct<hash:bigint,ids:array<int>>>")
+    nothing = F.array().cast(f"array<struct<hash:bigint,ids:{_SMALL}>>")
     full = packed.join(own.hint("merge"), "key", "left").withColumn("rare", F.coalesce("rare", nothing))
     done = full.select("doc_id", "packed", "size", "rare").transform(map_arrow, assemble, f"doc_id {kind}, ids binary")
     return done.unionByName(docs.where("text is null or text = ''").select("doc_id", F.lit(b"").alias("ids")))
