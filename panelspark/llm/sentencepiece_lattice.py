@@ -179,13 +179,15 @@ def _check(first: np.ndarray, last: np.ndarray, size: np.ndarray) -> np.ndarray:
 # ---- lattice (Spark) ------------------------------------------------------------------------------------------
 
 
-def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFrame:
-    """unit, edges (rank, start, end, id, score) of every unit; units are distinct."""
+def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int, scores: bool = True) -> DataFrame:
+    """unit, edges (rank, start, end, id, and score if asked for) of every unit; units are distinct."""
     n = F.length("unit")
     starts = units.select("unit", F.explode(F.sequence(F.lit(1), n)).alias("at"))
     spans = starts.select("unit", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest_piece), n - F.col("at") + 1))).alias("size"))
     spans = spans.select("unit", "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("piece"))
-    edge = F.struct("rank", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"), "id", "score")
+    edge = F.struct(
+        "rank", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"), "id", *["score"] * scores
+    )
     # single characters stay without a piece, so that every unit stays; grouping keeps the units' partitioning
     found = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
     return found.groupBy("unit").agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
@@ -273,7 +275,7 @@ def path_ids(unit: Column, edges: Column, bounds: Column, first_byte: int) -> Co
 
 def encode_units(units: DataFrame, rows: list[tuple[str, int, float]], first_byte: int, kind: str = "bpe") -> DataFrame:
     """unit, ids of every (distinct, non-empty) unit."""
-    edges = lattice(units, piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows))
+    edges = lattice(units, piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows), kind != "bpe")
     if kind == "bpe":
         merges = F.transform(
             F.filter("edges", lambda e: e.end - e.start > 1), lambda e: F.struct(e.start.alias("start"), e.end.alias("end"))
@@ -425,7 +427,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     rare = staged(texts.select("key", "text").transform(map_arrow, missing, "key long, unit string"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # more and smaller groups of units than the default, so that a task's lattices stay small
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     coded = encode_units(rare.select("unit").repartition(parts, "unit").distinct(), rows, first_byte)
     # Worker and Spark know a rare unit by the same 64-bit hash; ids of this size of vocabulary fit 16 bits.
     found = rare.join(coded, "unit").select("key", F.struct(F.xxhash64("unit").alias("hash"), F.col("ids").cast(_SMALL).alias("ids")).alias("u"))
