@@ -20,8 +20,8 @@ Characters without a piece become their UTF-8 byte pieces.
 same lattice and are joined back to their text.  A unit longer than
 `LONGEST` characters, whose fold would be quadratic, is encoded by the library in its task.
 
-Defined edge cases: null and empty texts have no ids; equal texts are encoded once and joined to every row; an
-empty table gives an empty result; extra columns are ignored.
+Defined edge cases: null and empty texts have no ids; the rare units of equal texts are listed once and joined to
+every row; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -426,7 +426,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             out = encode_batch(data, model, frequent.value.table(), hashes, ids)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    rare = staged(texts.select("key", "text").transform(map_arrow, missing, "key long, unit string"))
+    # copies of a text list its units once, so a list is bounded by one text
+    rare = staged(texts.select("key", "text").transform(map_arrow, missing, "key long, unit string").distinct())
     # more and smaller groups of units than the default, so that a task's lattices stay small
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     coded = encode_units(rare.select("unit").repartition(parts, "unit").distinct(), rows, first_byte)

@@ -332,6 +332,20 @@ def test_lattice_encoding_equals_library(spark, rows):
     assert found == want
 
 
+def test_copies_of_a_long_text_list_their_rare_units_once(spark, monkeypatch):
+    end = [f"qz{i}xk" for i in range(40)]  # past the 4,000 characters that the frequent units are counted in
+    text = "the cat sat on a mat " * 200 + " ".join(end)
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    kept = []
+    monkeypatch.setattr(lattice, "staged", lambda df, f=lattice.staged: kept.append(f(df)) or kept[-1])
+    coded = lattice.encode(frame)
+    (rare,) = (x for x in kept if x.columns == ["key", "unit"])
+    found = [r.unit for r in rare.collect()]
+    assert len(found) == len(set(found)) and 0 < len(found) <= 3 * len(end)
+    want = np.array(lattice._processor(lattice.MODEL).encode(text), "<u4").tobytes()
+    assert Counter(bytes(r.ids) for r in coded.select("ids").collect()) == {want: 3000}
+
+
 def test_decoding_gives_the_texts_back(spark, rows):
     texts = [t for t in PIECE_HARD if "▁" not in t] + [r.text for r in rows[:60]] + [""]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
