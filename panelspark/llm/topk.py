@@ -11,7 +11,8 @@ gain.  Posting segments of all components are processed by falling quantised gai
 the gains between two thresholds to the accumulators.  After a level each candidate's score lies between its
 accumulator and that plus, for each component not seen yet, the level's threshold.  A row is left out
 only on proof, when its upper bound is below the k-th best lower bound.  Postings stop when the rows not proved
-out are few (`RESCORE`) or the levels end; all those possible members are scored again exactly.
+out are at most a share `RESCORE` of the block, or when no posting is left; all those possible members are scored
+again exactly.
 
 *Joining* queries and blocks: queries are a stated set; both sides are cut into blocks and every pair of blocks is
 one row of the join, with a bounded payload.  Each pair returns at most k rows a query, and the k best of those
@@ -39,8 +40,8 @@ K = 5
 SCALE = 256
 BLOCK_ROWS = 8192
 QUERY_ROWS = 512
-#: Gains processed by the end of each level, as shares of the largest gain.
-LEVELS = (0.6, 0.5, 0.4, 0.3)
+#: Gains processed by the end of each level, as shares of the largest gain; after the last one no posting is left.
+LEVELS = (0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05, 0.0)
 #: Share of a block's rows that may be possible members when postings stop and exact scoring begins.
 RESCORE = 0.5
 
@@ -53,6 +54,7 @@ class ImpactIndex:
         self.ids, self.vectors = ids[order], vectors[order].astype(np.float64)  # integers, exact far below 2**53
         self.docs = np.argsort(self.vectors, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(self.vectors, self.docs.T, axis=0).T.copy()
+        self.scored = self.read = 0  # rows scored exactly and postings read by the last search
 
     def search(self, query: np.ndarray, own: int, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows other than the query's own."""
@@ -64,6 +66,7 @@ class ImpactIndex:
         low, high = np.zeros(len(used), np.int64), np.full(len(used), n)  # postings not processed yet
         score, seen = np.zeros(n), np.zeros(n)  # gains and number of components processed, by row
         possible = np.flatnonzero(other)
+        self.read = 0
         for share in LEVELS:
             if not len(used) or len(possible) <= max(k, RESCORE * n):
                 break
@@ -80,8 +83,10 @@ class ImpactIndex:
                     low[i] = last = max(first, last)
                 rows.append(self.docs[d, first:last])
                 gains.append(values[first:last] * q - floor[i])
-            rows = np.concatenate(rows)
-            score += np.bincount(rows, weights=np.concatenate(gains), minlength=n)
+            rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+            gains = np.concatenate(gains) if gains else np.zeros(0)
+            self.read += len(rows)
+            score += np.bincount(rows, weights=gains, minlength=n)
             seen += np.bincount(rows, minlength=n)
             # A component not seen adds at most the bar, or its whole gain if that is smaller; one that was seen
             # has a gain above the bar, so it takes exactly one bar out of the sum.
@@ -90,6 +95,7 @@ class ImpactIndex:
             if len(lower) > k:
                 kth = np.partition(lower, len(lower) - k)[len(lower) - k]
                 possible = np.flatnonzero(other & (upper >= kth))
+        self.scored = len(possible)
         exact = self.vectors[possible] @ query  # possible members, scored exactly
         best = np.lexsort((self.ids[possible], -exact))[:k]
         return self.ids[possible][best], exact[best].astype(np.int64)

@@ -317,6 +317,22 @@ def test_impact_index_proves_what_it_leaves_out():
         assert (got == ids[m][order]).all() and (score == s[m][order]).all()
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_impact_index_leaves_rows_out(sf):
+    import pyarrow.parquet as pq
+
+    table = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet")
+    ids = table["vec_id"].to_numpy()
+    vectors = np.floor(256 * np.array(table["embedding"].to_pylist(), np.float64)).astype(np.int64)
+    index = topk.ImpactIndex(ids, vectors)
+    for t in np.flatnonzero(ids % 50 == 0):
+        got, score = index.search(vectors[t], int(ids[t]))
+        s, m = vectors @ vectors[t], ids != ids[t]
+        order = np.lexsort((ids[m], -s[m]))[:5]
+        assert (got == ids[m][order]).all() and (score == s[m][order]).all()
+        assert index.scored <= topk.RESCORE * len(ids)
+
+
 # ---- 5 SentencePiece ------------------------------------------------------------------------------------------
 
 
