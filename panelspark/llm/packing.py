@@ -11,7 +11,8 @@ at most `WINDOW_DOCS` documents (and about 2 MB of text) with their tokens at a
    the open sequences of a window are concatenated and cut at full length, and what is left at the end of the
    partition is cut at powers of two.  So no sequence is padded.
 4. *Balance*: sequences are dealt to step groups of `STEP` tokens; within a partition each group takes the next
-   sequence of whichever length still fits, longest first, so groups hold equal tokens.
+   sequence of whichever length still fits, longest first, so groups hold equal tokens.  The last group of a window
+   stays open and takes sequences of the next window; only the last group of a partition may hold fewer tokens.
 
 Defined edge cases: null and empty texts are one end token; ties and repeated rows are separate documents in the
 order of the partition's rows; an empty table gives no piece; other columns are ignored.
@@ -127,21 +128,29 @@ def _pack(vocabulary: str, tiers: tuple[int, ...], step: int, with_ids: bool):
         made = groups = 0
         kind = None
         left: list[tuple[object, int, int, memoryview]] = []  # document, its tokens, first, ids of what is left over
+        waiting: list[tuple[int, list[tuple]]] = []  # sequences of the open group: tokens, rows without their group
 
-        def emit(sequences, docs):
-            nonlocal made, groups
-            sizes = [sum(n for _, _, n in s) for s in sequences]
-            dealt = step_groups(sizes, step)
-            rows = []
-            for number, (sequence, size, group) in enumerate(zip(sequences, sizes, dealt, strict=True)):
-                at = 0
+        def emit(sequences, docs, last=False):
+            nonlocal made, groups, waiting
+            ready, waiting = waiting, []
+            for number, sequence in enumerate(sequences):
+                at, size, rows = 0, sum(n for _, _, n in sequence), []
                 for doc, first, n in sequence:
                     doc_id, total, begin, data = docs[doc]
                     part = data[4 * first : 4 * (first + n)]
-                    rows.append((doc_id, begin + first, n, zlib.crc32(part), total, base + made + number, at, size, base + groups + group, part))
+                    rows.append((doc_id, begin + first, n, zlib.crc32(part), total, base + made + number, at, size, part))
                     at += n
-            made, groups = made + len(sequences), groups + max(dealt, default=-1) + 1
-            return rows
+                ready.append((size, rows))
+            dealt = step_groups([size for size, _ in ready], step)
+            open_group = max(dealt, default=0) + last  # at the end of the partition no group stays open
+            out = []
+            for (size, rows), group in zip(ready, dealt, strict=True):
+                if group < open_group:
+                    out += [(*row[:-1], base + groups + group, row[-1]) for row in rows]
+                else:  # copied, so that the window's ids can go
+                    waiting.append((size, [(*row[:-1], bytes(row[-1]) if with_ids else b"") for row in rows]))
+            made, groups = made + len(sequences), groups + open_group
+            return out
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
@@ -156,7 +165,7 @@ def _pack(vocabulary: str, tiers: tuple[int, ...], step: int, with_ids: bool):
                     left = [(docs[d][0], docs[d][1], docs[d][2] + f, memoryview(bytes(docs[d][3][4 * f : 4 * (f + n)]))) for d, f, n in rest]
                     yield from _batches(emit(sequences, docs), kind, with_ids)
         pieces = [(i, 0, len(d[3]) // 4) for i, d in enumerate(left)]
-        yield from _batches(emit(close(pieces), left), kind, with_ids)
+        yield from _batches(emit(close(pieces), left, last=True), kind, with_ids)
 
     return run
 

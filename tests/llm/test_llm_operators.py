@@ -583,6 +583,19 @@ def test_packing_balances_steps():
     assert sorted(load.values())[1:] == [4096] * (len(load) - 1)
 
 
+def test_step_groups_go_on_from_window_to_window(spark, rows):
+    texts = [(i, r.text) for i, r in enumerate(rows * 2)]  # several windows in one partition
+    frame = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    load, size = Counter(), {}
+    for p in packing.pack(frame, with_ids=False).collect():
+        load[p.step_group] += p.length
+        size.setdefault(p.sequence_id, (p.step_group, p.sequence_length))
+        assert size[p.sequence_id][0] == p.step_group
+    assert sum(n for _, n in size.values()) == sum(load.values())
+    assert sorted(load) == list(range(len(load))) and len(load) > 3
+    assert all(load[g] == packing.STEP for g in range(len(load) - 1)) and load[len(load) - 1] <= packing.STEP
+
+
 def test_token_operators_on_empty_tables(empty):
     for found in (token_counts.count_tokens(empty), wavelet.wavelet_round_trip(empty), packing.pack(empty)):
         assert found.count() == 0
