@@ -11,6 +11,7 @@ Parquet compresses the file, and Spark's committer makes a retried or duplicated
 
 `Wavelet` gives access to single tokens, `rank` (how often a token stands before a place), `count` and `select`
 (the place of its k-th occurrence) from the compressed planes alone; `decode` rebuilds the whole block, plane by plane.
+`token_at`, `count` and `occurrences` answer for all ids of written files, block by block.
 
 Defined edge cases: null and empty texts have only the end id; rows with equal doc_id stand next to each other,
 ordered by their text; null doc_ids come first; an empty table writes no block; extra columns are ignored.
@@ -138,6 +139,17 @@ class Wavelet:
             at = block * RANK_BITS + int(places[want - int(before[block])])
         return at
 
+    def places(self, token: int) -> np.ndarray:
+        """Places of all occurrences of a token, ascending."""
+        low, high = self._range(token, self.n)
+        at = np.arange(low, high)
+        for level in range(self.planes - 1, -1, -1) if len(at) else ():
+            zeros, _, bits = self.levels[level]
+            one = token >> (self.planes - 1 - level) & 1
+            found = np.flatnonzero(np.unpackbits(bits, count=self.n, bitorder="little") == one)
+            at = found[at - zeros if one else at]
+        return at
+
 
 _FIELDS = [("shard", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())]
 
@@ -205,6 +217,50 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return starts.join(base, "shard").select("shard", "block", (F.col("shard_start") + F.col("at")).alias("block_start"))
 
 
+def count(spark: SparkSession, path: str, token: int) -> int:
+    """How often a token stands in all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times = [Wavelet(payload.as_py()).count(token) for payload in batch.column("payload")]
+            yield pa.RecordBatch.from_arrays([pa.array(times, pa.int64())], names=["n"])
+
+    found = spark.read.parquet(path).select("payload").transform(map_arrow, run, "n long")
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+
+def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """place: every place, among all ids, at which a token stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, payload in zip(batch.column("block_start").to_pylist(), batch.column("payload"), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(start + Wavelet(payload.as_py()).places(token), pa.int64())], names=["place"])
+
+    blocks = spark.read.parquet(path).select("shard", "block", "payload").join(read_shards(spark, path), ["shard", "block"])
+    return blocks.select("block_start", "payload").transform(map_arrow, run, "place long")
+
+
+def token_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
+    """place, token for every row of `places` (place long); null where no id stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                start, asked = batch.column("block_start")[i].as_py(), batch.column("places")[i].as_py()
+                block = Wavelet(batch.column("payload")[i].as_py())
+                found = [block[x - start] for x in asked]
+                yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int64()), pa.array(found, pa.int32())], names=["place", "token"])
+
+    blocks = spark.read.parquet(path).select("shard", "block", "n_tokens", "payload").join(read_shards(spark, path), ["shard", "block"])
+    inside = (F.col("place") >= F.col("block_start")) & (F.col("place") < F.col("block_start") + F.col("n_tokens"))
+    # a block's list holds each of its places once, so its payload is read once however many places are asked for
+    asked = places.select("place").distinct().join(F.broadcast(blocks.drop("payload")), inside)
+    asked = asked.groupBy("shard", "block").agg(F.collect_list("place").alias("places"))
+    found = blocks.join(asked, ["shard", "block"]).select("block_start", "payload", "places")
+    return places.select("place").join(found.transform(map_arrow, run, "place long, token int"), "place", "left")
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):

@@ -549,6 +549,25 @@ def test_wavelet_access_rank_select():
             assert w.select(token, len(places)) == -1
 
 
+@pytest.mark.parametrize("shards", [1, 5])
+def test_written_shards_answer_access_count_and_occurrences(spark, docs, rows, empty, tmp_path, shards):
+    ids = np.concatenate([[*x, wavelet.END] for x in library_ids("word_bpe_49k.json", [r.text for r in rows])])
+    path = str(tmp_path / "shards")
+    wavelet.write_shards(docs, path, shards=shards)
+    assert spark.read.parquet(path).count() > 1  # several blocks
+    values, times = np.unique(ids, return_counts=True)
+    for token in (int(values[times.argmax()]), int(values[times.argmin()]), wavelet.END, 70_000):
+        assert wavelet.count(spark, path, token) == (ids == token).sum()
+        found = sorted(r.place for r in wavelet.occurrences(spark, path, token).collect())
+        assert found == np.flatnonzero(ids == token).tolist()
+    places = [0, 0, len(ids) - 1, len(ids), -1, *range(7, len(ids), 4999)]
+    asked = spark.createDataFrame([(p,) for p in places], "place long")
+    want = Counter((p, int(ids[p]) if 0 <= p < len(ids) else None) for p in places)
+    assert Counter((r.place, r.token) for r in wavelet.token_at(spark, path, asked).collect()) == want
+    wavelet.write_shards(empty, f"{path}-empty", shards=shards)
+    assert wavelet.count(spark, f"{path}-empty", 1) == wavelet.occurrences(spark, f"{path}-empty", 1).count() == 0
+
+
 @pytest.mark.parametrize("table", ["docs", "edge"])
 def test_packing(request, table):
     frame = request.getfixturevalue(table)
