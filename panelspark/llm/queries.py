@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import langid, minhash, packing, quality_rules, sentencepiece_lattice, sharding, token_counts, topk, toxicity, wavelet
+from panelspark.llm import (
+    langid,
+    merkle,
+    minhash,
+    packing,
+    quality_rules,
+    sentencepiece_lattice,
+    sharding,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+    wavelet,
+    whitening,
+)
 from panelspark.llm.common import held_out, table
 
 
@@ -59,6 +73,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.learn(url_filter.labelled_frame(spark)))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_packing,
         op10_language_id,
+        op11_embedding_whitening,
+        op12_url_filter,
+        op13_merkle_manifest,
     )
 }
 
@@ -124,6 +154,59 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM f
 """
 
+_MERKLE_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda v: list_reduce(list_prepend(v, range(8)),
+    lambda c, i: xor(c >> 1, (c & 1) * 3988292384))) AS t),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+  FROM documents, crc),
+l AS (
+  SELECT r, doc_id, source, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(front || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) AS damaged, crc
+  FROM d),
+placed AS (
+  SELECT r, doc_id, leaf, CASE WHEN crc % 2 = 0 THEN damaged ELSE leaf END AS given,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM l),
+low AS (
+  SELECT g, 0 AS level, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT g, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM low
+  WHERE n > 1 GROUP BY g, level, pos // 3, n),
+subroots AS (SELECT g, level AS height, digest FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, g - 1 AS pos, count(*) OVER () AS n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM high
+  WHERE n > 1 GROUP BY level, pos // 3, n),
+root AS (SELECT level AS height, digest FROM high WHERE n = 1),
+steps AS (
+  SELECT p.r, s.level AS k, string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < p.pos // pow(3, s.level)::BIGINT) AS a,
+    string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > p.pos // pow(3, s.level)::BIGINT) AS b
+  FROM placed p JOIN low s ON s.g = p.g AND s.n > 1 AND s.pos // 3 = p.pos // pow(3, s.level + 1)::BIGINT GROUP BY 1, 2
+  UNION ALL
+  SELECT p.r, u.height + s.level, string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < (p.g - 1) // pow(3, s.level)::BIGINT),
+    string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > (p.g - 1) // pow(3, s.level)::BIGINT)
+  FROM placed p JOIN subroots u ON u.g = p.g JOIN high s ON s.n > 1 AND s.pos // 3 = (p.g - 1) // pow(3, s.level + 1)::BIGINT
+  GROUP BY 1, 2),
+folded AS (
+  SELECT r, 0 AS k, given AS x FROM placed
+  UNION ALL
+  SELECT f.r, f.k + 1, sha256(coalesce(s.a, '') || f.x || coalesce(s.b, '')) FROM folded f JOIN steps s ON s.r = f.r AND s.k = f.k),
+last AS (SELECT r, arg_max(x, k) AS x FROM folded GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(coalesce(a, '') || coalesce(b, ''), '' ORDER BY k)) AS proof FROM steps GROUP BY r)
+SELECT p.doc_id, p.leaf, u.digest AS subroot, root.digest AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+  f.x AS folded_root, f.x = root.digest AS verified
+FROM placed p JOIN subroots u USING (g) JOIN last f USING (r) LEFT JOIN proofs q USING (r) CROSS JOIN root
+"""
+
 #: DuckDB SQL of the queries that SQL can express on whole tables in good time; tests/llm holds the others against
 #: brute force, the tokenizer libraries, round trips or held-out labels.
-ORACLE: dict[str, str] = {"op4_exact_top_k": _TOP_K_SQL, "op6_quality_rules": _QUALITY_SQL}
+ORACLE: dict[str, str] = {"op4_exact_top_k": _TOP_K_SQL, "op6_quality_rules": _QUALITY_SQL, "op13_merkle_manifest": _MERKLE_SQL}
