@@ -22,8 +22,6 @@ _REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # the ranged windows read one range exchange in two branches
-    "spark.sql.exchange.reuse": "true",
 }
 
 

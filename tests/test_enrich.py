@@ -88,16 +88,31 @@ def test_hot_key_and_ties_spread_over_tasks(spark, key, time):
     assert len(sizes) >= 9 and max(sizes) < 4_000
 
 
-def test_windows_start_no_job_until_read(spark):
-    tracker = spark.sparkContext.statusTracker()
-    df = panels.user_panel(spark, SF_CHECK)
-    spark.sparkContext.setJobGroup("lazy", "lazy")
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_cuts_do_not_depend_on_the_planner(spark, reuse, adaptive):
+    """Cuts are stored data: rows and ends see the same ones with any exchange reuse and adaptive execution."""
+    settings = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive}
+    before = {k: spark.conf.get(k) for k in settings}
+    sp = panels.shipment_panel(spark, SF_CHECK)
+    kw = {**KW, "tiebreak": ("l_orderkey", "l_linenumber", "value")}
+    plain = series_windows(sp, "series_id", "date", "value", strategy="plain", **kw)
     try:
-        out = series_windows(df, "series_id", "ts", "value", **KW)
-        assert out.schema["last"].dataType.typeName() == "boolean"
-        assert len(tracker.getJobIdsForGroup("lazy")) == 0
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ranged = series_windows(sp, "series_id", "date", "value", partitions=64, **kw)
+        assert _rounded(plain) == _rounded(ranged)
     finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_panel_is_computed_once(spark):
+    """What the rows come from runs in the one job that writes the ranges; the windows read only those."""
+    out = time_series_mart(panels.combined(spark, SF_CHECK))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    scans = [x for x in plan.splitlines() if "Scan parquet" in x]
+    assert 0 < len(scans) <= 9 and all("ranges-" in x for x in scans)
 
 
 def test_partition_count_invariance(spark):
