@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from ..operators import marts, quality
 from ..operators.staging import stage_iso_dates, stage_mixed_dates, stage_period_dates, union_sources
 from ..schemas import DQ_REPORT_SCHEMA, RAW_ISO_DATES, RAW_STRING_DATES, TALL_COLUMNS
-from ..sources import tables
+from ..session import stage_table
+from ..sources import snapshots, tables
 
 
 @dataclass
 class RunResult:
+    """Folders of the marts this run wrote (never changed later), and the quality report."""
+
     time_series_path: str
     overview_path: str
     report: list
@@ -49,23 +52,21 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, as_of: str
     staged = stage_all(raw)
     combined = union_sources(staged["stg_iso"], staged["stg_mixed"], staged["stg_periods"])
 
-    ts_path = f"{out_dir}/mart_time_series"
-    # The grain check rides on the mart's own window (duplicates are
-    # adjacent there) and is counted by an Observation during the write:
-    # no separate shuffle of all (series, date) keys.
+    # The grain check rides on the mart's own window (duplicates are adjacent there) and is counted by an Observation as
+    # the rows are written: no separate shuffle of all (series, date) keys.
     grain = Observation("time_series_grain")
     tall = marts.time_series_mart(combined, grain_flag="__dup_group")
     tall = tall.observe(grain, F.count_if(F.col("__dup_group")).alias("duplicate_groups")).drop("__dup_group")
-    # Partitioned by category: the dashboard tabs filter on it, so each tab
-    # reads only its directories.  Rows are clustered by series and date
-    # inside each file for row-group pruning.
-    tables.materialize(tall, ts_path, partition_by=("indicator_category",) if partition_marts else (),
-                       sort_within=("series_id", "date"))
+    tall = stage_table(tall, "time_series")  # the range layout samples its input: not the windows again
     duplicate_groups = grain.get["duplicate_groups"]
-    tall = tables.read_mart(spark, ts_path, TALL_COLUMNS)
-
-    ov_path = f"{out_dir}/mart_overview"
-    tables.materialize(marts.overview_mart(tall), ov_path, sort_within=("date",))
+    # Folders by category (a dashboard tab reads only its own), files of disjoint (series, date) ranges in them.  Readers
+    # have the former marts until the new ones are complete.
+    by_category = ("indicator_category",) if partition_marts else ()
+    ts_root, ov_root = f"{out_dir}/mart_time_series", f"{out_dir}/mart_overview"
+    ts_path = snapshots.rebuild(tall, ts_root, by_category, ("series_id", "date")).parts["table"][0]
+    tall = snapshots.read(spark, ts_root, TALL_COLUMNS)
+
+    ov_path = snapshots.rebuild(stage_table(marts.overview_mart(tall), "overview"), ov_root, (), ("date",)).parts["table"][0]
     overview = spark.read.parquet(ov_path)
 
     # The tall mart holds exactly the enriched rows and all columns the

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import catalog as C
@@ -22,9 +22,9 @@ from ..operators.staging import stage_iso_dates, stage_mixed_dates, stage_period
 from ..operators.windows import series_windows
 from ..schemas import ENRICHED_COLUMNS, RAW_STRING_DATES, STAGED_COLUMNS, TALL_COLUMNS
 from ..session import ensure_checkpoint_dir, stage_table
-from ..sources import derived, files, tables
+from ..sources import derived, files, snapshots, tables
 from ..streaming.landing import start_landing_stream
-from . import ingest, panels
+from . import incremental_marts, ingest, panels
 
 # Fixed evaluation date of the staleness check (reproducible results).
 # Between the last orders and the last events, so some series are fresh and some stale.
@@ -119,11 +119,72 @@ def q_sink_append(spark, sf):
 
 def q_sink_rebuild(spark, sf):
     """The tall mart as written (twice, so a rebuild replaces) and read back, columns in their fixed order."""
-    path = _scratch(spark, "mart")
+    root = _scratch(spark, "mart")
     tall = stage_table(_tall(spark, sf), "time_series")
     for _ in range(2):
-        tables.materialize(tall, path, partition_by=("indicator_category",), sort_within=("series_id", "date"))
-    return tables.read_mart(spark, path, TALL_COLUMNS)
+        snapshots.rebuild(tall, root, ("indicator_category",), ("series_id", "date"))
+    return snapshots.read(spark, root, TALL_COLUMNS)
+
+
+# Arrival of the rows in `incremental_enrich`: two cuts in time, a series that begins in the second batch, and one whose
+# early rows (like all rows without a date) come in the third.
+BATCH_CUTS = ("1995-01-01", "1998-01-01")
+NEW_SERIES, LATE_SERIES = "KEI/CHE/EX/_T/G1", "devkum/EUR1"
+
+
+def _arrivals(staged):
+    """Staged rows with the number of the batch that brings them."""
+    early, late = (F.lit(d).cast("date") for d in BATCH_CUTS)
+    by_date = F.when(F.col("date") < early, 0).when(F.col("date") < late, 1).otherwise(2)
+    sid = F.col("series_id")
+    number = F.when(F.col("date").isNull() | ((sid == LATE_SERIES) & (F.col("date") < early)), 2)
+    return staged.withColumn("batch", number.otherwise(F.when(sid == NEW_SERIES, F.greatest(by_date, F.lit(1))).otherwise(by_date)))
+
+
+def q_incremental_enrich(spark, sf):
+    """ST1/M8: three batches enriched on their series' tails, one compaction in between."""
+    arrivals = stage_table(_arrivals(panels.combined(spark, sf)), "arrivals")
+    root = _scratch(spark, "tall")
+    for n in range(3):
+        so_far = arrivals.filter(F.col("batch") <= n).drop("batch")
+        incremental_marts.apply_batch(arrivals.filter(F.col("batch") == n).drop("batch"), root, lambda h=so_far: h, n)
+        if n == 1:
+            incremental_marts.compact(spark, root)
+    return incremental_marts.read_tall(spark, root)
+
+
+def q_sink_range_layout(spark, sf):
+    """O1/O2: the tall mart in files of disjoint (category, series, date) ranges, as their recorded ranges tell."""
+    root = _scratch(spark, "mart")
+    snapshot = snapshots.rebuild(_tall(spark, sf), root, ("indicator_category",), ("series_id", "date"))
+    ranges = snapshots.file_ranges(spark, snapshot.parts["table"][0])
+    along = Window.partitionBy(F.col("low.indicator_category")).orderBy("low", "high")
+    marked = ranges.withColumn("overlap", (F.lag("high").over(along) > F.col("low")).cast("int"))
+    return marked.groupBy(F.col("low.indicator_category").alias("indicator_category")).agg(
+        F.sum("rows").alias("n_rows"),
+        F.min("low.series_id").alias("first_series"),
+        F.max("high.series_id").alias("last_series"),
+        F.min(F.struct("low.series_id", "low.date"))["date"].alias("first_date"),
+        F.max(F.struct("high.series_id", "high.date"))["date"].alias("last_date"),
+        F.coalesce(F.sum("overlap"), F.lit(0)).cast("long").alias("overlaps"),
+    )
+
+
+def q_series_lookup(spark, sf):
+    """One series from the files whose recorded range can hold it."""
+    root = _scratch(spark, "mart")
+    snapshots.rebuild(_tall(spark, sf), root, ("indicator_category",), ("series_id", "date"))
+    return snapshots.read(spark, root, TALL_COLUMNS, indicator_category="currency", series_id=LATE_SERIES)
+
+
+def q_tab_pruned_series(spark, sf):
+    """One tab over the written mart; its categories prune the mart's folders at run time."""
+    root = _scratch(spark, "mart")
+    snapshots.rebuild(_tall(spark, sf), root, ("indicator_category",), ("series_id", "date"))
+    tall = snapshots.read(spark, root, TALL_COLUMNS)
+    return marts.tab_series(tall, marts.tabs_frame(spark).filter(F.col("tab_id") == 3)).select(
+        "tab_id", "tab_name", "indicator_category", "series_id", "date", "value"
+    )
 
 
 def q_stream_landing(spark, sf):
@@ -379,6 +440,8 @@ QUERIES: dict[str, Query] = {
     "ingest_rerun": q_ingest_rerun,
     "sink_append": q_sink_append,
     "sink_rebuild": q_sink_rebuild,
+    "sink_range_layout": q_sink_range_layout,
+    "series_lookup": q_series_lookup,
     "stream_landing": q_stream_landing,
     "src_numeric_coerce": q_src_numeric_coerce,
     "catalog_extract": q_catalog_extract,
@@ -401,11 +464,13 @@ QUERIES: dict[str, Query] = {
     "mart_time_series": q_mart_time_series,
     "kpi_latest": q_kpi_latest,
     "tab_category_series": q_tab_category_series,
+    "tab_pruned_series": q_tab_pruned_series,
     "overview_pivot": q_overview_pivot,
     "composite_signal": q_composite_signal,
     "mart_overview": q_mart_overview,
     "series_watermark": q_series_watermark,
     "incremental_new_rows": q_incremental_new_rows,
+    "incremental_enrich": q_incremental_enrich,
     "dq_not_null": q_dq_not_null,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_one_latest": q_dq_one_latest,

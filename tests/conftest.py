@@ -26,5 +26,5 @@ def raw_rows(spark, rows, iso=False):
     for r in rows:
         date, sid, cat, value, freq = r[:5]
         source = r[5] if len(r) > 5 else "SNB"
-        out.append((date, source, sid, sid + " name", cat, value, "percent", freq, None))
+        out.append((date, source, sid, f"{sid} name", cat, value, "percent", freq, None))
     return spark.createDataFrame(out, RAW_ISO_DATES if iso else RAW_STRING_DATES)

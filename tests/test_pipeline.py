@@ -6,7 +6,7 @@ from conftest import SF_SMOKE
 from panelspark.operators.quality import DataQualityError
 from panelspark.plans import pipeline
 from panelspark.schemas import TALL_COLUMNS
-from panelspark.sources import derived, tables
+from panelspark.sources import derived, snapshots, tables
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def test_run_writes_marts_and_reports(spark, raw_dir, tmp_path):
     res = pipeline.run(spark, pipeline.read_raw_tables(spark, raw_dir), str(tmp_path / "out"), as_of="2026-01-01",
                        gate=False)
     tall = spark.read.parquet(res.time_series_path)
-    assert tables.read_mart(spark, res.time_series_path, TALL_COLUMNS).columns == list(TALL_COLUMNS)
+    assert snapshots.read(spark, str(tmp_path / "out/mart_time_series"), TALL_COLUMNS).columns == list(TALL_COLUMNS)
     wide = spark.read.parquet(res.overview_path)
     assert tall.filter("is_latest").count() == 15
     assert len(wide.columns) == 42 and wide.count() == tall.select("date").distinct().count()
