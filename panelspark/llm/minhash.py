@@ -14,13 +14,15 @@ Two texts are linked when the weighted Jaccard similarity of their bags of five-
 3. *Banding*: ``BANDS`` bands of ``ROWS`` registers.  At similarity 0.8 a pair misses every band with
    probability (1 - 0.8**5)**30 = 7e-6.
 4. *Stars*: each bucket links its members to its smallest node; stars are verified and merged into components.
-5. *Tiles*: only buckets that still hold several components go on.  Their members are cut into blocks of about
-   `TILE`; two blocks meet in a tile, a bounded group of rows.  A tile compares the signatures of pairs across
-   components (each pair in the first band it shares) and keeps the members of pairs that agree in at least
-   ``threshold - 5 sigma`` of the registers; with their texts, a second pass over the kept tiles verifies these
-   pairs and returns the links that join components.  So all such pairs are decided, but rows stay members of
-   tiles: no bucket's pairs are ever written.
-6. *Verification* rehashes both texts and compares whole multisets.  The texts of nodes that share a bucket with
+5. *Clusters*: only buckets that still hold several components go on.  Their nodes get their signatures once each; then
+   a bucket's members are cut into blocks of about `TILE`, and two blocks meet in a tile, a bounded group of rows.  A tile
+   compares signatures across components and names, for every member with a possible partner (``threshold - 5 sigma`` of
+   the registers agree), one member of its connected part: one row a member, not one a pair.  The parts of all tiles make
+   clusters of nodes that may be linked.
+6. *Links*: a cluster's nodes get their signatures and texts once each, however many buckets they share.  Blocks of about
+   `TEXT_TILE` meet in tiles as before; a tile verifies its possible pairs, likeliest first, and returns the links that join
+   components.  All pairs are decided; no pairs are ever written.
+7. *Verification* rehashes both texts and compares whole multisets.  The texts of nodes that share a bucket with
    another are fetched once, in one shuffle.
 
 Defined edge cases: null, empty and blank texts have no window, are never duplicates, and form classes of one
@@ -46,8 +48,9 @@ THRESHOLD = 0.8
 BANDS = 30
 ROWS = 5
 REGISTERS = BANDS * ROWS
-#: Members of a bucket that stand on one side of a tile, on average.
-TILE = 256
+#: Members of a bucket that stand on one side of a tile of signatures, on average, and of a tile of texts.
+TILE = 1024
+TEXT_TILE = 256
 NODE = "decimal(38,0)"
 
 
@@ -198,46 +201,57 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for c in column.chunks])
 
 
-def tile_pairs(group: pa.Table, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (x, y) of a tile that may be links across components, and the registers in which they agree.
+def tile_pairs(group: pa.Table, need: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (x, y) of a tile that may be links across components, and the registers in which they agree, in pieces.
 
-    A tile of two blocks compares across them, a tile of one block within it.  A pair that shares several buckets
-    belongs to the first of them.
+    A tile of two blocks compares across them, a tile of one block within it.
     """
-    sig, bands = _matrix(group["sig"], REGISTERS), _matrix(group["bands"], BANDS)
-    bucket = group["bucket"][0].as_py()
-    block = group["block"].to_numpy()
+    sig = _matrix(group["sig"], REGISTERS)
     _, comp = np.unique(np.array([str(c) for c in group["comp"].to_pylist()]), return_inverse=True)
-    across = group["i"][0].as_py() != group["j"][0].as_py()
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    n = len(sig)
-    step = max(1, (1 << 23) // (n * REGISTERS))
-    for at in range(0, n, step):
-        rows = slice(at, at + step)
-        agree = (sig[rows, None, :] == sig[None, :, :]).sum(axis=2)
+    block = group["block"].to_numpy()
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    step = max(1, (1 << 23) // (max(1, len(right)) * REGISTERS))
+    for at in range(0, len(left), step):
+        rows, others = left[at : at + step], right if i != j else right[at:]
+        agree = (sig[rows, None, :] == sig[None, others, :]).sum(axis=2)
         x, y = np.nonzero(agree >= need)
-        x += at
-        keep = (x < y) & (comp[x] != comp[y])
-        if across:
-            keep &= block[x] != block[y]
-        x, y = x[keep], y[keep]
-        same = bands[x] == bands[y]
-        keep = bands[x, same.argmax(axis=1)] == bucket
-        found.append((x[keep], y[keep], agree[x[keep] - at, y[keep]]))
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+        many = agree[x, y]
+        x, y = rows[x], others[y]
+        keep = (comp[x] != comp[y]) & ((i != j) | (x < y))
+        yield x[keep], y[keep], many[keep]
 
 
 _TILE_KEYS = ("bucket", "i", "j")
 
 
+def parts(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smallest member of the connected part of each of n members under the pairs (x, y)."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, x, low[y])
+        np.minimum.at(new, y, low[x])
+        np.minimum.at(new, low[x], new[x])  # a part's former smallest member hears of a smaller one
+        np.minimum.at(new, low[y], new[y])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
 def _possible(need: int):
-    """Members of a tile that are in some possible link."""
+    """(a, b) for every member of a tile with a possible partner: b stands for its connected part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, _TILE_KEYS):
-            x, y, _ = tile_pairs(group, need)
-            if len(x):
-                yield from group.take(pa.array(np.union1d(x, y))).to_batches()
+            low = np.arange(group.num_rows)
+            for x, y, _ in tile_pairs(group, need):
+                low = low[parts(len(low), low[x], low[y])] if len(x) else low
+            at = np.flatnonzero(low != np.arange(len(low)))
+            if len(at):
+                nodes = group["node"].combine_chunks()
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(at)), nodes.take(pa.array(low[at]))], names=["a", "b"])
 
     return run
 
@@ -247,7 +261,10 @@ def _tile_links(need: int, threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, _TILE_KEYS):
-            x, y, agree = tile_pairs(group, need)
+            found = [p for p in tile_pairs(group, need) if len(p[0])]
+            if not found:
+                continue
+            x, y, agree = (np.concatenate(c) for c in zip(*found, strict=True))
             words, first = word_hashes(group["text"].combine_chunks())
             bags = [bag(words[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
             weight = np.array([b[1].sum() for b in bags])
@@ -340,27 +357,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Members (bucket, node, comp, ...) copied to the tiles of their bucket: a bucket of one block has one tile."""
-    size = members.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    placed = members.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """Members (bucket, blocks, node, ...) copied to the tiles of their bucket: a bucket of one block has one tile."""
+    placed = members.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")),
     )
-    return placed.withColumn("t", F.explode(meets)).select("bucket", "t.i", "t.j", "block", "node", "comp", "sig", "bands")
+    rest = [c for c in members.columns if c not in ("bucket", "blocks")]
+    dealt = placed.withColumn("t", F.explode(meets)).select("bucket", "t.i", "t.j", "block", *rest)
+    return dealt.repartition(*_TILE_KEYS).sortWithinPartitions(*_TILE_KEYS, "node")
+
 
+def _blocks(size: int):
+    return F.ceil(F.count("*") / size).cast("int").alias("blocks")
 
-def _by_tile(rows: DataFrame) -> DataFrame:
-    return rows.repartition(*_TILE_KEYS).sortWithinPartitions(*_TILE_KEYS, "node")
 
+def _clusters(member: DataFrame, nodes: DataFrame, need: int) -> DataFrame:
+    """(node, cluster): nodes of mixed buckets that may have a link to another component."""
+    mixed = member.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), _blocks(TILE)).where("x <> y")
+    # A node's buckets in one row: its signature is fetched once.
+    held = member.join(mixed.select("bucket", "blocks"), "bucket").groupBy("node", "comp").agg(
+        F.collect_list(F.struct("bucket", "blocks")).alias("held")
+    )
+    rows = held.join(nodes.select("node", "sig"), "node").select("node", "comp", "sig", F.explode("held").alias("at"))
+    rows = rows.select("at.bucket", "at.blocks", "node", "comp", "sig")
+    edges = staged(_tiles(rows).transform(map_arrow, _possible(need), f"a {NODE}, b {NODE}"))
+    return connected_components(edges).select("node", F.col("comp").alias("cluster"))
 
-def _links_across(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+
+def _links_across(member: DataFrame, comp: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that join components which share a bucket."""
     need = max(0, int(np.ceil(REGISTERS * threshold - 5 * np.sqrt(REGISTERS * threshold * (1 - threshold)))))
-    schema = f"bucket long, i int, j int, block int, node {NODE}, comp {NODE}, sig array<int>, bands array<long>"
-    possible = staged(_by_tile(_tiles(members)).transform(map_arrow, _possible(need), schema))
-    full = _by_tile(possible.join(texts.hint("merge"), "node"))
-    return full.transform(map_arrow, _tile_links(need, threshold), f"a {NODE}, b {NODE}")
+    clusters = _clusters(member, nodes, need)
+    size = clusters.groupBy("cluster").agg(_blocks(TEXT_TILE))
+    rows = clusters.join(size, "cluster").select(F.xxhash64("cluster").alias("bucket"), "blocks", "node")
+    rows = rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    full = rows.join(nodes.select("node", "sig"), "node").join(texts.hint("merge"), "node")
+    return _tiles(full).transform(map_arrow, _tile_links(need, threshold), f"a {NODE}, b {NODE}")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -375,17 +408,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # The texts of all nodes that share a bucket, once for both verifications.  Their number has no bound, so the
     # join is a shuffle at every size.
     need = crowded.select("node").distinct().hint("merge")
-    texts = docs.where("text is not null").select(_node().alias("node"), "text").join(need, "node", "left_semi")
-    texts = staged(texts.groupBy("node").agg(F.first("text").alias("text")))
+    # Copies are reduced in the tasks that read them, before anything is exchanged.
+    texts = docs.where("text is not null").select(_node().alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
+    texts = staged(texts.join(need, "node", "left_semi"))
 
     stars = crowded.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = staged(_verified(stars, texts, threshold))
     comp = staged(connected_components(links))
 
     member = crowded.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = member.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    member = member.join(mixed, "bucket").join(nodes.select("node", "sig", "bands"), "node")
-    more = staged(_links_across(member, texts, threshold))
+    more = staged(_links_across(member, comp, nodes, texts, threshold))
     if not more.isEmpty():
         comp = staged(connected_components(links.union(more)))
 
@@ -398,9 +430,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, node (identity of its text, null without a word), class_id (smallest doc_id)."""
     of_node = classes(docs, threshold).select("node", "class_id")
     own = docs.select("doc_id", _node_of_words().alias("node"))
-    return own.join(of_node, "node", "left").select(
-        "doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
-    )
+    with_words = own.where("node is not null").join(of_node, "node", "left").select("doc_id", "node", "class_id")
+    # Rows without a word have no node: they are classes of their own and meet in no task.
+    return with_words.union(own.where("node is null").select("doc_id", "node", F.col("doc_id").alias("class_id")))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -151,6 +151,76 @@ def test_dense_group_is_one_class_and_unlinked_texts_stay_apart(spark):
     assert [found[i] for i in range(120)] == brute_classes(pairs)
 
 
+def near_copies(n, seed=0):
+    """Copies of one text of 200 words with up to 13 changed: most pairs are near the threshold, many below."""
+    rng = np.random.default_rng(seed)
+    vocabulary = np.array([f"w{i}" for i in range(5000)])
+    base = rng.choice(vocabulary, 200)
+    out = []
+    for i in range(n):
+        words = base.copy()
+        at = rng.integers(0, 200, int(rng.integers(0, 14)))
+        words[at] = rng.choice(vocabulary, len(at))
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_rows_of_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    """Twice the copies: at most 2.1 times the stars, the rows that fetch signatures and texts, and those of signature tiles."""
+    counts = []
+    real, cut = minhash.map_arrow, minhash._tiles
+
+    def counted(df, function, schema):
+        out = real(df, function, schema)
+        if schema == f"a {minhash.NODE}, b {minhash.NODE}":
+            out = minhash.staged(out)
+            counts[-1].append(out.count())
+        return out
+
+    def fetched(members):
+        members = minhash.staged(members)
+        if "text" in members.columns:
+            counts[-1].append(members.count())
+        else:
+            counts[-1].append(members.select("node").distinct().count())
+        return cut(members)
+
+    monkeypatch.setattr(minhash, "map_arrow", counted)
+    monkeypatch.setattr(minhash, "_tiles", fetched)
+    for n in (400, 800):
+        counts.append([])
+        pairs = near_copies(n)
+        frame = spark.createDataFrame(pairs, "doc_id long, text string")
+        found = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame).collect()}
+        if n == 400:
+            assert [found[i] for i in range(n)] == brute_classes(pairs)
+    assert len(counts[0]) == len(counts[1]) == 5  # the last are the links themselves
+    assert all(b <= 2.1 * a for a, b in zip(counts[0][:4], counts[1][:4], strict=True))
+
+
+def test_near_copy_recall(spark):
+    """Links of planted near copies against brute force, by similarity: what is missed is below the threshold."""
+    pairs = near_copies(300, seed=4)
+    bags = [windows(t) for _, t in pairs]
+    frame = spark.createDataFrame(pairs, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame).collect()}
+    linked = [(i, j) for i in range(300) for j in range(i)
+              if sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values()) - 1e-9]
+    assert len(linked) > 300 and all(found[i] == found[j] for i, j in linked)
+
+
+def test_parts_of_a_tile():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 0), (50, 20), (400, 300), (60, 59)):
+        x, y = (rng.integers(0, n, m), rng.integers(0, n, m)) if m != 59 else (np.arange(59), np.arange(1, 60))
+        low = minhash.parts(n, x, y)
+        want = np.arange(n)
+        for _ in range(n):
+            for a, b in zip(x, y, strict=True):
+                want[a] = want[b] = min(want[a], want[b])
+        assert (low == want).all()
+
+
 def test_connected_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2))] + [(i, i + 1) for i in range(1000, 1040)]
