@@ -189,7 +189,7 @@ def extract_iso(observations: DataFrame, catalog: DataFrame, ingested_at: Column
     """
     cat = F.broadcast(catalog.select("series_id", "indicator_name", "indicator_category", "unit", "frequency"))
     return (
-        observations.filter(is_valid_value("value"))
+        observations.select("series_id", "date", "value").filter(is_valid_value("value"))
         .join(cat, "series_id")
         .select(*_raw_select(F.col("date").cast("date"), F.lit("FRED"), F.col("series_id"), F.col("value"),
                              ingested_at))

@@ -20,9 +20,35 @@ from ..schemas import RAW_ISO_DATES, RAW_STRING_DATES, TABS_SCHEMA
 WIDE_REQUIRED = ("MEASURE", "ACTIVITY", "ADJUSTMENT", "TRANSFORMATION", "FREQ", "TIME_PERIOD", "OBS_VALUE")
 
 
+#: Column that holds a JSON line which is no row of the raw schema; NULL for rows that are.
+CORRUPT = "_corrupt_record"
+
+
+def json_schema(iso_dates: bool = False) -> T.StructType:
+    """The raw schema and `CORRUPT`: a line that cannot be read, or has a value of another type, is kept as text."""
+    return T.StructType([*(RAW_ISO_DATES if iso_dates else RAW_STRING_DATES), T.StructField(CORRUPT, T.StringType())])
+
+
+def good_rows(rows: DataFrame) -> DataFrame:
+    """The observations of rows read by `json_schema`."""
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "file")
+
+
+def quarantined_lines(rows: DataFrame) -> DataFrame:
+    """(line, file) of the lines that are no observation."""
+    file = F.col("file") if "file" in rows.columns else F.lit(None).cast("string")
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), file.alias("file"))
+
+
+def read_json_lines(spark: SparkSession, path: str, iso_dates: bool = False) -> DataFrame:
+    """JSON lines with `CORRUPT` and the file each came from; split by `good_rows` and `quarantined_lines`."""
+    reader = spark.read.schema(json_schema(iso_dates)).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path).withColumn("file", F.col("_metadata.file_path"))
+
+
 def read_json_observations(spark: SparkSession, path: str, iso_dates: bool = False) -> DataFrame:
-    """JSON-lines rows in the raw schema."""
-    return spark.read.schema(RAW_ISO_DATES if iso_dates else RAW_STRING_DATES).json(path)
+    """The JSON lines that are rows of the raw schema (`read_json_lines` has the others too)."""
+    return good_rows(read_json_lines(spark, path, iso_dates))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -85,3 +85,16 @@ def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_ingest_counts_and_keeps_broken_json_lines(spark, tmp_path):
+    from panelspark.plans import ingest
+
+    landing, raw = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    good = '{"date": "2024-01-01", "series_id": "CLVMNACSAB1GQCH", "value": 1.5}'
+    (landing / "x.json").write_text(f'{good}\n<html>\n{{"date": "2024-04-01", "series_id": "CLVMNACSAB1GQCH", "value": "n/a"}}\n')
+    done = ingest.ingest(spark, "a", str(landing), raw)
+    assert (done.extracted, done.appended, done.quarantined) == (1, 1, 2)
+    kept = spark.read.parquet(f"{raw}/quarantine/iso").collect()
+    assert {r.line[:6] for r in kept} == {"<html>", '{"date'} and all(r.file.endswith("x.json") for r in kept)
