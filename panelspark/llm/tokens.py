@@ -1,11 +1,12 @@
 """Tokenising whole texts with public vocabularies, through a table of known pieces in each worker.
 
-Both vocabularies split a text at white space before merging, so the tokens of a text are the tokens of its
-white-space pieces in order.  A batch's pieces are hashed in one pass over the Arrow bytes (`words`), looked up in an
-open-addressing table of numpy arrays, and only pieces that the worker has not seen go to the library, in one call.
-Texts in which pieces are not provably independent (runs of white space, characters beyond Latin-1, special-token
-strings, very long pieces) go to the library whole.  So results equal the library's for every text, and only the
-speed differs.  The table has a fixed size and starts again when it is full.
+Both vocabularies split a text before merging, and none of their splits crosses the place where white space begins
+after a character that is no white space.  Texts are cut at such places; the tokens of a text are then the tokens of
+its pieces in order, whatever characters the pieces hold.  A batch's pieces are hashed in one pass over the Arrow
+bytes (`words`), looked up in an open-addressing table of numpy arrays, and only pieces that the worker has not seen go
+to the library, in one call.  Pieces of more than `LONGEST` bytes (writing without blanks) are not kept: the library
+encodes each where it occurs.  So results equal the library's for every text, and only the speed differs.  The table
+has a fixed size and starts again when it is full.
 """
 
 from __future__ import annotations
@@ -19,11 +20,9 @@ from panelspark.llm.words import U64, buffers, hash_spans, spans
 
 #: Pieces that a worker's table holds; it takes 40 bytes for each, and four for each of their ids.
 PIECES = 1 << 21
-#: Longest piece (bytes) that is looked up; a text with a longer one goes to the library whole.
+#: Longest piece (bytes) that is kept in the table.
 LONGEST = 200
 
-_END = 10**9
-
 
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary on this machine (a file every executor has)."""
@@ -39,81 +38,108 @@ def library(name: str):
     return Tokenizer.from_file(vocabulary(name))
 
 
-# ---- pieces of plain texts ------------------------------------------------------------------------------------
-
-
-def _unusual(raw: np.ndarray, allowed_controls: tuple[int, ...]) -> np.ndarray:
-    """True at bytes of characters other than printable ASCII, printable Latin-1 and the allowed controls."""
-    table = np.zeros(256, bool)
-    table[:32] = True
-    table[list(allowed_controls)] = False
-    table[127] = True
-    table[0xC4:] = True
-    bad = table[raw]
-    two = np.flatnonzero(raw[:-1] == 0xC2)
-    bad[two] |= raw[two + 1] <= 0xA0
-    mark = np.flatnonzero(raw[:-1] == ord("<"))
-    bad[mark] |= raw[mark + 1] == ord("|")
-    return bad
-
-
-def _texts_with(bad: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """For each text, whether it holds a marked byte."""
-    run = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
-    return run[off[1:]] > run[off[:-1]]
+# ---- pieces ---------------------------------------------------------------------------------------------------
+
+#: First two bytes (UTF-8) of characters of three bytes that are, or may be taken for, white space -> ranges of the third.
+_WIDE_SPACES = {
+    (0xE1, 0x9A): [(0x80, 0x80)],
+    (0xE1, 0xA0): [(0x8E, 0x8E)],
+    (0xE2, 0x80): [(0x80, 0x8F), (0xA8, 0xAF)],
+    (0xE2, 0x81): [(0x9F, 0xAF)],
+    (0xE3, 0x80): [(0x80, 0x80)],
+}
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_NO_LETTER = np.zeros(256, bool)  # bytes up to 127 that a split may take for white space
+_NO_LETTER[:33] = _NO_LETTER[127] = True
+_LEAD = np.zeros(256, bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def _space_like(raw: np.ndarray) -> np.ndarray:
+    """True at the bytes of every character that is white space in any reading."""
+    out = _NO_LETTER[raw]
+    lead = np.flatnonzero(_LEAD[raw])
+    if not len(lead):
+        return out
+    two = lead[raw[lead] == 0xC2]
+    two = two[raw[two + 1] <= 0xA0]
+    out[two] = out[two + 1] = True
+    three = lead[raw[lead] != 0xC2]
+    if len(three):
+        second, third = raw[three + 1], raw[three + 2]
+        hit = np.zeros(len(three), bool)
+        for (a, b), ranges in _WIDE_SPACES.items():
+            same = (raw[three] == a) & (second == b)
+            for low, high in ranges:
+                hit |= same & (third >= low) & (third <= high)
+        three = three[hit]
+        out[three] = out[three + 1] = out[three + 2] = True
+    return out
 
 
 def _byte_bpe_pieces(raw: np.ndarray, off: np.ndarray):
-    """Pieces begin at every blank and line feed: before a character that is no white space, each begins a token."""
-    bad = _unusual(raw, (10,))
-    follows = np.append(raw[1:], 32)
-    blank, feed = raw == 32, raw == 10
-    bad |= blank & ((follows == 32) | (follows == 10)) | feed & (follows == 10)
-    last = off[1:][off[1:] > off[:-1]] - 1
-    bad[last] |= blank[last]
-    begin = blank | feed
+    """Pieces begin with a text, and where a run of white space follows a character that is none."""
+    begin = _BLANK[raw]
+    begin[1:] &= ~_space_like(raw)[:-1]
     begin[off[:-1][off[:-1] < len(raw)]] = True
     start = np.flatnonzero(begin)
-    return raw, start, np.append(start[1:], len(raw)), bad
+    return raw, start, np.append(start[1:], len(raw))
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_UNUSUAL = np.zeros(256, bool)
+_UNUSUAL[:32] = _UNUSUAL[127] = _UNUSUAL[0xC4:] = True
 
 
 def _word_bpe_pieces(raw: np.ndarray, off: np.ndarray):
-    """Words in lower case: this vocabulary drops white space and never merges across it."""
-    bad = _unusual(raw, (9, 10, 13))
+    """Words: this vocabulary drops white space and never merges across it.
+
+    Words of printable ASCII and Latin-1 are put in lower case, as the vocabulary does; others (and what might be a
+    special token) stay as they are.
+    """
     low = _LOWER[raw]
     second = np.flatnonzero(raw[:-1] == 0xC3) + 1
     capital = second[(raw[second] <= 0x9E) & (raw[second] != 0x97)]
     low[capital] += 32
-    start, end, _ = spans(low, off)
-    return low, start, end, bad
+    start, end, _ = spans(raw, off)
+    odd = _UNUSUAL[raw]
+    two = np.flatnonzero(raw[:-1] == 0xC2)
+    odd[two] |= raw[two + 1] <= 0xA0
+    mark = np.flatnonzero(raw[:-1] == ord("<"))
+    odd[mark] |= raw[mark + 1] == ord("|")
+    places = np.flatnonzero(odd & ~_BLANK[raw])
+    if len(places):
+        words = np.unique(np.searchsorted(start, places, side="right") - 1)
+        edge = np.zeros(len(raw) + 1, np.int8)
+        edge[start[words]] += 1
+        edge[end[words]] -= 1
+        low = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, raw, low)
+    return low, start, end
 
 
 _KINDS = {"byte_bpe_50k.json": _byte_bpe_pieces, "word_bpe_49k.json": _word_bpe_pieces}
 
 
 class Pieces:
-    """Pieces of a batch of texts: their owners, places and keys, and the texts that have none."""
+    """Pieces of a batch of texts: their owners, places and keys, and which of them are too long for the table."""
 
     def __init__(self, name: str, texts: pa.Array):
         raw, off = buffers(texts)
         self.n = len(off) - 1
-        if not len(raw):
+        if len(raw):
+            raw, start, end = _KINDS[name](raw, off)
+        else:
             raw = np.zeros(0, np.uint8)
             start = end = np.zeros(0, np.int64)
-            self.odd = np.zeros(self.n, bool)
-        else:
-            raw, start, end, bad = _KINDS[name](raw, off)
-            bad[start] |= end - start > LONGEST
-            self.odd = _texts_with(bad, off)
-        owner = np.searchsorted(off, start, side="right") - 1
-        keep = ~self.odd[owner] if self.odd.any() else slice(None)
-        self.raw, self.start, self.end, self.owner = raw, start[keep], end[keep], owner[keep]
-        self.hash = hash_spans(raw, self.start, self.end) | U64(1)
+        self.raw, self.start, self.end = raw, start, end
+        self.owner = np.searchsorted(off, start, side="right") - 1
+        self.hash = hash_spans(raw, start, end) | U64(1)
         self.check = self._check()
+        long = end - start > LONGEST
+        self.long = np.flatnonzero(long)
+        self.short = np.flatnonzero(~long) if len(self.long) else slice(None)
 
     def _check(self) -> np.ndarray:
         """The first eight bytes and the size: with the hash, the identity of a piece."""
@@ -206,42 +232,40 @@ class Coder:
             found[lost] = self.table.find(hashes[lost], checks[lost])
         return found
 
-    def whole(self, texts: pa.Array, odd: np.ndarray) -> list:
-        return self._library(texts.take(pa.array(np.flatnonzero(odd))).to_pylist()) if odd.any() else []
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids begin: n + 1 places)."""
         pieces = Pieces(self.name, texts)
-        rows = self.rows(pieces)
-        count = self.table.count[rows].astype(np.int64)
-        ends = np.cumsum(count)
+        rows = self.rows(pieces, pieces.short)
+        found = self.table.count[rows].astype(np.int64)
+        ends = np.cumsum(found)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.table.ids[np.repeat(self.table.first[rows] - (ends - count), count) + np.arange(total)]
+        ids = self.table.ids[np.repeat(self.table.first[rows] - (ends - found), found) + np.arange(total)]
+        count = np.zeros(len(pieces.start), np.int64)
+        count[pieces.short] = found
+        if len(pieces.long):
+            place = (np.cumsum(count) - count)[pieces.long]
+            coded = [np.array(e.ids, np.uint32) for e in self._library(pieces.text(pieces.long))]
+            count[pieces.long] = sizes = [len(c) for c in coded]
+            ids = np.insert(ids, np.repeat(place, sizes), np.concatenate(coded))
         sizes = np.bincount(pieces.owner, weights=count, minlength=pieces.n).astype(np.int64)
-        off = np.concatenate([[0], np.cumsum(sizes)])
-        if pieces.odd.any():
-            coded = [np.array(e.ids, np.uint32) for e in self.whole(texts, pieces.odd)]
-            at = np.flatnonzero(pieces.odd)
-            ids = np.insert(ids, np.repeat(off[at], [len(c) for c in coded]), np.concatenate(coded))
-            sizes[at] = [len(c) for c in coded]
-            off = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, off
+        return ids, np.concatenate([[0], np.cumsum(sizes)])
 
     def count(self, texts: pa.Array, frequent: PieceTable | None = None) -> np.ndarray:
         """Number of ids of each text; `frequent` is a fixed first tier."""
         pieces = Pieces(self.name, texts)
+        count = np.zeros(len(pieces.start), np.int64)
         if frequent is None:
-            rows = self.rows(pieces)  # may replace the table's arrays
-            count = self.table.count[rows]
+            rest = pieces.short
         else:
-            row = frequent.find(pieces.hash, pieces.check)
-            count = frequent.count[row]
+            row = frequent.find(pieces.hash, pieces.check)  # it holds no long piece
+            count[:] = np.where(row < 0, 0, frequent.count[row])
+            row[pieces.long] = 0
             rest = np.flatnonzero(row < 0)
-            rows = self.rows(pieces, rest)
-            count[rest] = self.table.count[rows]
-        sizes = np.bincount(pieces.owner, weights=count, minlength=pieces.n).astype(np.int64)
-        sizes[pieces.odd] = [len(e) for e in self.whole(texts, pieces.odd)]
-        return sizes
+        rows = self.rows(pieces, rest)  # may replace the table's arrays
+        count[rest] = self.table.count[rows]
+        if len(pieces.long):
+            count[pieces.long] = [len(e) for e in self._library(pieces.text(pieces.long))]
+        return np.bincount(pieces.owner, weights=count, minlength=pieces.n).astype(np.int64)
 
 
 _CODERS: dict = {}

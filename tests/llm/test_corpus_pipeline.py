@@ -42,8 +42,15 @@ def test_stage_order_and_columns(stages):
 def test_language_stage_rejects_only_unidentified_texts(stages):
     before, after = stages[0]
     gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()}
-    found = {r.doc_id: r for r in langid.identify(before, langid.learn(before)).collect()}
-    assert gone == {i for i, r in found.items() if r.lang_pred == "und" or r.score < langid.REJECT_BELOW}
+    model = langid.learn(before)
+    floors = langid.learn_floors(before, model)
+    want = set()
+    for r in before.collect():
+        best, score, ngrams = model.nearest([r.text])
+        size = [k for k, n in enumerate(langid.SIZES) if 2**n <= ngrams[0]]
+        if best[0] < 0 or size and score[0] < floors[best[0], size[-1]]:
+            want.add(r.doc_id)
+    assert gone == want and len(gone) <= 0.001 * before.count() + sum(not r.text for r in before.collect())
 
 
 def test_toxicity_stage(spark, stages):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -559,6 +560,46 @@ def test_table_encoding_equals_library(name, rows):
             assert coder.count(pa.array(texts)).tolist() == list(map(len, want))
 
 
+ATOMS = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u3000\ufeff\0", "  ", "\n\n", "<|endoftext|>", "<|ENDOFTEXT|>",
+         "<|", "'s", "a", "Zb", "\u0301", "é", "É", "ß", "İ", "ΑΣ", "漢字", "かな。", "、", "🙂", "‘q’", "—", "½", "12", ".", "क्", "ﬁ", "x" * 201, "ö" * 150]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_mixture_of_characters_equals_library(name):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(ATOMS) for _ in range(rng.randrange(15))) for _ in range(4000)]
+    coder = tokens.Coder(name)
+    ids, off = coder.encode(pa.array(texts))
+    want = library_ids(name, texts)
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == want
+    assert coder.count(pa.array(texts)).tolist() == list(map(len, want))
+
+
+def test_odd_characters_leave_the_other_pieces_in_the_table():
+    text = "First line.\n\nSecond “line” with  two blanks — and\ttabs 漢字 here"
+    pieces = tokens.Pieces("byte_bpe_50k.json", pa.array([text, "x" * 500 + " y"]))
+    assert len(pieces.start) == len(text.split()) + 2 and pieces.long.tolist() == [len(text.split())]
+
+
+def test_summary_bounds_its_error(rows):
+    summary, seen = token_counts.Summary(counters=300), Counter()
+    for at in range(0, len(rows), 7):
+        pieces = tokens.Pieces("byte_bpe_50k.json", pa.array([r.text for r in rows[at : at + 7]], pa.string()))
+        seen.update(t for t, n in zip(pieces.text(np.arange(len(pieces.start))), pieces.end - pieces.start) if n <= tokens.LONGEST)
+        summary.add(pieces)
+        assert len(summary.hash) <= 300
+    found, error = dict(zip(summary.text, summary.count.tolist())), seen.total() / 301
+    assert all(seen[t] - error <= found.get(t, 0) <= seen[t] for t in seen)
+    assert set(found) <= set(seen)
+
+
+def test_frequent_pieces_come_from_all_texts(docs):
+    late = docs.unionByName(docs.limit(300).withColumn("text", F.concat(F.repeat(F.lit("x "), 3000), F.repeat(F.lit(" rareatfirst"), 40))))
+    table = token_counts.frequent_counts(late, n=50)
+    pieces = tokens.Pieces("byte_bpe_50k.json", pa.array(["x rareatfirst"]))
+    assert (table.find(pieces.hash[1:], pieces.check[1:]) >= 0).all() and table.rows <= 50
+
+
 def test_piece_table_starts_again_when_full(rows):
     coder = tokens.Coder("byte_bpe_50k.json", pieces=3_000)
     for r in rows[:60]:
@@ -709,12 +750,70 @@ def test_profiles_equal_bundled_ngrams():
         assert (langid.profiles(["zz", text, None], 64)[1] == want).all()
 
 
+def test_floors_equal_brute_force(docs):
+    model = langid.learn(docs)
+    found = {}
+    for r in docs.collect():
+        if held(r.doc_id) or r.lang is None or not r.text:
+            continue
+        s, own = langid.symbols(r.text), model.languages.index(r.lang)
+        for size in langid.SIZES:
+            n = 2**size + 2
+            if len(s) < n:
+                break
+            at = zlib.crc32(r.text.encode()) % (len(s) - n + 1)
+            cut = s[at : at + n]
+            times = Counter(zip(cut, cut[1:], cut[2:], strict=False))
+            effective = sum(times.values()) ** 2 / sum(c * c for c in times.values())
+            bundle = langid.bundles([cut])[0][0].astype(float)
+            cosine = float(bundle @ model.vectors[own] / np.linalg.norm(bundle))
+            inside = [k for k, m in enumerate(langid.SIZES) if 2**m <= effective]
+            if inside:
+                found.setdefault((own, inside[-1]), []).append(cosine)
+    want = np.zeros((len(model.languages), len(langid.SIZES)))
+    for key, cosines in found.items():
+        if len(cosines) >= langid.LEAST:
+            mean = np.mean(cosines)
+            want[key] = max(0, min(mean - langid.DEVIATIONS * np.std(cosines, ddof=1), langid.SHARE * mean))
+    assert want.any() and np.allclose(langid.learn_floors(docs, model), want, atol=1e-4)
+
+
+UNLEARNED = [  # Italian, Dutch, Turkish, no language
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti essi sono dotati di ragione e di coscienza e devono agire",
+    "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren zij zijn begiftigd met verstand en geweten en behoren",
+    "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik",
+    "xq zvkw jrrpt qgh wzzk vlbq xjt pwkq zzrt hqvk xwpl qqjz kvwt zxrp bqhj wlkz qxv tjzk pqwr zhvx kjqb wxzt rqpl vkzj xhqw bzkq",
+]
+
+
+def test_language_floor_keeps_short_texts_and_repetitions(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.learn(frame)
+    floors = langid.learn_floors(frame, model)
+
+    def kept(texts):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        return langid.keep_identified(rows, model, floors).count() / len(texts)
+
+    words = [r.text.split() for r in frame.where("text is not null").limit(1500).collect()]
+    for n in (1, 2, 3, 10, 40):
+        texts = [" ".join(w[len(w) // 3 :][:n]) for w in words]
+        texts = [t for t in texts if any(c.isalpha() for c in t)]
+        assert kept(texts) >= (1 if n < 10 else 0.999)
+    assert kept([f"{w[0]} " * 500 + w[-1] for w in words if w[0][0].isalpha()]) == 1  # a word said 500 times
+    assert kept([x * k for x in UNLEARNED[2:] for k in (1, 5)]) == 0
+    whole = langid.keep_identified(frame, model, floors)
+    assert whole.count() >= 0.9995 * frame.where(F.col("text").rlike(r"\p{L}")).count()
+
+
 def test_language_id_edges(edge, empty):
     model = langid.learn(edge)
     found = {(r.doc_id, r.lang_pred) for r in langid.identify(edge, model).collect()}
     assert {(3, "und"), (4, "und"), (5, "und"), (7, "und"), (1, "en")} <= found
-    assert langid.keep_identified(edge, model).columns == edge.columns
+    assert langid.keep_identified(edge, model, langid.learn_floors(edge, model)).columns == edge.columns
     nothing = langid.learn(empty)
+    assert langid.learn_floors(empty, nothing).shape == (0, len(langid.SIZES))
+    assert langid.keep_identified(edge, nothing, langid.learn_floors(empty, nothing)).count() == 0
     assert {r.lang_pred for r in langid.identify(edge, nothing).collect()} == {"und"}
     assert langid.identify(empty, model).count() == 0
 
