@@ -14,8 +14,9 @@ from panelspark.llm.common import staged, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose text is in one of the learned languages."""
-    return langid.keep_identified(docs, langid.learn(docs))
+    """Keeps documents whose text may be in one of the learned languages."""
+    model = langid.learn(docs)
+    return langid.keep_identified(docs, model, langid.learn_floors(docs, model))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
