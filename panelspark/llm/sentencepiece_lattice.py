@@ -12,13 +12,15 @@ with its edges ``(rank, start, end, id)``.
 - `viterbi_path` (unigram models): best[i] = max over edges ending at i of best[start] + score.
 - `merge_path` (BPE models, as the public vocabulary is): a maximum of summed scores is not what a BPE model
   means, so the fold keeps the boundaries of the current symbols and takes, while there is one, the edge of best
-  rank (leftmost first) that spans two symbols.  That is the model's own result, id for id.
+  rank (leftmost first) that spans two symbols.  That is the model's own result, id for id.  Boundaries are the
+  bits of one long, so a step costs two bit operations an edge; edges are substrings of two characters or more, as
+  a single character is where every symbol begins.
 Characters without a piece become their UTF-8 byte pieces.
 
 *Texts.*  Units are cut and hashed by numpy over whole batches.  The table of the most frequent units (at most
-`FREQUENT`, from a bounded sample of texts) with their ids is broadcast; the other units of each text go through the
-same lattice and are joined back to their text.  A unit longer than
-`LONGEST` characters, whose fold would be quadratic, is encoded by the library in its task.
+`FREQUENT`, counted over all texts by bounded summaries of `COUNTERS` units a task) with their ids is broadcast; it
+decides speed only.  The other units of each text go through the same lattice and are joined back to their text.
+A unit longer than `LONGEST` characters, the bits of a long, is encoded by the library in its task.
 
 Defined edge cases: null and empty texts have no ids; the rare units of equal texts are listed once and joined to
 every row; an empty table gives an empty result; extra columns are ignored.
@@ -37,13 +39,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import map_arrow, staged
+from panelspark.llm.token_counts import Summary
 from panelspark.llm.tokens import PieceTable
 from panelspark.llm.words import U64, hash_spans, mix, slices
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 FREQUENT = 500_000
-SAMPLE_DOCS = 100_000
+#: Units that a task's summary keeps.
+COUNTERS = 131_072
 LONGEST = 64
 
 
@@ -108,6 +112,7 @@ class Units:
         first, last = ends if plain is not None else (_LATIN_CODES[e] for e in ends)
         self.check = _check(first, last, self.end - self.start)
         self.long = self.end - self.start > LONGEST
+        self.short = ~self.long
 
     def _begins(self, code: np.ndarray, model: str) -> np.ndarray:
         begin = np.ones(len(code), bool)
@@ -179,18 +184,52 @@ def _check(first: np.ndarray, last: np.ndarray, size: np.ndarray) -> np.ndarray:
 # ---- lattice (Spark) ------------------------------------------------------------------------------------------
 
 
-def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int, scores: bool = True) -> DataFrame:
-    """unit, edges (rank, start, end, id, and score if asked for) of every unit; units are distinct."""
+def lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFrame:
+    """unit, edges (rank, start, end, id, score) of every unit, best first; units are distinct."""
     n = F.length("unit")
     starts = units.select("unit", F.explode(F.sequence(F.lit(1), n)).alias("at"))
     spans = starts.select("unit", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest_piece), n - F.col("at") + 1))).alias("size"))
-    spans = spans.select("unit", "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("piece"))
-    edge = F.struct(
-        "rank", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"), "id", *["score"] * scores
+    edge = F.struct("rank", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"), "id", "score")
+    # single characters stay without a piece, so that every unit stays
+    return _edges(spans, pieces, F.col("size") == 1, edge)
+
+
+def merge_lattice(units: DataFrame, pieces: DataFrame, longest_piece: int) -> DataFrame:
+    """unit, edges (start, inner, ends, id) of two characters or more of every unit, best first.
+
+    Boundary b of a unit is bit b - 1 of a long; boundary 0 has no bit.  `inner` are the boundaries inside the edge,
+    `ends` those at its ends.  Units are distinct and of at most 64 characters.  Edges are grouped and sorted as one
+    long each: rank, start (6 bits), size (7 bits), id (24 bits).
+    """
+    n = F.length("unit")
+    starts = units.select("unit", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1))).alias("at"))
+    # the first character stays without an edge, so that every unit stays
+    least = F.when(F.col("at") == 1, 1).otherwise(2)
+    spans = starts.select("unit", "at", F.explode(F.sequence(least, F.least(F.lit(longest_piece), n - F.col("at") + 1))).alias("size"))
+    edge = F.expr("shiftleft(cast(rank as long), 37) | shiftleft(cast(at - 1 as long), 31) | shiftleft(cast(size as long), 24) | id")
+    packed = _edges(spans, pieces.where("length(piece) > 1"), (F.col("at") == 1) & (F.col("size") == 1), edge)
+    fields = (
+        "transform(edges, e -> struct(cast(shiftright(e, 31) & 63 as int) as start, cast(shiftright(e, 24) & 127 as int) as size, "
+        "cast(e & 16777215 as int) as id))"
+    )
+    bits = (
+        f"transform({fields}, e -> struct(e.start as start, shiftleft(shiftleft(1L, e.size - 1) - 1, e.start) as inner, "
+        "shiftrightunsigned(shiftleft(1L, e.start), 1) | shiftleft(1L, e.start + e.size - 1) as ends, e.id as id))"
     )
-    # single characters stay without a piece, so that every unit stays; grouping keeps the units' partitioning
-    found = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
-    return found.groupBy("unit").agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
+    return packed.select("unit", F.expr(bits).alias("edges"))
+
+
+def _edges(spans: DataFrame, pieces: DataFrame, stays: Column, edge: Column) -> DataFrame:
+    """Spans (unit, at, size) joined to the pieces and grouped by unit, which keeps the units' partitioning.
+
+    The key is a 64-bit hash, which Spark looks up several times faster than text; the texts are compared after it.
+    """
+    named = spans.select("unit", "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("text"))
+    keyed = named.withColumn("key", F.xxhash64("text"))
+    found = keyed.join(F.broadcast(pieces.withColumn("key", F.xxhash64("piece"))), "key", "left")
+    same = F.coalesce(F.col("piece") == F.col("text"), F.lit(False))
+    kept = found.where(same | stays).withColumn("edge", F.when(same, edge))
+    return kept.groupBy("unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
 def _let(value: Column, body) -> Column:
@@ -198,40 +237,37 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-_STATE = "struct<bounds:array<int>,left:array<struct<start:int,end:int>>>"
+_STATE = "struct<bounds:bigint,left:array<struct<inner:bigint,ends:bigint>>>"
 
 
 def merge_path(unit: Column, edges: Column) -> Column:
-    """Boundaries of the symbols that are left when the best merge is done again and again.
+    """Boundaries (bits) of the symbols that are left when the best merge is done again and again.
 
-    edges: (start, end) of those of two characters or more, best first.  The state holds the boundaries and the
-    edges that both begin and end at one; an edge spans two symbols when one boundary lies inside it.
+    edges: those of `merge_lattice`.  The state holds the boundaries and the edges that both begin and end at one;
+    an edge spans two symbols when one boundary lies inside it.
     """
-    no_edges = F.array().cast("array<struct<start:int,end:int>>")
+    no_edges = F.array().cast("array<struct<inner:bigint,ends:bigint>>")
 
     def step(state: Column, _: Column) -> Column:
-        at = lambda x: F.array_position(state.bounds, x)
-        best_of = F.get(F.filter(state.left, lambda e: at(e.end) - at(e.start) == 2), F.lit(0))
+        inside = lambda e: e.inner.bitwiseAND(state.bounds)
+        best = F.get(F.filter(state.left, lambda e: F.bit_count(inside(e)) == 1), F.lit(0))
 
-        def merge(best: Column, middle: Column) -> Column:
-            alive = F.filter(
-                state.left,
-                lambda e: (e.start != middle) & (e.end != middle) & ((e.start != best.start) | (e.end != best.end)),
-            )
-            return F.struct(F.array_remove(state.bounds, middle).alias("bounds"), alive.alias("left"))
+        def merge(middle: Column) -> Column:
+            # edges that end where the symbols met are gone, and those that are one symbol now
+            alive = F.filter(state.left, lambda e: (e.ends.bitwiseAND(middle) == 0) & (inside(e) != middle))
+            return F.struct(state.bounds.bitwiseXOR(middle).alias("bounds"), alive.alias("left"))
 
         done = F.struct(state.bounds.alias("bounds"), no_edges.alias("left"))
-        after = lambda best: F.when(best.isNull(), done).otherwise(
-            _let(F.get(state.bounds, at(best.start).cast("int")), lambda middle: merge(best, middle))
-        )
-        return F.when(F.size(state.left) == 0, state).otherwise(_let(best_of, after)).cast(_STATE)
+        after = lambda middle: F.when(middle.isNull(), done).otherwise(merge(middle))
+        return F.when(F.size(state.left) == 0, state).otherwise(_let(inside(best), after)).cast(_STATE)
 
     # every merge needs its edge, so there are no more merges than edges
-    n = F.length(unit)
-    start = F.struct(F.sequence(F.lit(0), n).alias("bounds"), edges.alias("left")).cast(_STATE)
-    most = F.least(n - 1, F.size(edges))
+    all_bounds = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(LONGEST) - F.length(unit))
+    left = F.transform(edges, lambda e: F.struct(e.inner.alias("inner"), e.ends.alias("ends")))
+    start = F.struct(all_bounds.alias("bounds"), left.alias("left")).cast(_STATE)
+    most = F.least(F.length(unit) - 1, F.size(edges))
     folded = F.aggregate(F.sequence(F.lit(1), most), start, step, lambda state: state.bounds)
-    return F.when(most < 1, F.sequence(F.lit(0), n)).otherwise(folded)
+    return F.when(most < 1, all_bounds).otherwise(folded)
 
 
 UNKNOWN_PENALTY = 10.0
@@ -259,31 +295,60 @@ def viterbi_path(unit: Column, edges: Column) -> Column:
     return back
 
 
+def _byte_ids(piece: Column, first_byte: int) -> Column:
+    """Ids of the UTF-8 bytes of a piece."""
+    digits = F.hex(F.encode(piece, "UTF-8"))
+    number = lambda k: (F.conv(F.substring(digits, k * 2 - 1, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte))
+    return F.transform(F.sequence(F.lit(1), (F.length(digits) / 2).cast("int")), number)
+
+
 def path_ids(unit: Column, edges: Column, bounds: Column, first_byte: int) -> Column:
     """Ids along the boundaries; a character without a piece gives the ids of its UTF-8 bytes."""
 
     def one(start: Column, end: Column) -> Column:
         found = F.filter(edges, lambda e: (e.start == start) & (e.end == end))
-        digits = F.hex(F.encode(F.substring(unit, start + 1, end - start), "UTF-8"))
-        number = lambda k: (F.conv(F.substring(digits, k * 2 - 1, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte))
-        coded = F.transform(F.sequence(F.lit(1), (F.length(digits) / 2).cast("int")), number)
+        coded = _byte_ids(F.substring(unit, start + 1, end - start), first_byte)
         return F.when(F.size(found) > 0, F.array(F.get(found, F.lit(0)).id)).otherwise(coded)
 
     size = F.size(bounds)
     return F.flatten(F.zip_with(F.slice(bounds, F.lit(1), size - 1), F.slice(bounds, F.lit(2), size - 1), one))
 
 
+def merged_ids(unit: Column, edges: Column, bounds: Column, rows: list[tuple[str, int, float]], first_byte: int) -> Column:
+    """Ids of the symbols between the boundaries (bits); characters are looked up in one constant string."""
+    # in the order of their ids, so that common characters are found early
+    single = sorted((i, p) for p, i, _ in rows if len(p) == 1)
+    alphabet = F.lit("".join(p for _, p in single))
+    numbers = F.split(F.lit(",".join(str(i) for i, _ in single)), ",").cast("array<int>")
+    symbols = F.filter(edges, lambda e: (e.ends.bitwiseAND(bounds) == e.ends) & (e.inner.bitwiseAND(bounds) == 0))
+
+    def character(c: Column) -> Column:
+        coded = lambda at: F.when(at > 0, F.array(F.get(numbers, at - 1))).otherwise(_byte_ids(c, first_byte))
+        return _let(F.call_function("instr", alphabet, c), coded)
+
+    def ids(long_symbols: Column) -> Column:
+        begins = F.filter(
+            F.sequence(F.lit(0), F.length(unit) - 1),
+            lambda b: (b == 0) | (F.call_function("shiftrightunsigned", bounds, b - 1).bitwiseAND(F.lit(1)) == 1),
+        )
+        found = lambda b: F.get(F.filter(long_symbols, lambda e: e.start == b), F.lit(0)).id
+        one = lambda b: _let(
+            found(b), lambda i: F.when(i.isNull(), _let(F.substring(unit, b + 1, F.lit(1)), character)).otherwise(F.array(i))
+        )
+        return F.flatten(F.transform(begins, one))
+
+    return _let(symbols, ids)
+
+
 def encode_units(units: DataFrame, rows: list[tuple[str, int, float]], first_byte: int, kind: str = "bpe") -> DataFrame:
-    """unit, ids of every (distinct, non-empty) unit."""
-    edges = lattice(units, piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows), kind != "bpe")
+    """unit, ids of every (distinct, non-empty) unit; for "bpe" of at most `LONGEST` characters."""
+    pieces, longest = piece_table(units.sparkSession, rows), max(len(p) for p, _, _ in rows)
+    unit, edges, bounds = F.col("unit"), F.col("edges"), F.col("bounds")
     if kind == "bpe":
-        merges = F.transform(
-            F.filter("edges", lambda e: e.end - e.start > 1), lambda e: F.struct(e.start.alias("start"), e.end.alias("end"))
-        )
-        placed = edges.withColumn("merges", merges).withColumn("bounds", merge_path(F.col("unit"), F.col("merges")))
-    else:
-        placed = edges.withColumn("bounds", viterbi_path(F.col("unit"), F.col("edges")))
-    return placed.select("unit", path_ids(F.col("unit"), F.col("edges"), F.col("bounds"), first_byte).alias("ids"))
+        placed = merge_lattice(units, pieces, longest).withColumn("bounds", merge_path(unit, edges))
+        return placed.select("unit", merged_ids(unit, edges, bounds, rows, first_byte).alias("ids"))
+    placed = lattice(units, pieces, longest).withColumn("bounds", viterbi_path(unit, edges))
+    return placed.select("unit", path_ids(unit, edges, bounds, first_byte).alias("ids"))
 
 
 # ---- texts ----------------------------------------------------------------------------------------------------
@@ -359,21 +424,21 @@ def encode_batch(texts: list[str | None], model: str, frequent: PieceTable, rare
     return [data[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
 
 
-def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT) -> DataFrame:
-    """At most n units, the most frequent of a bounded sample of texts."""
-    total = docs.count()
+def frequent_units(docs: DataFrame, model: str = MODEL, n: int = FREQUENT, counters: int = COUNTERS) -> DataFrame:
+    """At most n units, the most frequent of all texts by the summed counts of the tasks' summaries."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        summary = Summary(counters)
         for part in (part for batch in batches for part in slices(batch, "text")):
-            units = Units(part.column("text").to_pylist(), model)
-            _, one, times = np.unique(units.hash, return_index=True, return_counts=True)
-            keep = ~units.long[one]
-            yield pa.RecordBatch.from_arrays([pa.array(units.text(one[keep]), pa.string()), pa.array(times[keep])], names=["unit", "n"])
-
-    sample = docs.where("text is not null").select(F.substring("text", 1, 4_000).alias("text"))
-    if total > SAMPLE_DOCS:
-        sample = sample.sample(SAMPLE_DOCS / total, seed=1)
-    counted = sample.transform(map_arrow, count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+            summary.add(Units(part.column("text").to_pylist(), model))
+        for at in range(0, len(summary.text), 10_000):
+            some = slice(at, at + 10_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(summary.text[some].tolist(), pa.string()), pa.array(summary.count[some])], names=["unit", "n"]
+            )
+
+    found = docs.where("text <> ''").select("text").transform(map_arrow, summarise, "unit string, n long")
+    counted = found.groupBy("unit").agg(F.sum("n").alias("n"))
     return counted.where("n > 1").orderBy(F.desc("n"), "unit").limit(n).select("unit")
 
 

@@ -418,10 +418,12 @@ def test_lattice_encoding_equals_library(spark, rows):
 
 
 def test_copies_of_a_long_text_list_their_rare_units_once(spark, monkeypatch):
-    end = [f"qz{i}xk" for i in range(40)]  # past the 4,000 characters that the frequent units are counted in
+    end = [f"qz{i}xk" for i in range(40)]
     text = "the cat sat on a mat " * 200 + " ".join(end)
     frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
     kept = []
+    # room for the six words of the sentence only
+    monkeypatch.setattr(lattice, "frequent_units", lambda docs, model, f=lattice.frequent_units: f(docs, model, 6))
     monkeypatch.setattr(lattice, "staged", lambda df, f=lattice.staged: kept.append(f(df)) or kept[-1])
     coded = lattice.encode(frame)
     (rare,) = (x for x in kept if x.columns == ["key", "unit"])
@@ -455,6 +457,33 @@ def brute_viterbi(word, scores, worst):
     return best
 
 
+def test_frequent_units_count_whole_texts(spark):
+    texts = ["x " * 5000 + "lastword"] * 3 + ["once"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.unit for r in lattice.frequent_units(frame).collect()} == {"▁x", "▁lastword"}
+    # the summary of a task is bounded, and the commonest unit is never lost
+    many = " ".join(f"w{i}q common" for i in range(500))
+    few = lattice.frequent_units(spark.createDataFrame([(1, many)], "doc_id long, text string"), counters=8)
+    assert "▁common" in {r.unit for r in few.collect()} and few.count() <= 8
+
+
+def test_merge_fold_equals_library_on_random_units(spark):
+    rng = np.random.default_rng(11)
+    letters = list("etaoinshrdlu") + list("éßжд漢字🙂0.,-")
+    words = {"".join(rng.choice(letters[: int(rng.integers(3, len(letters)))], int(rng.integers(1, 65)))) for _ in range(600)}
+    words |= {"e" * n for n in (1, 2, 63, 64)} | {"the" * 21 + "t"}
+    units = sorted({lattice.BLANK + w[:63] for w in words} | {lattice.BLANK})
+    first_byte = lattice._processor(lattice.MODEL).piece_to_id("<0x00>")
+    coded = lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), lattice.piece_rows(), first_byte)
+    found = {r.unit: r.ids for r in coded.collect()}
+    assert sorted(found) == units and max(map(len, units)) == lattice.LONGEST
+    p = lattice._processor(lattice.MODEL)
+    for u in units:
+        if len(u) > 1:
+            assert found[u] == p.encode(u[1:]), u
+    assert found[lattice.BLANK] == [p.piece_to_id(lattice.BLANK)]
+
+
 def test_viterbi_fold_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     pieces = {c: -8.0 - i for i, c in enumerate("abcd")}
