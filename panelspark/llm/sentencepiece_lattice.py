@@ -47,7 +47,7 @@ MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 FREQUENT = 500_000
 #: Units that a task's summary keeps.
-COUNTERS = 131_072
+COUNTERS = 262_144
 LONGEST = 64
 
 
@@ -495,9 +495,12 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     rare = staged(texts.select("key", "text").transform(map_arrow, missing, "key long, unit string").distinct())
     # more and smaller groups of units than the default, so that a task's lattices stay small
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded = encode_units(rare.select("unit").repartition(parts, "unit").distinct(), rows, first_byte)
+    # One exchange serves both sides of the join: the same rows and columns, so Spark reuses it (if not, only work is lost).
+    placed = rare.where("key is not null and unit is not null").repartition(parts, "unit")
+    distinct = placed.groupBy("unit").agg(F.max("key").alias("some")).where("some is not null").select("unit")
+    coded = encode_units(distinct, rows, first_byte)
     # Worker and Spark know a rare unit by the same 64-bit hash; ids of this size of vocabulary fit 16 bits.
-    found = rare.join(coded, "unit").select("key", F.struct(F.xxhash64("unit").alias("hash"), F.col("ids").cast(_SMALL).alias("ids")).alias("u"))
+    found = placed.join(coded, "unit").select("key", F.struct(F.xxhash64("unit").alias("hash"), F.col("ids").cast(_SMALL).alias("ids")).alias("u"))
     own = found.groupBy("key").agg(F.collect_list("u").alias("rare"))
     packed = texts.transform(map_arrow, pack, f"doc_id {kind}, key long, packed binary, size int")
     nothing = F.array().cast(f"array<struct<hash:bigint,ids:{_SMALL}>>")
