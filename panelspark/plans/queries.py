@@ -213,6 +213,17 @@ def q_src_numeric_coerce(spark, sf):
     return coerced.filter(F.col("value").isNotNull())
 
 
+def q_load_stamp(spark, sf):
+    """every extracted row has a stamp, all rows of a series the same, and none lies ahead of the clock."""
+    cat = extract.catalog_frame(spark, C.series_by_source("OECD"))
+    stamp = F.col("ingested_at")
+    per_series = extract.extract_wide(derived.landed_wide(spark, sf), cat).groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(stamp.isNull()).alias("n_unstamped"),
+        F.count_if(stamp > F.now()).alias("n_ahead"), F.min(stamp).alias("first"), F.max(stamp).alias("last"),
+    )
+    return per_series.select("series_id", "n_rows", "n_unstamped", "n_ahead", (F.col("first") == F.col("last")).alias("one_stamp"))
+
+
 def q_catalog_extract(spark, sf):
     cat = extract.catalog_frame(spark, C.series_by_source("OECD"))
     return extract.extract_wide(derived.landed_wide(spark, sf), cat).drop("ingested_at")
@@ -422,6 +433,14 @@ def q_dq_stale_series(spark, sf):
     return quality.stale_series(_defective(spark, sf), AS_OF)
 
 
+def q_dq_stale_today(spark, sf):
+    """the check as it runs by default, today; dates are moved so that ``AS_OF`` falls on today."""
+    days = F.datediff(F.current_date(), F.lit(AS_OF).cast("date"))
+    moved = _defective(spark, sf).withColumn("date", F.date_add("date", days))
+    late = quality.stale_series(moved)
+    return late.select("series_id", "indicator_name", F.datediff(F.current_date(), "latest_date").alias("days_old"))
+
+
 def q_dq_unique_grain(spark, sf):
     return quality.duplicate_grain(panels.combined(spark, sf))
 
@@ -445,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "stream_landing": q_stream_landing,
     "src_numeric_coerce": q_src_numeric_coerce,
     "catalog_extract": q_catalog_extract,
+    "load_stamp": q_load_stamp,
     "stg_iso_dates": q_stg_iso_dates,
     "stg_mixed_dates": q_stg_mixed_dates,
     "stg_quarterly_dates": q_stg_quarterly_dates,
@@ -476,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "dq_one_latest": q_dq_one_latest,
     "dq_expected_present": q_dq_expected_present,
     "dq_stale_series": q_dq_stale_series,
+    "dq_stale_today": q_dq_stale_today,
     "dq_unique_grain": q_dq_unique_grain,
     "dq_report": q_dq_report,
 }
